@@ -26,8 +26,11 @@ def epoch_millis(ts: Column, dtype: T.DataType) -> Column:
     A zone-less timestamp is read as UTC wall-clock time, independent of the session zone.
     """
     if isinstance(dtype, T.TimestampNTZType):
-        epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-        return F.timestamp_diff("MILLISECOND", epoch, ts)
+        # calendar parts of a zone-less value never pass through the session zone
+        day_ms = F.unix_date(F.to_date(ts)).cast("long") * 86_400_000
+        clock_ms = F.hour(ts) * 3_600_000 + F.minute(ts) * 60_000
+        sec_ms = F.floor(F.date_part(F.lit("SECOND"), ts) * 1000).cast("long")
+        return day_ms + clock_ms + sec_ms
     return F.unix_millis(ts)
 
 
