@@ -22,12 +22,22 @@ import contextlib
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeferry.operators.stats import any_of, date_predicates, in_window, recent_partitions
+from lakeferry.operators.stats import (
+    any_of,
+    date_predicates,
+    date_window,
+    in_window,
+    recent_partitions,
+)
 from lakeferry.schema import PARTITION_KEYS
 from lakeferry.sources.table import list_data_files, read_table, table_format, write_table
 
 STATUS_SCHEMA = "target string, status string, error string"
 
+# Size compaction aims at per output file: AQE's advisory partition size during the
+# rewrite. A key larger than this is split into files of about this size.
+DEFAULT_TARGET_FILE_BYTES = 256 * 1024 * 1024
+
 
 @contextlib.contextmanager
 def _conf(spark: SparkSession, settings: dict[str, str]):
@@ -73,7 +83,7 @@ def compact_partitions(
     path: str,
     predicates: list[str],
     per_partition: bool = False,
-    target_file_bytes: int | None = None,
+    target_file_bytes: int | None = DEFAULT_TARGET_FILE_BYTES,
 ) -> DataFrame:
     """Compact the partitions matched by ``predicates``; returns one status row per target.
 
@@ -103,20 +113,29 @@ def compact_partitions(
 
 
 def compact_recent(
-    spark: SparkSession, path: str, days: int = 7, as_of=None, target_file_bytes: int | None = None
+    spark: SparkSession,
+    path: str,
+    days: int = 7,
+    as_of=None,
+    target_file_bytes: int | None = DEFAULT_TARGET_FILE_BYTES,
 ) -> DataFrame:
     """Compact the dates in ``[as_of - days, as_of]`` in one pass (Parquet) — the filter is a
     partition filter, so only those directories are listed and read."""
     fmt = table_format(spark, path)
-    if fmt == "delta":
-        return compact_partitions(spark, path, choose_targets(spark, path, None, days, as_of))
     if fmt is None:
         raise FileNotFoundError(f"no table at {path}")
-    _rewrite(spark, path, in_window(days, as_of), target_file_bytes)
+    if fmt == "delta":
+        lo, hi = date_window(days, as_of)
+        where = f"partition_date >= '{lo}' AND partition_date <= '{hi}'"
+        _delta_table(spark, path).optimize().where(where).executeCompaction()
+    else:
+        _rewrite(spark, path, in_window(days, as_of), target_file_bytes)
     return spark.createDataFrame([(f"last {days} days to {as_of}", "compacted", None)], STATUS_SCHEMA)
 
 
-def compact_all(spark: SparkSession, path: str, target_file_bytes: int | None = None) -> DataFrame:
+def compact_all(
+    spark: SparkSession, path: str, target_file_bytes: int | None = DEFAULT_TARGET_FILE_BYTES
+) -> DataFrame:
     """Compact the whole table."""
     fmt = table_format(spark, path)
     if fmt is None:

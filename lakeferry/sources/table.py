@@ -56,6 +56,14 @@ def read_table(spark: SparkSession, path: str, fmt: str | None = None) -> DataFr
     raise FileNotFoundError(f"no table at {path}")
 
 
+def register_view(spark: SparkSession, path: str, name: str = "messages") -> DataFrame:
+    """Expose the table to SQL under ``name`` (what ``FROM delta.`path` `` gives on Delta),
+    with the string-typed partition keys of :func:`read_table`."""
+    df = read_table(spark, path)
+    df.createOrReplaceTempView(name)
+    return df
+
+
 def write_table(
     df: DataFrame,
     path: str,

@@ -27,3 +27,17 @@ def test_overwrite_replaces_only_written_partitions(spark):
     write_table(enrich(literal_messages(spark, [("a", "2024-01-15", "3", 3)])), path, "overwrite")
     got = sorted(r.message_id for r in read_table(spark, path).collect())
     assert got == ["2", "3"]
+
+
+def test_sql_over_registered_view(spark):
+    from lakeferry.sources.table import register_view
+
+    path = scratch_path(spark, "t")
+    rows = [("a", "2024-01-15", "1", 1), ("a", "2024-01-15", "2", 2), ("b", "2024-01-16", "3", 3)]
+    write_table(enrich(literal_messages(spark, rows)), path, "overwrite")
+    register_view(spark, path, "msgs_view")
+    got = spark.sql(
+        "SELECT partition_message_type, partition_date, COUNT(*) AS row_count FROM msgs_view "
+        "GROUP BY partition_message_type, partition_date "
+        "ORDER BY partition_date DESC, partition_message_type").collect()
+    assert [tuple(r) for r in got] == [("b", "2024-01-16", 1), ("a", "2024-01-15", 2)]
