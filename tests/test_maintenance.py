@@ -155,3 +155,33 @@ def test_partition_counts_order(spark, sf_small):
     keys = [(r.partition_date, r.partition_message_type) for r in rows]
     assert keys == sorted(keys, key=lambda k: (-int(k[0].replace("-", "")), k[1]))
     assert sum(r.row_count for r in rows) == 1000
+
+
+def test_hot_key_is_split_not_funnelled(spark):
+    """One type holds well over a third of the rows: the rewrite splits it into several
+    advisory-size files (several tasks) and keeps every row."""
+    from lakeferry.operators.messages import enrich
+    from lakeferry.sources.synth import synth_messages
+    from lakeferry.sources.table import write_table
+
+    ids = spark.range(60000)
+    msgs = synth_messages(ids, "id", seed=1, date="2024-01-10").withColumn(
+        "message_type",
+        F.when(F.col("creation_time") % 5 < 2, F.lit("hot")).otherwise(F.col("message_type")),
+    )
+    path = scratch_path(spark, "skew")
+    write_table(enrich(msgs).repartition(8), path, optimize_write=False)
+    n = read_table(spark, path).count()
+    # emulate many input splits (as a large table has) so the hot key has many map blocks
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(64 * 1024))
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        compact_all(spark, path, target_file_bytes=64 * 1024)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    files = _files(spark, path)
+    assert files[("hot", "2024-01-10")] > 1
+    assert read_table(spark, path).count() == n == 60000
+    hot = read_table(spark, path).where("partition_message_type = 'hot'").count()
+    assert hot >= 60000 // 3
