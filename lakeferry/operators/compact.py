@@ -65,7 +65,10 @@ def _rewrite(spark: SparkSession, path: str, where: Column | None, target_file_b
     if target_file_bytes:
         settings["spark.sql.adaptive.advisoryPartitionSizeInBytes"] = str(target_file_bytes)
     with _conf(spark, settings):
-        write_table(chosen, path, mode="overwrite", fmt="parquet", optimize_write=True)
+        write_table(
+            chosen, path, mode="overwrite", fmt="parquet", optimize_write=True,
+            replace="partitions",
+        )
 
 
 def choose_targets(

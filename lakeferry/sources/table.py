@@ -70,20 +70,24 @@ def write_table(
     mode: str = "append",
     fmt: str = "parquet",
     optimize_write: bool = True,
+    replace: str = "table",
 ) -> None:
     """Write rows partitioned by the two keys.
 
     ``optimize_write`` adds a ``REBALANCE`` on the keys: one shuffle that gives about one
     file per key and batch, while AQE splits a hot key into advisory-size pieces and merges
     small ones — so a type holding a third of the rows is written by many tasks, not one.
-    ``mode="overwrite"`` is a dynamic partition overwrite: only partitions present in
-    ``df`` are replaced.
+    ``mode="overwrite"`` replaces the whole table (``replace="table"``), or with
+    ``replace="partitions"`` only the partitions present in ``df`` (dynamic overwrite:
+    every other partition keeps its files).
     """
+    if replace not in ("table", "partitions"):
+        raise ValueError("replace must be 'table' or 'partitions'")
     if optimize_write:
         df = df.hint("rebalance", *PARTITION_KEYS)
     w = df.write.mode(mode).partitionBy(*PARTITION_KEYS)
     if mode == "overwrite":
-        w = w.option("partitionOverwriteMode", "dynamic")
+        w = w.option("partitionOverwriteMode", "dynamic" if replace == "partitions" else "static")
     w.format(fmt).save(path)
 
 

@@ -10,6 +10,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeferry.schema import TOPIC_RECORD
+from lakeferry.session import kafka_available
+
+
+def _need_kafka(spark: SparkSession, topic: str | None, brokers: str | None) -> None:
+    if not (topic and brokers):
+        raise ValueError("give topic and brokers, or an offline topic path")
+    if not kafka_available(spark):
+        raise RuntimeError(
+            "the Kafka source is not on the class path; start Spark with "
+            "--packages org.apache.spark:spark-sql-kafka-0-10_2.13:<spark version>"
+        )
 
 
 def read_topic_stream(
@@ -33,8 +44,7 @@ def read_topic_stream(
         if max_per_trigger:
             r = r.option("maxFilesPerTrigger", str(max_per_trigger))
         return r.parquet(path)
-    if not (topic and brokers):
-        raise ValueError("give topic and brokers, or an offline topic path")
+    _need_kafka(spark, topic, brokers)
     r = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", brokers)
@@ -58,8 +68,7 @@ def read_topic_batch(
     """Bounded slice of a topic (earliest to latest by default)."""
     if path is not None:
         return spark.read.schema(TOPIC_RECORD).parquet(path)
-    if not (topic and brokers):
-        raise ValueError("give topic and brokers, or an offline topic path")
+    _need_kafka(spark, topic, brokers)
     return (
         spark.read.format("kafka")
         .option("kafka.bootstrap.servers", brokers)

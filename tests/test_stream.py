@@ -61,3 +61,10 @@ def test_replayed_batch_is_skipped(spark):
     write(batch, 0)
     write(batch, 0)  # a replay of a committed batch id
     assert read_table(spark, table).count() == 1
+
+
+def test_kafka_needs_its_jar(spark):
+    import pytest
+
+    with pytest.raises((RuntimeError, ValueError)):
+        read_topic_stream(spark, topic="messages", brokers="localhost:9092")

@@ -1,4 +1,4 @@
-"""Table layout: the reader keeps partition keys as strings; batch overwrite replaces."""
+"""Table layout: the reader keeps partition keys as strings; overwrite scopes."""
 
 from pyspark.sql import types as T
 
@@ -20,13 +20,15 @@ def test_partition_keys_stay_strings(spark):
     assert not is_table(spark, scratch_path(spark, "nothing"))
 
 
-def test_overwrite_replaces_only_written_partitions(spark):
+def test_overwrite_scopes(spark):
     path = scratch_path(spark, "t")
     rows = [("a", "2024-01-15", "1", 1), ("b", "2024-01-16", "2", 2)]
     write_table(enrich(literal_messages(spark, rows)), path, "overwrite")
-    write_table(enrich(literal_messages(spark, [("a", "2024-01-15", "3", 3)])), path, "overwrite")
-    got = sorted(r.message_id for r in read_table(spark, path).collect())
-    assert got == ["2", "3"]
+    write_table(enrich(literal_messages(spark, [("a", "2024-01-15", "3", 3)])), path, "overwrite",
+                replace="partitions")
+    assert sorted(r.message_id for r in read_table(spark, path).collect()) == ["2", "3"]
+    write_table(enrich(literal_messages(spark, [("c", "2024-01-17", "4", 4)])), path, "overwrite")
+    assert [r.message_id for r in read_table(spark, path).collect()] == ["4"]
 
 
 def test_sql_over_registered_view(spark):
