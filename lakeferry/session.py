@@ -9,8 +9,12 @@ from pyspark.sql import SparkSession
 
 # Session settings every job here relies on. AQE is on by default in Spark 4 but is
 # stated so that rebalance/coalescing behaviour does not depend on the cluster default.
+# Broadcast joins are decided only at run time, from measured shuffle sizes: the static
+# planner's estimate (compressed file size) is not a proven bound, so it may not broadcast.
 BASE_CONF = {
     "spark.sql.adaptive.enabled": "true",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",

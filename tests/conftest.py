@@ -10,15 +10,12 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    from pyspark.sql import SparkSession
-
-    s = (
-        SparkSession.builder.master("local[4]")
-        .appName("lakeferry-tests")
-        .config("spark.sql.shuffle.partitions", "8")
-        .config("spark.ui.enabled", "false")
-        .config("spark.sql.session.timeZone", "UTC")
-        .getOrCreate()
+    from lakeferry.session import build_session
+
+    s = build_session(
+        "lakeferry-tests",
+        master="local[4]",
+        conf={"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false"},
     )
     s.sparkContext.setLogLevel("ERROR")
     yield s
