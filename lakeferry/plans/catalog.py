@@ -13,6 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakeferry.functions.avro import encode_avro
 from lakeferry.operators.compact import (
     compact_all,
     compact_partitions,
@@ -21,7 +22,6 @@ from lakeferry.operators.compact import (
     file_report,
 )
 from lakeferry.operators.messages import (
-    add_partition_columns,
     blank_where,
     decode_messages,
     encode_messages,
@@ -97,6 +97,22 @@ def q_topic_batch_read(spark, sf_dir):
     return decode_messages(read_topic_batch(spark, path=topic))
 
 
+def q_permissive_decode(spark, sf_dir):
+    """Malformed values (error rows lose their last three bytes, cutting the creation-time
+    varint) and tombstones (view rows carry a null value) decode to all-null rows in
+    PERMISSIVE mode; every row is kept."""
+    m = _messages(spark, sf_dir)
+    enc = m.select("message_type", encode_avro(F.struct(*MESSAGE_FIELDS)).alias("v"))
+    cut = F.expr("substring(v, 1, octet_length(v) - 3)")
+    values = enc.select(
+        F.when(F.col("message_type") == "view", F.lit(None).cast("binary"))
+        .when(F.col("message_type") == "error", cut)
+        .otherwise(F.col("v"))
+        .alias("value")
+    )
+    return decode_messages(values, mode="PERMISSIVE")
+
+
 def q_enriched_messages(spark, sf_dir):
     rows = enrich(_messages(spark, sf_dir))
     return rows.select(*STORED, F.col("processing_time").isNotNull().alias("has_processing_time"))
@@ -217,6 +233,7 @@ def q_synth_messages(spark, sf_dir):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "avro_round_trip": q_avro_round_trip,
     "topic_batch_read": q_topic_batch_read,
+    "permissive_decode": q_permissive_decode,
     "enriched_messages": q_enriched_messages,
     "stream_append_read_back": q_stream_append_read_back,
     "batch_overwrite_read_back": q_batch_overwrite_read_back,
@@ -250,6 +267,14 @@ COUNTS_SQL = (
 ORACLES: dict[str, str] = {
     "avro_round_trip": f"WITH {MSG} SELECT * FROM msg",
     "topic_batch_read": f"WITH {MSG} SELECT * FROM msg",
+    "permissive_decode": (
+        f"WITH {MSG} SELECT "
+        + ", ".join(
+            f"CASE WHEN message_type IN ('error', 'view') THEN NULL ELSE {c} END AS {c}"
+            for c in MESSAGE_FIELDS
+        )
+        + " FROM msg"
+    ),
     "enriched_messages": (
         f"WITH {MSG} SELECT *, message_type AS partition_message_type, "
         "date AS partition_date, true AS has_processing_time FROM msg"
