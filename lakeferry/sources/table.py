@@ -31,7 +31,12 @@ def table_format(spark: SparkSession, path: str) -> str | None:
     if not path_exists(spark, path):
         return None
     if path_exists(spark, path.rstrip("/") + "/_delta_log"):
-        return "delta" if delta_available(spark) else None
+        if not delta_available(spark):
+            raise RuntimeError(
+                f"{path} is a Delta table but Delta is not loaded; start Spark with "
+                "--packages io.delta:delta-spark_2.13:<version> and build_session(delta=True)"
+            )
+        return "delta"
     fs, p = _fs_path(spark, path)
     # a directory with at least one visible child holds a Parquet layout
     for st in fs.listStatus(p):

@@ -43,3 +43,26 @@ def test_sql_over_registered_view(spark):
         "GROUP BY partition_message_type, partition_date "
         "ORDER BY partition_date DESC, partition_message_type").collect()
     assert [tuple(r) for r in got] == [("b", "2024-01-16", 1), ("a", "2024-01-15", 2)]
+
+
+def test_listing_decodes_escaped_partition_values(spark):
+    from lakeferry.operators.compact import file_counts
+
+    path = scratch_path(spark, "t")
+    odd = "we ird/ty=pe+%:x"
+    write_table(enrich(literal_messages(spark, [(odd, "2024-01-15", "1", 1)])), path, "overwrite")
+    keys = {(r.partition_message_type, r.partition_date) for r in file_counts(spark, path).collect()}
+    assert keys == {(odd, "2024-01-15")}
+    assert read_table(spark, path).first().partition_message_type == odd
+
+
+def test_delta_log_without_delta_is_an_error(spark):
+    import os
+
+    import pytest
+
+    path = scratch_path(spark, "d")
+    local = path.removeprefix("file:")
+    os.makedirs(os.path.join(local, "_delta_log"))
+    with pytest.raises(RuntimeError, match="Delta"):
+        table_format(spark, path)
