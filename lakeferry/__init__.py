@@ -2,7 +2,13 @@
 that table healthy (compaction, vacuum, statistics), expressed with Spark DataFrames and
 Structured Streaming."""
 
-from lakeferry.schema import MESSAGE, MESSAGE_AVRO_SCHEMA, MESSAGE_TABLE, PARTITION_KEYS, TOPIC_RECORD
+from lakeferry.schema import (
+    MESSAGE,
+    MESSAGE_AVRO_SCHEMA,
+    MESSAGE_TABLE,
+    PARTITION_KEYS,
+    TOPIC_RECORD,
+)
 from lakeferry.session import build_session, scratch_path
 
 __all__ = [

@@ -41,7 +41,8 @@ def _maintain(args) -> None:
     if args.days is not None:
         over["days_to_compact"] = args.days
     if args.partitions:
-        over["specific_partitions"] = tuple(p.strip() for p in args.partitions.split(";") if p.strip())
+        preds = [p.strip() for p in args.partitions.split(";")]
+        over["specific_partitions"] = tuple(p for p in preds if p)
     if args.no_vacuum:
         over["vacuum"] = False
     if args.retention_hours is not None:

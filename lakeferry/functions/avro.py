@@ -77,7 +77,9 @@ def decode_avro(
     return _decoder(schema_json, mode == "FAILFAST")(col)
 
 
-def encode_avro(record: Column, schema_json: str = MESSAGE_AVRO_SCHEMA, native: bool | None = None) -> Column:
+def encode_avro(
+    record: Column, schema_json: str = MESSAGE_AVRO_SCHEMA, native: bool | None = None
+) -> Column:
     """Struct column -> binary Avro column (the ``to_avro`` contract)."""
     if avro_native() if native is None else native:
         from pyspark.sql.avro.functions import to_avro

@@ -133,7 +133,8 @@ def compact_recent(
         _delta_table(spark, path).optimize().where(where).executeCompaction()
     else:
         _rewrite(spark, path, in_window(days, as_of), target_file_bytes)
-    return spark.createDataFrame([(f"last {days} days to {as_of}", "compacted", None)], STATUS_SCHEMA)
+    target = f"last {days} days to {as_of}"
+    return spark.createDataFrame([(target, "compacted", None)], STATUS_SCHEMA)
 
 
 def compact_all(

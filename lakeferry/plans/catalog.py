@@ -147,7 +147,8 @@ def q_count_by_type_filter(spark, sf_dir):
 def q_non_blank_messages(spark, sf_dir):
     m = _messages(spark, sf_dir)
     m = blank_where(m, "message_type", F.col("message_type") == "error")
-    m = m.withColumn("date", F.when(F.col("message_type") == "view", F.lit(None)).otherwise(F.col("date")))
+    no_date = F.when(F.col("message_type") == "view", F.lit(None)).otherwise(F.col("date"))
+    m = m.withColumn("date", no_date)
     return m.where(non_blank("message_type") & non_blank("date"))
 
 
@@ -258,10 +259,14 @@ MSG = (
     "CAST(event_id AS VARCHAR) AS message_id, epoch_us(ts) // 1000 AS creation_time "
     "FROM events)"
 )
-STORED_SQL = f"WITH {MSG} SELECT *, message_type AS partition_message_type, date AS partition_date FROM msg"
+STORED_SQL = (
+    f"WITH {MSG} SELECT *, message_type AS partition_message_type, date AS partition_date "
+    "FROM msg"
+)
 COUNTS_SQL = (
     f"WITH {MSG} SELECT message_type AS partition_message_type, date AS partition_date, "
-    "count(*) AS row_count FROM msg GROUP BY ALL ORDER BY partition_date DESC, partition_message_type"
+    "count(*) AS row_count FROM msg GROUP BY ALL "
+    "ORDER BY partition_date DESC, partition_message_type"
 )
 
 ORACLES: dict[str, str] = {
@@ -285,7 +290,9 @@ ORACLES: dict[str, str] = {
         f"WITH {MSG} SELECT count(*) FILTER (WHERE message_type = 'click') AS click_rows, "
         "count(*) FILTER (WHERE message_type = 'error') AS error_rows FROM msg"
     ),
-    "non_blank_messages": f"WITH {MSG} SELECT * FROM msg WHERE message_type NOT IN ('error', 'view')",
+    "non_blank_messages": (
+        f"WITH {MSG} SELECT * FROM msg WHERE message_type NOT IN ('error', 'view')"
+    ),
     "total_rows": f"WITH {MSG} SELECT count(*) AS row_count FROM msg",
     "recent_partitions": (
         f"WITH {MSG} SELECT DISTINCT date AS partition_date FROM msg "
@@ -297,7 +304,8 @@ ORACLES: dict[str, str] = {
     "compact_full": COUNTS_SQL,
     "maintenance_job": (
         f"WITH {MSG} SELECT * FROM (VALUES ('guard', 'ok', 'table found'), "
-        "('compact', 'ok', '0 failed targets'), ('vacuum', 'ok', '0 removed')) t(step, status, detail) "
+        "('compact', 'ok', '0 failed targets'), ('vacuum', 'ok', '0 removed')) "
+        "t(step, status, detail) "
         "UNION ALL SELECT 'statistics' AS step, 'ok' AS status, "
         "concat(CAST(count(*) AS VARCHAR), ' rows') AS detail FROM msg"
     ),

@@ -85,13 +85,15 @@ def _compact(spark: SparkSession, p: MaintainParams) -> DataFrame:
     if p.specific_partitions:
         preds = validate_predicates(spark, list(p.specific_partitions))
         return compact_partitions(spark, path, preds, per_partition=p.per_partition)
-    if p.per_partition or table_format(spark, path) == "delta":
+    if p.per_partition:
         preds = choose_targets(spark, path, None, p.days_to_compact, p.as_of)
         return compact_partitions(spark, path, preds, per_partition=True)
     return compact_recent(spark, path, p.days_to_compact, p.as_of)
 
 
-def compact_table(spark: SparkSession, path: str, params: MaintainParams | None = None) -> DataFrame:
+def compact_table(
+    spark: SparkSession, path: str, params: MaintainParams | None = None
+) -> DataFrame:
     """Embeddable compaction: guard then compact (no vacuum, no statistics). A missing
     table gives one ``no_table`` status row instead of an error."""
     params = dataclasses.replace(params or MaintainParams(), table_path=path)
