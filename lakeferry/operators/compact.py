@@ -151,10 +151,11 @@ def compact_all(
     return spark.createDataFrame([("all", "compacted", None)], STATUS_SCHEMA)
 
 
-def file_counts(spark: SparkSession, path: str) -> DataFrame:
-    """Data files and bytes per partition, from the file listing only (no data read)."""
+def file_counts(spark: SparkSession, path: str, dates: list[str] | None = None) -> DataFrame:
+    """Data files and bytes per partition, from the file listing only (no data read);
+    ``dates`` restricts the listing to those date directories."""
     return (
-        list_data_files(spark, path)
+        list_data_files(spark, path, dates)
         .groupBy(*PARTITION_KEYS)
         .agg(F.count(F.lit(1)).alias("files"), F.sum("size_bytes").alias("bytes"))
     )

@@ -8,6 +8,7 @@ Parquet layouts are always read with the explicit table schema: inferring it wou
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -103,19 +104,34 @@ def _key_from_path(key: str) -> Column:
     return F.url_decode(F.regexp_replace(raw, r"\+", "%2B")).alias(key)
 
 
-def list_data_files(spark: SparkSession, path: str) -> DataFrame:
+def list_data_files(spark: SparkSession, path: str, dates: list[str] | None = None) -> DataFrame:
     """Visible data files of a Parquet layout: path, keys, size, modification time.
 
     Uses Spark's own (parallel, cluster-side for many directories) file listing through
     the ``binaryFile`` source; file contents are never read because only metadata columns
-    are selected.
+    are selected. With ``dates`` only those date directories are listed (a path glob per
+    date), so a report on a compaction window does not walk the whole table.
     """
-    listing = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.parquet")
-        .load(path)
+    empty = spark.createDataFrame(
+        [], f"path string, {PARTITION_KEYS[0]} string, {PARTITION_KEYS[1]} string, "
+        "size_bytes long, modified_ms long"
     )
+    if dates is not None and not dates:
+        return empty
+    root = path.rstrip("/")
+    if dates is not None:
+        root = f"{root}/{PARTITION_KEYS[0]}=*/{PARTITION_KEYS[1]}={{{','.join(dates)}}}"
+    try:
+        listing = (
+            spark.read.format("binaryFile")
+            .option("recursiveFileLookup", "true")
+            .option("pathGlobFilter", "*.parquet")
+            .load(root)
+        )
+    except AnalysisException as e:
+        if dates is not None and "PATH_NOT_FOUND" in str(e):
+            return empty  # none of the dates has a directory
+        raise
     return listing.select(
         F.col("path"),
         *[_key_from_path(k) for k in PARTITION_KEYS],

@@ -185,3 +185,14 @@ def test_hot_key_is_split_not_funnelled(spark):
     assert read_table(spark, path).count() == n == 60000
     hot = read_table(spark, path).where("partition_message_type = 'hot'").count()
     assert hot >= 60000 // 3
+
+
+def test_windowed_file_listing(spark, sf_small):
+    path = small_file_table(spark, sf_small)
+    whole = _files(spark, path)
+    dates = ["2024-01-29", "2024-01-30"]
+    part = {(r[0], r[1]): r[2] for r in file_counts(spark, path, dates).collect()}
+    assert part == {k: v for k, v in whole.items() if k[1] in dates}
+    assert file_counts(spark, path, []).count() == 0
+    assert file_counts(spark, path, ["1999-01-01"]).count() == 0
+    assert file_counts(spark, path, ["1999-01-01", "2024-01-30"]).count() == 5
