@@ -17,8 +17,6 @@ Scale notes for the Parquet rewrite:
 
 from __future__ import annotations
 
-import contextlib
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,6 +28,7 @@ from lakeferry.operators.stats import (
     recent_partitions,
 )
 from lakeferry.schema import PARTITION_KEYS
+from lakeferry.session import conf_scope
 from lakeferry.sources.table import list_data_files, read_table, table_format, write_table
 
 STATUS_SCHEMA = "target string, status string, error string"
@@ -39,21 +38,6 @@ STATUS_SCHEMA = "target string, status string, error string"
 DEFAULT_TARGET_FILE_BYTES = 256 * 1024 * 1024
 
 
-@contextlib.contextmanager
-def _conf(spark: SparkSession, settings: dict[str, str]):
-    old = {k: spark.conf.get(k, None) for k in settings}
-    try:
-        for k, v in settings.items():
-            spark.conf.set(k, v)
-        yield
-    finally:
-        for k, v in old.items():
-            if v is None:
-                spark.conf.unset(k)
-            else:
-                spark.conf.set(k, v)
-
-
 def _delta_table(spark: SparkSession, path: str):
     return spark._jvm.io.delta.tables.DeltaTable.forPath(spark._jsparkSession, path)
 
@@ -64,7 +48,7 @@ def _rewrite(spark: SparkSession, path: str, where: Column | None, target_file_b
     settings = {}
     if target_file_bytes:
         settings["spark.sql.adaptive.advisoryPartitionSizeInBytes"] = str(target_file_bytes)
-    with _conf(spark, settings):
+    with conf_scope(spark, settings):
         write_table(
             chosen, path, mode="overwrite", fmt="parquet", optimize_write=True,
             replace="partitions",
@@ -78,7 +62,11 @@ def choose_targets(
     ``partition_date = '…'`` predicate per date present in ``[as_of - days, as_of]``."""
     if specific:
         return list(specific)
-    return date_predicates(recent_partitions(read_table(spark, path), days, as_of))
+    # The date list comes from the partition directories alone: Spark answers DISTINCT on
+    # partition columns from its file index, without opening a data file. (Safe here:
+    # partitioned writes never leave empty files behind.)
+    with conf_scope(spark, {"spark.sql.optimizer.metadataOnly": "true"}):
+        return date_predicates(recent_partitions(read_table(spark, path), days, as_of))
 
 
 def compact_partitions(

@@ -13,6 +13,7 @@ import time
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakeferry.session import conf_scope
 from lakeferry.sources.table import _fs_path, table_format
 
 DEFAULT_RETENTION_HOURS = 168
@@ -72,17 +73,9 @@ def vacuum(
         raise FileNotFoundError(f"no table at {path}")
     if fmt == "delta":
         dt = spark._jvm.io.delta.tables.DeltaTable.forPath(spark._jsparkSession, path)
-        key = "spark.databricks.delta.retentionDurationCheck.enabled"
-        old = spark.conf.get(key, None)
-        if allow_short_retention:
-            spark.conf.set(key, "false")
-        try:
+        check = {"spark.databricks.delta.retentionDurationCheck.enabled": "false"}
+        with conf_scope(spark, check if allow_short_retention else {}):
             dt.vacuum(float(retention_hours))
-        finally:
-            if old is None:
-                spark.conf.unset(key)
-            else:
-                spark.conf.set(key, old)
         return spark.createDataFrame([], "path string, modified_ms long")
     listing = spark.createDataFrame(_leftovers(spark, path), "path string, modified_ms long")
     live = spark.createDataFrame([], "path string")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
 
@@ -77,6 +78,23 @@ def configure_object_store(spark: SparkSession, settings: dict[str, str]) -> Non
         spark.conf.set(k, v)
 
 
+@contextlib.contextmanager
+def conf_scope(spark: SparkSession, settings: dict[str, str]):
+    """Set SQL confs for the duration of a block (for eager actions inside it) and restore
+    the previous values afterwards."""
+    old = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
 _PROBES: dict[tuple[int, str], bool] = {}
 
 
