@@ -68,3 +68,45 @@ def test_kafka_needs_its_jar(spark):
 
     with pytest.raises((RuntimeError, ValueError)):
         read_topic_stream(spark, topic="messages", brokers="localhost:9092")
+
+
+def test_processing_time_is_one_value_per_micro_batch(spark, sf_small):
+    topic, table, cp = (scratch_path(spark, n) for n in ("topic", "table", "cp"))
+    events = spark.read.parquet(f"{sf_small}/events.parquet")
+    publish(encode_messages(messages_from_events(events)), "key", "value", "m", path=topic)
+    _run(spark, topic, table, cp)
+    assert read_table(spark, table).select("processing_time").distinct().count() == 1
+    extra = literal_messages(spark, [("click", "2024-01-31", "late", 1)])
+    publish(encode_messages(extra), "key", "value", "m", path=topic)
+    _run(spark, topic, table, cp)
+    assert read_table(spark, table).select("processing_time").distinct().count() == 2
+
+
+def test_offline_topic_record_shape(spark, sf_small):
+    from lakeferry.schema import TOPIC_RECORD
+    from lakeferry.sources.topic import read_topic_batch
+
+    topic = scratch_path(spark, "topic")
+    events = spark.read.parquet(f"{sf_small}/events.parquet")
+    publish(encode_messages(messages_from_events(events)).repartition(4), "key", "value", "t",
+            path=topic, num_partitions=3)
+    rec = read_topic_batch(spark, path=topic)
+    assert rec.schema == TOPIC_RECORD
+    n = events.count()
+    assert rec.select("offset").distinct().count() == n
+    assert {r[0] for r in rec.select("partition").distinct().collect()} <= {0, 1, 2}
+    assert rec.where(F.col("key") != F.col("value")).count() == n
+    assert rec.where("topic <> 't' OR timestamp IS NULL").count() == 0
+
+
+def test_tombstone_is_kept_with_null_keys(spark):
+    topic, table, cp = (scratch_path(spark, n) for n in ("topic", "table", "cp"))
+    good = encode_messages(literal_messages(spark, [("a", "2024-01-01", "1", 1)]))
+    tomb = spark.createDataFrame([(bytearray(b"k"), None)], "key binary, value binary")
+    publish(good.unionByName(tomb), "key", "value", "m", path=topic)
+    _run(spark, topic, table, cp)
+    rows = read_table(spark, table).collect()
+    assert len(rows) == 2
+    nulls = [r for r in rows if r.message_id is None]
+    assert len(nulls) == 1 and nulls[0].partition_message_type is None
+    assert nulls[0].processing_time is not None
