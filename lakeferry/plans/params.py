@@ -21,6 +21,7 @@ ENV_DEFAULTS = {
     "S3_SECRET_KEY": "",
     "S3_BUCKET": "your-bucket",
     "TABLE_PATH": "",
+    "DELTA_TABLE_PATH": "",
     "CHECKPOINT_LOCATION": "",
     "COMPACT_BY_PARTITION": "true",
     "DAYS_TO_COMPACT": "7",
@@ -48,7 +49,13 @@ def parse_predicates(text: str) -> list[str]:
 
 
 def _table_path(env, bucket: str) -> str:
-    return env_value("TABLE_PATH", env) or f"s3a://{bucket}/messages/"
+    """``TABLE_PATH``, else ``DELTA_TABLE_PATH`` (the maintenance job's older name), else
+    the bucket's ``messages/`` folder — one path for both jobs."""
+    return (
+        env_value("TABLE_PATH", env)
+        or env_value("DELTA_TABLE_PATH", env)
+        or f"s3a://{bucket}/messages/"
+    )
 
 
 @dataclasses.dataclass(frozen=True)

@@ -67,3 +67,9 @@ def test_frozen():
     m = MaintainParams()
     with pytest.raises(dataclasses.FrozenInstanceError):
         m.days_to_compact = 3
+
+
+def test_older_table_path_name_is_accepted():
+    assert MaintainParams.from_env({"DELTA_TABLE_PATH": "s3a://old/t/"}).table_path == "s3a://old/t/"
+    both = {"DELTA_TABLE_PATH": "s3a://old/t/", "TABLE_PATH": "s3a://new/t/"}
+    assert IngestParams.from_env(both).table_path == "s3a://new/t/"
