@@ -71,11 +71,14 @@ def configure_object_store(spark: SparkSession, settings: dict[str, str]) -> Non
     """Apply S3A settings to a running session.
 
     SQL-conf entries are copied into the Hadoop configuration of every DataFrame read and
-    write, so plain ``spark.conf.set`` reaches the file system without touching the JVM.
-    At build time pass them as ``spark.hadoop.<key>`` instead.
+    write; the context's Hadoop configuration gets them too, for the direct file-system
+    calls (table guard, stream commit markers, vacuum listing). At build time pass them as
+    ``spark.hadoop.<key>`` instead.
     """
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
     for k, v in settings.items():
         spark.conf.set(k, v)
+        hadoop.set(k, v)
 
 
 @contextlib.contextmanager

@@ -38,7 +38,10 @@ def test_object_store_settings_reach_the_session(spark):
     assert conf["fs.s3a.connection.ssl.enabled"] == "false"
     configure_object_store(spark, {"fs.s3a.endpoint": "http://store:9000"})
     assert spark.conf.get("fs.s3a.endpoint") == "http://store:9000"
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    assert hadoop.get("fs.s3a.endpoint") == "http://store:9000"
     spark.conf.unset("fs.s3a.endpoint")
+    hadoop.unset("fs.s3a.endpoint")
 
 
 def test_command_line_maintain(spark, sf_small):
