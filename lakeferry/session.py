@@ -17,6 +17,11 @@ BASE_CONF = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # A small shuffle (a micro-batch, a compaction window) is still spread over the cores
+    # instead of being coalesced into one task: a rebalance on the partition keys then
+    # writes its per-key files from many tasks at once. Coalescing never splits a key, so
+    # the file count stays the same; large shuffles are sized by the advisory size.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64KB",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
@@ -133,8 +138,9 @@ def kafka_available(spark: SparkSession) -> bool:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when neither the context nor the conf names one (local tests) is a folder of
-    our own created and registered.
+    Only when neither the context nor the conf names one and the master is local (tests)
+    is a folder of our own created and registered; a cluster session without one is an
+    error, since a driver-local folder is not visible to the executors.
     """
     sc = spark.sparkContext
     root = sc.getCheckpointDir()
@@ -144,6 +150,11 @@ def checkpoint_root(spark: SparkSession) -> str:
         "spark.checkpoint.dir", None
     )
     if not conf:
+        if not sc.master.startswith("local"):
+            raise RuntimeError(
+                "set spark.checkpoint.dir to a folder shared by the cluster (HDFS, object "
+                "store); scratch tables and checkpoints are written there"
+            )
         conf = tempfile.mkdtemp(prefix="lakeferry-ckpt-")
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir()

@@ -52,3 +52,39 @@ def test_writes_stay_under_checkpoint_dir(spark):
 
     assert scratch_path(spark, "x").startswith(checkpoint_root(spark))
     assert not scratch_path(spark, "x").startswith(os.path.dirname(SF))
+
+
+class _Ctx:
+    def __init__(self, master, conf_dir=None):
+        self.master, self._dir = master, conf_dir
+        self.set_to = None
+
+    def getCheckpointDir(self):
+        return self.set_to
+
+    def getConf(self):
+        return {"spark.checkpoint.dir": self._dir} if self._dir else {}
+
+    def setCheckpointDir(self, d):
+        self.set_to = d
+
+
+class _Conf:
+    def get(self, key, default=None):
+        return default
+
+
+class _Session:
+    def __init__(self, ctx):
+        self.sparkContext, self.conf = ctx, _Conf()
+
+
+def test_scratch_folder_is_shared_on_a_cluster():
+    import pytest
+
+    from lakeferry.session import checkpoint_root
+
+    shared = _Session(_Ctx("yarn", "hdfs:///shared/ckpt"))
+    assert checkpoint_root(shared) == "hdfs:///shared/ckpt"
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_root(_Session(_Ctx("spark://host:7077")))

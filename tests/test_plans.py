@@ -60,3 +60,21 @@ def test_event_mapping_stays_in_codegen(spark, sf_small):
     p = plan(_messages(spark, sf_small).where(F.col("creation_time") > 0))
     assert "ArrowEvalPython" not in p and "BatchEvalPython" not in p
     assert "*(" in p  # whole-stage codegen span
+
+
+def test_small_batch_write_is_parallel_with_one_file_per_key(spark):
+    """A micro-batch-sized write is not coalesced into one task: several tasks write,
+    and each (type, date) partition still gets exactly one file."""
+    import collections
+
+    from lakeferry.operators.messages import enrich
+    from lakeferry.session import scratch_path
+    from lakeferry.sources.table import list_data_files, write_table
+
+    path = scratch_path(spark, "parallel")
+    write_table(enrich(_messages(spark, "/root/testdata/sf0.01")), path, mode="overwrite")
+    files = list_data_files(spark, path).select("path", *PARTITION_KEYS).collect()
+    per_key = collections.Counter((r[1], r[2]) for r in files)
+    assert set(per_key.values()) == {1}, per_key
+    writers = {r[0].rsplit("/", 1)[1].split("-")[1] for r in files}  # part-<task>-…
+    assert len(writers) > 1, writers
