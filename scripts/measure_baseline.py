@@ -13,14 +13,13 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from pyspark.sql import SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from lakeferry.operators.compact import compact_recent, file_counts  # noqa: E402
 from lakeferry.operators.messages import decode_messages, encode_messages  # noqa: E402
 from lakeferry.operators.stats import partition_row_counts  # noqa: E402
 from lakeferry.plans import catalog as C  # noqa: E402
-from lakeferry.session import scratch_path  # noqa: E402
+from lakeferry.session import build_session, scratch_path  # noqa: E402
 from lakeferry.sources.table import read_table  # noqa: E402
 from lakeferry.sources.topic import publish, read_topic_batch, read_topic_stream  # noqa: E402
 from lakeferry.streaming.ingest import append_stream, message_stream  # noqa: E402
@@ -39,9 +38,15 @@ def timed(fn, runs=5):
 def main():
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     cpus = int(sys.argv[2]) if len(sys.argv) > 2 else 8
-    spark = (SparkSession.builder.master(f"local[{cpus}]").config("spark.ui.enabled", "false")
-             .config("spark.sql.shuffle.partitions", str(cpus))
-             .config("spark.sql.session.timeZone", "UTC").getOrCreate())
+    spark = build_session(
+        "lakeferry-baseline",
+        master=f"local[{cpus}]",
+        conf={
+            "spark.ui.enabled": "false",
+            "spark.sql.shuffle.partitions": str(cpus),
+            "spark.driver.memory": "4g",  # as bench.py
+        },
+    )
     spark.sparkContext.setLogLevel("ERROR")
     n = spark.read.parquet(f"{sf}/events.parquet").count()
     topic = scratch_path(spark, "topic")
