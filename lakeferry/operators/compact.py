@@ -141,7 +141,11 @@ def compact_all(
 
 def file_counts(spark: SparkSession, path: str, dates: list[str] | None = None) -> DataFrame:
     """Data files and bytes per partition, from the file listing only (no data read);
-    ``dates`` restricts the listing to those date directories."""
+    ``dates`` restricts the listing to those date directories.
+
+    On Delta the listing also holds files that OPTIMIZE has removed from the log but
+    VACUUM has not yet deleted; take the "after" count once vacuum has run.
+    """
     return (
         list_data_files(spark, path, dates)
         .groupBy(*PARTITION_KEYS)
