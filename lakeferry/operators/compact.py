@@ -7,6 +7,8 @@ only the chosen partition directories are replaced and the rest keep their files
 
 Scale notes for the Parquet rewrite:
 * one read, one shuffle, one write for all chosen partitions, however many there are;
+* partitions without small files are skipped (a metadata-only scan finds them), so
+  re-running over a window rewrites only the partitions written to since;
 * AQE sizes the output: small partitions merge, a hot key (say one type holding a third
   of the rows) is split into several advisory-size files instead of one huge task;
 * the old files are removed only when the job commits, so a lost executor just makes its
@@ -42,17 +44,56 @@ def _delta_table(spark: SparkSession, path: str):
     return spark._jvm.io.delta.tables.DeltaTable.forPath(spark._jsparkSession, path)
 
 
-def _rewrite(spark: SparkSession, path: str, where: Column | None, target_file_bytes: int | None):
+def small_file_partitions(table: DataFrame, small_bytes: int) -> DataFrame:
+    """Partitions holding at least two files under ``small_bytes`` — the ones a rewrite
+    would shrink. Reads only file metadata of the (partition-pruned) scan: per task one
+    row per file survives the partial aggregate, then one row per partition."""
+    files = table.select(
+        *PARTITION_KEYS,
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_size").alias("size"),
+    ).distinct()
+    return (
+        files.groupBy(*PARTITION_KEYS)
+        .agg(F.count_if(F.col("size") < F.lit(small_bytes)).alias("small_files"))
+        .where(F.col("small_files") >= 2)
+        .select(*PARTITION_KEYS)
+    )
+
+
+def _key_in(keys: list[tuple]) -> Column:
+    """Partition predicate: (type, date) is one of ``keys`` (nulls match nulls)."""
+    def pair(row):
+        return F.struct(*[F.lit(v).cast("string").alias(k) for k, v in zip(PARTITION_KEYS, row)])
+
+    return F.struct(*PARTITION_KEYS).isin([pair(r) for r in keys])
+
+
+def _rewrite(
+    spark: SparkSession, path: str, where: Column | None, target_file_bytes: int | None
+) -> int:
+    """Rewrite the chosen partitions that have small files; returns how many.
+
+    Partitions already compacted (at most one file under the target size) are left
+    alone, as Delta's OPTIMIZE does, so a daily run over a week-long window rewrites
+    only what changed since the last run. The list of partitions to rewrite is at most
+    the number of partitions matched by ``where``.
+    """
     table = read_table(spark, path, "parquet")
     chosen = table if where is None else table.where(where)
+    small = target_file_bytes or DEFAULT_TARGET_FILE_BYTES
+    keys = [tuple(r) for r in small_file_partitions(chosen, small).collect()]
+    if not keys:
+        return 0
     settings = {}
     if target_file_bytes:
         settings["spark.sql.adaptive.advisoryPartitionSizeInBytes"] = str(target_file_bytes)
     with conf_scope(spark, settings):
         write_table(
-            chosen, path, mode="overwrite", fmt="parquet", optimize_write=True,
-            replace="partitions",
+            chosen.where(_key_in(keys)), path, mode="overwrite", fmt="parquet",
+            optimize_write=True, replace="partitions",
         )
+    return len(keys)
 
 
 def choose_targets(

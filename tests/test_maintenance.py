@@ -196,3 +196,53 @@ def test_windowed_file_listing(spark, sf_small):
     assert file_counts(spark, path, []).count() == 0
     assert file_counts(spark, path, ["1999-01-01"]).count() == 0
     assert file_counts(spark, path, ["1999-01-01", "2024-01-30"]).count() == 5
+
+
+def _file_paths(spark, path):
+    from lakeferry.sources.table import list_data_files
+
+    return {r[0] for r in list_data_files(spark, path).select("path").collect()}
+
+
+def test_second_compaction_rewrites_nothing(spark, sf_small):
+    """Already compacted partitions are left alone (as Delta's OPTIMIZE does): a rerun over
+    the same window keeps every file, and only partitions with new small files are
+    rewritten."""
+    path = small_file_table(spark, sf_small)
+    compact_recent(spark, path, 7, "2024-01-30")
+    after_first = _file_paths(spark, path)
+    compact_recent(spark, path, 7, "2024-01-30")
+    assert _file_paths(spark, path) == after_first
+    # two more small files into one compacted partition: only that one is rewritten
+    one = read_table(spark, path).where(
+        "partition_message_type = 'click' AND partition_date = '2024-01-30'"
+    )
+    from lakeferry.sources.table import write_table
+
+    write_table(one.limit(2).repartition(2), path, mode="append", optimize_write=False)
+    added = _file_paths(spark, path) - after_first
+    assert len(added) == 2
+    n = read_table(spark, path).count()
+    compact_recent(spark, path, 7, "2024-01-30")
+    now = _file_paths(spark, path)
+    changed = {p for p in after_first ^ now if "partition_date=2024-01-30" in p}
+    assert (after_first - now) and all(
+        "partition_message_type=click/partition_date=2024-01-30" in p for p in after_first ^ now
+    ), changed
+    assert read_table(spark, path).count() == n
+
+
+def test_small_file_scan_reads_metadata_only(spark, sf_small):
+    from lakeferry.operators.compact import _key_in, small_file_partitions
+    from lakeferry.operators.stats import in_window
+
+    t = read_table(spark, small_file_table(spark, sf_small))
+    p = small_file_partitions(t.where(in_window(7, "2024-01-30")), 1 << 20)
+    plan = p._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<>" in plan and "PartitionFilters: [isnotnull(partition_date" in plan
+    keys = [("click", "2024-01-30"), (None, None)]
+    pruned = t.where(_key_in(keys))._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [struct(partition_message_type" in pruned, pruned
+    assert t.where(_key_in(keys)).count() == t.where(
+        "partition_message_type = 'click' AND partition_date = '2024-01-30'"
+    ).count()
