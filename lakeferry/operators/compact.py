@@ -7,7 +7,7 @@ only the chosen partition directories are replaced and the rest keep their files
 
 Scale notes for the Parquet rewrite:
 * one read, one shuffle, one write for all chosen partitions, however many there are;
-* partitions without small files are skipped (a metadata-only scan finds them), so
+* partitions without small files are skipped (the file listing finds them), so
   re-running over a window rewrites only the partitions written to since;
 * AQE sizes the output: small partitions merge, a hot key (say one type holding a third
   of the rows) is split into several advisory-size files instead of one huge task;
@@ -27,6 +27,7 @@ from lakeferry.operators.stats import (
     date_predicates,
     date_window,
     in_window,
+    window_dates,
     recent_partitions,
 )
 from lakeferry.schema import PARTITION_KEYS
@@ -44,18 +45,12 @@ def _delta_table(spark: SparkSession, path: str):
     return spark._jvm.io.delta.tables.DeltaTable.forPath(spark._jsparkSession, path)
 
 
-def small_file_partitions(table: DataFrame, small_bytes: int) -> DataFrame:
+def small_file_partitions(files: DataFrame, small_bytes: int) -> DataFrame:
     """Partitions holding at least two files under ``small_bytes`` — the ones a rewrite
-    would shrink. Reads only file metadata of the (partition-pruned) scan: per task one
-    row per file survives the partial aggregate, then one row per partition."""
-    files = table.select(
-        *PARTITION_KEYS,
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_size").alias("size"),
-    ).distinct()
+    would shrink — from a file listing (:func:`list_data_files`): no data file is opened."""
     return (
         files.groupBy(*PARTITION_KEYS)
-        .agg(F.count_if(F.col("size") < F.lit(small_bytes)).alias("small_files"))
+        .agg(F.count_if(F.col("size_bytes") < F.lit(small_bytes)).alias("small_files"))
         .where(F.col("small_files") >= 2)
         .select(*PARTITION_KEYS)
     )
@@ -70,28 +65,35 @@ def _key_in(keys: list[tuple]) -> Column:
 
 
 def _rewrite(
-    spark: SparkSession, path: str, where: Column | None, target_file_bytes: int | None
+    spark: SparkSession,
+    path: str,
+    where: Column | None,
+    target_file_bytes: int | None,
+    dates: list[str] | None = None,
 ) -> int:
-    """Rewrite the chosen partitions that have small files; returns how many.
+    """Rewrite the partitions matched by ``where`` that have small files; returns how many.
 
     Partitions already compacted (at most one file under the target size) are left
     alone, as Delta's OPTIMIZE does, so a daily run over a week-long window rewrites
-    only what changed since the last run. The list of partitions to rewrite is at most
-    the number of partitions matched by ``where``.
+    only what changed since the last run. They are found from the file listing (only the
+    ``dates`` directories when given); the list of partitions to rewrite is at most the
+    number of partitions matched by ``where``.
     """
-    table = read_table(spark, path, "parquet")
-    chosen = table if where is None else table.where(where)
+    files = list_data_files(spark, path, dates)
+    if where is not None:
+        files = files.where(where)
     small = target_file_bytes or DEFAULT_TARGET_FILE_BYTES
-    keys = [tuple(r) for r in small_file_partitions(chosen, small).collect()]
+    keys = [tuple(r) for r in small_file_partitions(files, small).collect()]
     if not keys:
         return 0
+    chosen = read_table(spark, path, "parquet").where(_key_in(keys))
     settings = {}
     if target_file_bytes:
         settings["spark.sql.adaptive.advisoryPartitionSizeInBytes"] = str(target_file_bytes)
     with conf_scope(spark, settings):
         write_table(
-            chosen.where(_key_in(keys)), path, mode="overwrite", fmt="parquet",
-            optimize_write=True, replace="partitions",
+            chosen, path, mode="overwrite", fmt="parquet", optimize_write=True,
+            replace="partitions",
         )
     return len(keys)
 
@@ -161,7 +163,8 @@ def compact_recent(
         where = f"partition_date >= '{lo}' AND partition_date <= '{hi}'"
         _delta_table(spark, path).optimize().where(where).executeCompaction()
     else:
-        _rewrite(spark, path, in_window(days, as_of), target_file_bytes)
+        _rewrite(spark, path, in_window(days, as_of), target_file_bytes,
+                 dates=window_dates(days, as_of))
     target = f"last {days} days to {as_of}"
     return spark.createDataFrame([(target, "compacted", None)], STATUS_SCHEMA)
 
@@ -201,11 +204,23 @@ def file_report(before: DataFrame, after: DataFrame, row_counts: DataFrame) -> D
     it came from no longer exists afterwards.
     """
     b = before.select(*PARTITION_KEYS, F.col("files").alias("files_before"),
-                      F.col("bytes").alias("bytes_before"))
+                      F.col("bytes").alias("bytes_before")).alias("b")
     a = after.select(*PARTITION_KEYS, F.col("files").alias("files_after"),
-                     F.col("bytes").alias("bytes_after"))
+                     F.col("bytes").alias("bytes_after")).alias("a")
+    c = row_counts.alias("c")
+    # null-safe keys: the null (tombstone) partition is one partition, not unmatched rows
+    both = b.join(
+        a, [F.col(f"b.{k}").eqNullSafe(F.col(f"a.{k}")) for k in PARTITION_KEYS], "full_outer"
+    ).select(
+        *[F.coalesce(F.col(f"b.{k}"), F.col(f"a.{k}")).alias(k) for k in PARTITION_KEYS],
+        "files_before", "bytes_before", "files_after", "bytes_after",
+    ).alias("f")
+    extra = [x for x in row_counts.columns if x not in PARTITION_KEYS]
     return (
-        b.join(a, list(PARTITION_KEYS), "full_outer")
-        .join(row_counts, list(PARTITION_KEYS), "left")
+        both.join(c, [F.col(f"f.{k}").eqNullSafe(F.col(f"c.{k}")) for k in PARTITION_KEYS],
+                  "left")
+        .select(*[F.col(f"f.{k}").alias(k) for k in PARTITION_KEYS],
+                "files_before", "bytes_before", "files_after", "bytes_after",
+                *[F.col(f"c.{x}").alias(x) for x in extra])
         .na.fill(0, ["files_before", "files_after", "bytes_before", "bytes_after"])
     )

@@ -68,6 +68,13 @@ def date_window(days: int, as_of: str | _dt.date | None = None) -> tuple[str, st
     return (end - _dt.timedelta(days=days)).isoformat(), end.isoformat()
 
 
+def window_dates(days: int, as_of=None) -> list[str]:
+    """Every date of ``[as_of - days, as_of]``, newest first (days+1 values)."""
+    lo, hi = date_window(days, as_of)
+    end = _dt.date.fromisoformat(hi)
+    return [(end - _dt.timedelta(days=i)).isoformat() for i in range(days + 1)]
+
+
 def in_window(days: int, as_of=None, column: str = DATE_KEY) -> Column:
     """Text range predicate on the date key (dates compare as ``yyyy-MM-dd`` text)."""
     lo, hi = date_window(days, as_of)

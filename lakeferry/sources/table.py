@@ -97,11 +97,19 @@ def write_table(
     w.format(fmt).save(path)
 
 
+# Fixed value: the directory name Spark gives a null (or empty) partition value.
+DEFAULT_PARTITION_NAME = "__HIVE_DEFAULT_PARTITION__"
+
+
 def _key_from_path(key: str) -> Column:
     """Partition value from a file path. Spark escapes special characters as %XX in
-    directory names but leaves '+' alone, so '+' is protected before URL-decoding."""
+    directory names but leaves '+' alone, so '+' is protected before URL-decoding; the
+    default partition name reads back as null, as the table scan gives it."""
     raw = F.regexp_extract(F.col("path"), f"/{key}=([^/]*)/", 1)
-    return F.url_decode(F.regexp_replace(raw, r"\+", "%2B")).alias(key)
+    value = F.url_decode(F.regexp_replace(raw, r"\+", "%2B"))
+    return F.when(raw == F.lit(DEFAULT_PARTITION_NAME), F.lit(None).cast("string")).otherwise(
+        value
+    ).alias(key)
 
 
 def list_data_files(spark: SparkSession, path: str, dates: list[str] | None = None) -> DataFrame:

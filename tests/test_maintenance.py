@@ -232,17 +232,46 @@ def test_second_compaction_rewrites_nothing(spark, sf_small):
     assert read_table(spark, path).count() == n
 
 
-def test_small_file_scan_reads_metadata_only(spark, sf_small):
+def test_small_file_check_lists_files_only(spark, sf_small):
+    """The small-file check reads the listing (no file contents) and the rewrite is pruned
+    to the chosen partitions, null (tombstone) partition included."""
     from lakeferry.operators.compact import _key_in, small_file_partitions
-    from lakeferry.operators.stats import in_window
-
-    t = read_table(spark, small_file_table(spark, sf_small))
-    p = small_file_partitions(t.where(in_window(7, "2024-01-30")), 1 << 20)
-    plan = p._jdf.queryExecution().executedPlan().toString()
-    assert "ReadSchema: struct<>" in plan and "PartitionFilters: [isnotnull(partition_date" in plan
-    keys = [("click", "2024-01-30"), (None, None)]
-    pruned = t.where(_key_in(keys))._jdf.queryExecution().executedPlan().toString()
+    from lakeferry.sources.table import list_data_files
+
+    path = small_file_table(spark, sf_small)
+    files = list_data_files(spark, path, ["2024-01-30"])
+    plan = files._jdf.queryExecution().executedPlan().toString()
+    assert "content" not in plan.split("ReadSchema:")[1].split("\n")[0], plan
+    keys = {tuple(r) for r in small_file_partitions(files, 1 << 20).collect()}
+    assert keys
+    assert ("click", "2024-01-30") in keys and all(k[1] == "2024-01-30" for k in keys)
+    t = read_table(spark, path)
+    pick = [("click", "2024-01-30"), (None, None)]
+    pruned = t.where(_key_in(pick))._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [struct(partition_message_type" in pruned, pruned
-    assert t.where(_key_in(keys)).count() == t.where(
+    assert t.where(_key_in(pick)).count() == t.where(
         "partition_message_type = 'click' AND partition_date = '2024-01-30'"
     ).count()
+
+
+def test_tombstone_partition_lists_as_null_and_compacts(spark):
+    from lakeferry.operators.messages import enrich
+    from lakeferry.sources.synth import literal_messages
+    from lakeferry.sources.table import list_data_files, write_table
+
+    path = scratch_path(spark, "tomb")
+    rows = [(None, None, None, None), ("click", "2024-01-30", "a", 1)]
+    for _ in range(2):  # two small files in each partition
+        write_table(enrich(literal_messages(spark, rows)), path, optimize_write=False)
+    listing = list_data_files(spark, path).select("partition_message_type", "partition_date")
+    assert {tuple(r) for r in listing.collect()} == {(None, None), ("click", "2024-01-30")}
+    before = file_counts(spark, path).checkpoint()
+    compact_all(spark, path)
+    assert _files(spark, path) == {(None, None): 1, ("click", "2024-01-30"): 1}
+    from lakeferry.operators.compact import file_report
+
+    counts = read_table(spark, path).groupBy("partition_message_type", "partition_date").count()
+    rep = {(r[0], r[1]): (r["files_before"], r["files_after"], r["count"])
+           for r in file_report(before, file_counts(spark, path), counts).collect()}
+    assert rep == {(None, None): (2, 1, 2), ("click", "2024-01-30"): (2, 1, 2)}
+    assert read_table(spark, path).where("partition_date IS NULL").count() == 2
