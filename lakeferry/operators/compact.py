@@ -40,6 +40,10 @@ STATUS_SCHEMA = "target string, status string, error string"
 # rewrite. A key larger than this is split into files of about this size.
 DEFAULT_TARGET_FILE_BYTES = 256 * 1024 * 1024
 
+# Up to this many partitions to rewrite are named in a literal partition filter; beyond
+# it (a whole-table pass over years of dates) they are matched by a semi-join instead.
+MAX_LISTED_KEYS = 10_000
+
 
 def _delta_table(spark: SparkSession, path: str):
     return spark._jvm.io.delta.tables.DeltaTable.forPath(spark._jsparkSession, path)
@@ -83,10 +87,23 @@ def _rewrite(
     if where is not None:
         files = files.where(where)
     small = target_file_bytes or DEFAULT_TARGET_FILE_BYTES
-    keys = [tuple(r) for r in small_file_partitions(files, small).collect()]
+    todo = small_file_partitions(files, small)
+    keys = [tuple(r) for r in todo.limit(MAX_LISTED_KEYS + 1).collect()]
     if not keys:
         return 0
-    chosen = read_table(spark, path, "parquet").where(_key_in(keys))
+    table = read_table(spark, path, "parquet")
+    if len(keys) <= MAX_LISTED_KEYS:
+        # a literal key list is a partition filter: only those directories are read
+        chosen = table.where(_key_in(keys))
+        n = len(keys)
+    else:
+        # too many to ship as a literal: prune by ``where``, then a (shuffle) semi-join
+        # keeps the rows of partitions to rewrite; the key list never reaches the driver
+        base = table if where is None else table.where(where)
+        t, k = base.alias("t"), todo.alias("k")
+        on = [F.col(f"t.{c}").eqNullSafe(F.col(f"k.{c}")) for c in PARTITION_KEYS]
+        chosen = t.join(k, on, "left_semi")  # AQE splits a hot key's side of the join
+        n = todo.count()  # before the rewrite changes what the listing describes
     settings = {}
     if target_file_bytes:
         settings["spark.sql.adaptive.advisoryPartitionSizeInBytes"] = str(target_file_bytes)
@@ -95,7 +112,7 @@ def _rewrite(
             chosen, path, mode="overwrite", fmt="parquet", optimize_write=True,
             replace="partitions",
         )
-    return len(keys)
+    return n
 
 
 def choose_targets(
