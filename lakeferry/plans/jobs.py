@@ -15,7 +15,12 @@ from lakeferry.operators.compact import (
     compact_partitions,
     compact_recent,
 )
-from lakeferry.operators.stats import partition_row_counts, total_row_count, validate_predicates
+from lakeferry.operators.stats import (
+    partition_row_counts,
+    total_row_count,
+    validate_predicates,
+    window_dates,
+)
 from lakeferry.operators.vacuum import vacuum
 from lakeferry.plans.params import IngestParams, MaintainParams
 from lakeferry.session import build_session, configure_object_store, object_store_conf
@@ -87,7 +92,10 @@ def _compact(spark: SparkSession, p: MaintainParams) -> DataFrame:
         return compact_partitions(spark, path, preds, per_partition=p.per_partition)
     if p.per_partition:
         preds = choose_targets(spark, path, None, p.days_to_compact, p.as_of)
-        return compact_partitions(spark, path, preds, per_partition=True)
+        return compact_partitions(
+            spark, path, preds, per_partition=True,
+            dates=window_dates(p.days_to_compact, p.as_of),
+        )
     return compact_recent(spark, path, p.days_to_compact, p.as_of)
 
 

@@ -291,3 +291,23 @@ def test_many_partitions_are_matched_by_semi_join(spark, sf_small, monkeypatch):
     assert after.keys() == before.keys() and set(after.values()) == {1}
     assert read_table(spark, path).count() == n
     assert C._rewrite(spark, path, None, None) == 0  # nothing left to do
+
+
+def test_per_partition_job_compacts_the_window_only(spark, sf_small):
+    """The job's one-target-per-date mode: the window's dates are compacted (listing only
+    those date directories), every other date keeps its files, every row is kept."""
+    path = small_file_table(spark, sf_small)
+    before = _files(spark, path)
+    n = read_table(spark, path).count()
+    res = run_maintenance(spark, MaintainParams(
+        table_path=path, as_of="2024-01-30", days_to_compact=2, per_partition=True,
+        vacuum=False, generate_statistics=False))
+    assert [r.status for r in res.steps.collect()] == ["ok", "ok"]
+    after = _files(spark, path)
+    window = {"2024-01-28", "2024-01-29", "2024-01-30"}
+    for key, files in after.items():
+        if key[1] in window:
+            assert files == 1, key
+        else:
+            assert files == before[key], key
+    assert read_table(spark, path).count() == n
