@@ -74,16 +74,18 @@ def _rewrite(
     where: Column | None,
     target_file_bytes: int | None,
     dates: list[str] | None = None,
+    listing: DataFrame | None = None,
 ) -> int:
     """Rewrite the partitions matched by ``where`` that have small files; returns how many.
 
     Partitions already compacted (at most one file under the target size) are left
     alone, as Delta's OPTIMIZE does, so a daily run over a week-long window rewrites
     only what changed since the last run. They are found from the file listing (only the
-    ``dates`` directories when given); the list of partitions to rewrite is at most the
-    number of partitions matched by ``where``.
+    ``dates`` directories when given, or a ``listing`` the caller shares between
+    targets); the list of partitions to rewrite is at most the number of partitions
+    matched by ``where``.
     """
-    files = list_data_files(spark, path, dates)
+    files = listing if listing is not None else list_data_files(spark, path, dates)
     if where is not None:
         files = files.where(where)
     small = target_file_bytes or DEFAULT_TARGET_FILE_BYTES
@@ -154,12 +156,19 @@ def compact_partitions(
             _rewrite(spark, path, any_of(predicates), target_file_bytes, dates)
         rows = [(p, "compacted", None) for p in predicates]
     else:
+        shared = None
+        if fmt == "parquet" and len(predicates) > 1:
+            # one listing for all targets, cut into the checkpoint folder; each predicate
+            # filters it on its own, so a bad predicate still fails only its target. A
+            # partition matched by two targets may be rewritten twice, never wrongly:
+            # the rewrite reads the table's current files.
+            shared = list_data_files(spark, path, dates).checkpoint()
         for p in predicates:
             try:
                 if fmt == "delta":
                     _delta_table(spark, path).optimize().where(p).executeCompaction()
                 else:
-                    _rewrite(spark, path, F.expr(p), target_file_bytes, dates)
+                    _rewrite(spark, path, F.expr(p), target_file_bytes, dates, shared)
                 rows.append((p, "compacted", None))
             except Exception as e:  # reported per target, the others still run
                 rows.append((p, "failed", str(e).splitlines()[0][:500]))
