@@ -31,7 +31,7 @@ from lakeferry.operators.stats import (
     recent_partitions,
 )
 from lakeferry.schema import PARTITION_KEYS
-from lakeferry.session import conf_scope
+from lakeferry.session import checkpoint_root, conf_scope
 from lakeferry.sources.table import list_data_files, read_table, table_format, write_table
 
 STATUS_SCHEMA = "target string, status string, error string"
@@ -162,6 +162,7 @@ def compact_partitions(
             # filters it on its own, so a bad predicate still fails only its target. A
             # partition matched by two targets may be rewritten twice, never wrongly:
             # the rewrite reads the table's current files.
+            checkpoint_root(spark)  # the shared folder must be registered first
             shared = list_data_files(spark, path, dates).checkpoint()
         for p in predicates:
             try:
