@@ -1,6 +1,7 @@
 """Command line for the two jobs.
 
-    python -m lakeferry ingest [--available-now] [--delta]
+    python -m lakeferry ingest [--available-now] [--topic-path P] [--max-per-trigger N]
+                               [--delta]
     python -m lakeferry maintain [--table-path P] [--days N] [--partitions "p1;p2"]
                                  [--no-vacuum] [--retention-hours H] [--no-stats]
                                  [--whole-table] [--per-partition] [--as-of YYYY-MM-DD] [--delta]
@@ -24,7 +25,10 @@ log = logging.getLogger("lakeferry")
 
 
 def _ingest(args) -> None:
-    params = IngestParams.from_env(**({"topic_path": args.topic_path} if args.topic_path else {}))
+    over = {"topic_path": args.topic_path} if args.topic_path else {}
+    if args.max_per_trigger:
+        over["max_per_trigger"] = args.max_per_trigger
+    params = IngestParams.from_env(**over)
     spark = build_session("lakeferry-ingest", delta=args.delta)
     try:
         q = start_ingest(spark, params, available_now=args.available_now,
@@ -75,6 +79,8 @@ def main(argv: list[str] | None = None) -> int:
     ing = sub.add_parser("ingest", help="topic -> partitioned table (streaming)")
     ing.add_argument("--available-now", action="store_true", help="drain and stop")
     ing.add_argument("--topic-path", help="offline topic directory instead of Kafka")
+    ing.add_argument("--max-per-trigger", type=int,
+                     help="records (Kafka) or files (offline topic) per micro-batch")
     ing.add_argument("--delta", action="store_true")
     m = sub.add_parser("maintain", help="compact, vacuum, statistics")
     m.add_argument("--table-path")

@@ -52,6 +52,7 @@ def start_ingest(
         path=params.topic_path,
         starting_offsets=params.starting_offsets,
         fail_on_data_loss=params.fail_on_data_loss,
+        max_per_trigger=params.max_per_trigger,
     )
     fmt = fmt or ("delta" if table_format(spark, params.table_path) == "delta" else "parquet")
     return append_stream(

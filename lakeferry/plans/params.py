@@ -71,6 +71,9 @@ class IngestParams:
     fail_on_data_loss: bool = False
     decode_mode: str = "FAILFAST"
     topic_path: str | None = None  # offline topic directory instead of Kafka
+    # records (Kafka offsets) or files (offline topic) per micro-batch; None = no bound.
+    # Bounds the first batch of a stream resuming after downtime.
+    max_per_trigger: int | None = None
 
     @classmethod
     def from_env(cls, env: Mapping[str, str] | None = None, **overrides) -> IngestParams:

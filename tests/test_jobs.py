@@ -27,6 +27,19 @@ def test_start_ingest_from_params(spark, sf_small):
     assert read_table(spark, table).count() == events.count()
 
 
+def test_ingest_batches_are_bounded(spark, sf_small):
+    topic, table, cp = (scratch_path(spark, n) for n in ("topic", "table", "cp"))
+    events = spark.read.parquet(f"{sf_small}/events.parquet")
+    msgs = encode_messages(messages_from_events(events)).repartition(3)
+    publish(msgs, "key", "value", "m", path=topic)
+    params = IngestParams(topic_path=topic, table_path=table, checkpoint=cp, max_per_trigger=1)
+    q = start_ingest(spark, params, available_now=True)
+    q.awaitTermination()
+    batches = [p for p in q.recentProgress if p["numInputRows"] > 0]
+    assert len(batches) == 3  # one topic file per micro-batch
+    assert read_table(spark, table).count() == events.count()
+
+
 def test_history_needs_delta(spark, sf_small):
     with pytest.raises(NotImplementedError):
         history(spark, small_file_table(spark, sf_small))
