@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import minhash
+from . import langid, minhash, quality
 from .common import read
 
 
@@ -12,5 +12,17 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(read(spark, sf_dir, "documents"), k=2, similarity_pct=80)
 
 
-QUERIES = {"op1_minhash_dedup": op1}
-ORACLES: dict[str, str] = {}
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(read(spark, sf_dir, "documents"))
+
+
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.evaluate(read(spark, sf_dir, "documents"))
+
+
+QUERIES = {
+    "op1_minhash_dedup": op1,
+    "op5_quality_rules": op5,
+    "op8_language_id": op8,
+}
+ORACLES: dict[str, str] = {"op5_quality_rules": quality.ORACLE}
