@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import langid, minhash, quality
+from . import langid, minhash, mixing, quality, sharding, urls
 from .common import read
 
 
@@ -12,17 +12,36 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(read(spark, sf_dir, "documents"), k=2, similarity_pct=80)
 
 
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.digest(read(spark, sf_dir, "documents"), n_shards=40)
+
+
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(read(spark, sf_dir, "pages"))
+
+
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(read(spark, sf_dir, "documents"))
 
 
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.evaluate(read(spark, sf_dir, "documents"))
+
+
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.evaluate(read(spark, sf_dir, "documents"))
 
 
 QUERIES = {
     "op1_minhash_dedup": op1,
+    "op2_byte_shards": op2,
+    "op4_url_filters": op4,
     "op5_quality_rules": op5,
+    "op7_source_mixing": op7,
     "op8_language_id": op8,
 }
-ORACLES: dict[str, str] = {"op5_quality_rules": quality.ORACLE}
+ORACLES: dict[str, str] = {
+    "op4_url_filters": urls.ORACLE,
+    "op5_quality_rules": quality.ORACLE,
+    "op7_source_mixing": mixing.oracle(),
+}
