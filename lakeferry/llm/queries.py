@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import langid, minhash, mixing, quality, sharding, urls
+from . import langid, minhash, mixing, packing, quality, secrets, sharding, urls
 from .common import read
 
 
@@ -32,6 +32,14 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.evaluate(read(spark, sf_dir, "documents"))
 
 
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(read(spark, sf_dir, "documents"))
+
+
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.evaluate(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_minhash_dedup": op1,
     "op2_byte_shards": op2,
@@ -39,6 +47,8 @@ QUERIES = {
     "op5_quality_rules": op5,
     "op7_source_mixing": op7,
     "op8_language_id": op8,
+    "op9_secret_scans": op9,
+    "op10_sequence_packing": op10,
 }
 ORACLES: dict[str, str] = {
     "op4_url_filters": urls.ORACLE,
