@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import langid, minhash, mixing, packing, quality, secrets, sharding, urls
+from . import ann, katz, langid, minhash, mixing, packing, quality, secrets, sharding, urls
 from .common import read
 
 
@@ -16,6 +16,10 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.digest(read(spark, sf_dir, "documents"), n_shards=40)
 
 
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.evaluate(spark, sf_dir)
+
+
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(read(spark, sf_dir, "pages"))
 
@@ -24,6 +28,10 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(read(spark, sf_dir, "documents"))
 
 
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz.score(read(spark, sf_dir, "documents"))
+
+
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.evaluate(read(spark, sf_dir, "documents"))
 
@@ -43,8 +51,10 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_minhash_dedup": op1,
     "op2_byte_shards": op2,
+    "op3_nearest_vectors": op3,
     "op4_url_filters": op4,
     "op5_quality_rules": op5,
+    "op6_katz_scores": op6,
     "op7_source_mixing": op7,
     "op8_language_id": op8,
     "op9_secret_scans": op9,
