@@ -14,7 +14,7 @@ from lakeferry.llm.common import Scratch, read
 
 MIN_LANGUAGE_SCORE = 0.3
 #: Mild damping: most documents of the most frequent values stay.
-MIX_TARGETS = {"source": 0.9, "lang": 0.9, "topic": 0.95}
+MIX_TARGETS = {"source": 0.95, "lang": 0.95, "topic": 1.0}
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -10,7 +10,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from ..session import scratch_path
+from ..session import conf_scope, scratch_path
+
+
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -28,7 +31,9 @@ class Scratch:
 
     def table(self, df: DataFrame, name: str) -> DataFrame:
         path = scratch_path(self.spark, f"llm-{name}")
-        df.write.option("compression", "zstd").parquet(path)
+        # what was shuffled for the table is not read again: its files go at once
+        with conf_scope(self.spark, {_CLEANUP: "true"}):
+            df.write.option("compression", "zstd").parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         out._scratch_path = path
         return out
