@@ -10,6 +10,8 @@ program sees only the histogram (``SEQ / STEP`` classes), however many documents
 
 from __future__ import annotations
 
+import base64
+import functools
 import math
 import zlib
 from collections import Counter
@@ -21,117 +23,77 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from .common import Scratch, map_arrow
-from .words import _piece_hashes, doc_ranges, text_buffers
+from .common import Scratch
 
 SEQ, STEP, END = 2048, 16, 1
-CACHE = 1 << 20  # chunks that a task remembers the ids of
+OUT_ROWS = 1000  # pieces in a batch that leaves a task
 RANK_ROWS = 200_000  # expected rows that one task ranks
-TOKENIZER = "byte_bpe_50k.json"
+TOKENIZER, RANKS = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = TOKENIZER) -> str:
     import public_tokenizers
 
-    return public_tokenizers.path(TOKENIZER)
+    return public_tokenizers.path(name)
 
 
 class Encoder:
-    """Ids of texts by ``tokenizers``, with each different chunk encoded once.
+    """Ids as the ``tokenizers`` file gives them. The same vocabulary as ranks is read by
+    ``tiktoken``, which gives the same ids for every text without a special token's string
+    in a third of the time; texts with one go to ``tokenizers``."""
 
-    The vocabulary's pre-tokenisation never joins what stands before a space to what stands
-    after it when a visible character follows the space, so a text may be cut there and
-    the ids of the chunks put together.
-    """
-
-    def __init__(self, path: str):
+    def __init__(self, path: str, ranks_path: str):
+        import public_tokenizers
+        import tiktoken
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        self.special = [t.encode() for t in (x.content for x in
-                                             self.tok.get_added_tokens_decoder().values())]
-        self._clear()
-
-    def _clear(self) -> None:
-        self.at: dict[int, int] = {}
-        self.start, self.size, self.flat, self.filled = [], [], np.zeros(1 << 16, np.uint16), 0
-
-    def _add(self, keys: list[int], chunks: list[str]) -> None:
-        for k, e in zip(keys, self.tok.encode_batch_fast(chunks, add_special_tokens=False)):
-            ids = e.ids
-            while self.filled + len(ids) > len(self.flat):
-                self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-            self.flat[self.filled : self.filled + len(ids)] = ids
-            self.at[k] = len(self.start)
-            self.start.append(self.filled)
-            self.size.append(len(ids))
-            self.filled += len(ids)
-
-    def encode(self, b: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all texts one after another, first id of each text)."""
-        if not len(b):
-            return np.zeros(0, np.uint16), np.zeros(len(off), np.int64)
-        raw = b.tobytes()
-        if any(t in raw for t in self.special):  # such a string is one id, whole
-            got = self.tok.encode_batch_fast(
-                [raw[i:j].decode() for i, j in zip(off, off[1:])], add_special_tokens=False)
-            ids = [np.array(e.ids, np.uint16) for e in got]
-            return np.concatenate(ids), np.concatenate([[0], np.cumsum([len(x) for x in ids])])
-        cut = np.zeros(len(b) + 1, bool)
-        cut[off] = True
-        after = b[1:]
-        cut[:-2] |= (b[:-1] == 32) & (((after > 32) & (after < 127)) | (after == 0xC3))
-        s = np.flatnonzero(cut[:-1])
-        e = np.append(s[1:], len(b))
-        h = _piece_hashes(b, s, e, lower=False)
-        keys, first, inv = np.unique(h, return_index=True, return_inverse=True)
-        if len(self.at) > CACHE:
-            self._clear()
-        known = keys.tolist()
-        new = [q for q, k in enumerate(known) if k not in self.at]
-        self._add([known[q] for q in new],
-                  [raw[s[first[q]] : e[first[q]]].decode() for q in new])
-        at = [self.at[k] for k in known]
-        start = np.array([self.start[i] for i in at], np.int64)[inv]
-        size = np.array([self.size[i] for i in at], np.int64)[inv]
-        end = np.cumsum(size)
-        pick = np.repeat(start - (end - size), size) + np.arange(end[-1])
-        before = np.concatenate([[0], end])
-        return self.flat[pick], before[np.searchsorted(s, off)]
-
-
-def cut_tokens(docs: DataFrame, path: str) -> DataFrame:
+        self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
+        with open(ranks_path, "rb") as f:
+            ranks = {base64.b64decode(k): int(v) for k, v in map(bytes.split, f)}
+        self.fast = tiktoken.Encoding(TOKENIZER, pat_str=public_tokenizers.PATTERN,
+                                      mergeable_ranks=ranks, special_tokens={})
+
+    def ids(self, text: str) -> np.ndarray:
+        if any(t in text for t in self.special):
+            return np.array(self.tok.encode(text, add_special_tokens=False).ids, np.uint16)
+        return self.fast.encode_to_numpy(text, disallowed_special=()).astype(np.uint16)
+
+
+@functools.cache
+def _encoder(path: str, ranks_path: str) -> Encoder:
+    return Encoder(path, ranks_path)  # one in each Python worker
+
+
+def cut_tokens(docs: DataFrame, path: str, ranks_path: str) -> DataFrame:
     """(row, doc_id, piece, start, length, doc_tokens, ids) of every piece of every text;
     ``row`` names a row of the input, ids are unsigned 16-bit little-endian."""
+    ddl = "row long, doc_id long, piece int, start long, length long, doc_tokens long, ids binary"
+    schema = to_arrow_schema(T._parse_datatype_string(ddl))
 
     def run(batches):
-        enc, n = Encoder(path), 0
+        enc, n = _encoder(path, ranks_path), 0
         base = TaskContext.get().partitionId() << 33
         for batch in batches:
-            b, off = text_buffers(batch.column("text"))
-            doc_id = batch.column("doc_id").to_pylist()
-            for i, j in doc_ranges(off):
-                ids, first = enc.encode(b[off[i] : off[j]], off[i : j + 1] - off[i])
-                out: dict[str, list] = {c: [] for c in arrow.names}
-                for d in range(j - i):
-                    x = np.append(ids[first[d] : first[d + 1]], np.uint16(END)).astype("<u2")
-                    for p, at in enumerate(range(0, len(x), SEQ)):
-                        y = x[at : at + SEQ]
-                        for c, v in zip(arrow.names, (base + n, doc_id[i + d], p, at, len(y),
-                                                      len(x), y.tobytes())):
-                            out[c].append(v)
-                    n += 1
+            out: list[tuple] = []
+            for doc_id, text in zip(batch.column("doc_id"), batch.column("text")):
+                x = np.append(enc.ids(text.as_py() or ""), np.uint16(END)).astype("<u2")
+                for p, at in enumerate(range(0, len(x), SEQ)):
+                    y = x[at : at + SEQ]
+                    out.append((base + n, doc_id.as_py(), p, at, len(y), len(x), y.tobytes()))
+                n += 1
+                if len(out) >= OUT_ROWS:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
+                    out = []
+            if out:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(out[f.name], f.type) for f in arrow], schema=arrow)
-
-    schema = "row long, doc_id long, piece int, start long, length long, doc_tokens long, ids binary"
-    arrow = T._parse_datatype_string(schema)
-    from pyspark.sql.pandas.types import to_arrow_schema
+                    [pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
 
-    arrow = to_arrow_schema(arrow)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"),
-                       F.col("text").cast("string").alias("text")).mapInArrow(run, schema)
+                       F.col("text").cast("string").alias("text")).mapInArrow(run, ddl)
 
 
 def _price(value: np.ndarray, sizes: np.ndarray, cap: int) -> tuple[float, np.ndarray]:
@@ -199,7 +161,7 @@ def _running(rows: DataFrame, value, name: str, group: list[str], salts: int) ->
         name, F.col("base") + F.coalesce(F.sum(value).over(inner), F.lit(0))).drop("base", "salt")
 
 
-def pack(docs: DataFrame, path: str | None = None) -> DataFrame:
+def pack(docs: DataFrame, path: str | None = None, ranks_path: str | None = None) -> DataFrame:
     """(doc_id, start, length, ids, doc_tokens, sequence_id, offset): one row for each piece
     of each row of ``docs``. Sequences hold at most ``SEQ`` tokens; offsets in one are
     gapless from 0.
@@ -209,7 +171,8 @@ def pack(docs: DataFrame, path: str | None = None) -> DataFrame:
     of a special token in a text is its id, as the tokenizer has it.
     """
     scratch = Scratch(docs.sparkSession)
-    pieces = scratch.table(cut_tokens(docs, path or tokenizer_path()), "pieces")
+    pieces = scratch.table(cut_tokens(
+        docs, path or tokenizer_path(), ranks_path or tokenizer_path(RANKS)), "pieces")
     rows = pieces.where("piece = 0").select(
         "row", F.floor(F.col("doc_tokens") / SEQ).cast("long").alias("whole"),
         (F.col("doc_tokens") % SEQ).cast("int").alias("rest"))
