@@ -29,7 +29,7 @@ from .common import Scratch, crc_mod
 from .words import doc_ranges, mix, text_buffers, words
 
 BLOCK = 2 << 20
-PARTITION = 1_500_000  # expected entries of a table partition
+PARTITION = 800_000  # expected entries of a table partition
 MAX_DISCOUNTED = 5
 _END = np.uint64(0x45F0C3D2E1B4A697)  # the end token's key
 _R = MAX_DISCOUNTED + 1
