@@ -29,7 +29,7 @@ from .common import Scratch
 
 SEQ, STEP, END = 2048, 16, 1
 OUT_ROWS = 1000  # pieces in a batch that leaves a task
-RANK_ROWS = 200_000  # expected rows that one task ranks
+RANK_ROWS = 20_000  # expected rows that one task ranks
 TOKENIZER, RANKS = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
 
 
@@ -178,7 +178,7 @@ def pack(docs: DataFrame, path: str | None = None, ranks_path: str | None = None
         (F.col("doc_tokens") % SEQ).cast("int").alias("rest"))
     rows = rows.withColumn("class", F.ceil(F.col("rest") / STEP).cast("int"))
     hist = {r["class"]: r["n"] for r in rows.groupBy("class").agg(F.count("*").alias("n")).collect()}
-    salts = max(1, math.ceil(sum(hist.values()) / RANK_ROWS))
+    salts = max(64, math.ceil(sum(hist.values()) / RANK_ROWS))
     hist.pop(0, None)
     sizes = np.array(sorted(hist), np.int64)
     patterns = solve(sizes, np.array([hist[c] for c in sizes], np.int64), SEQ // STEP)
