@@ -57,14 +57,13 @@ def _target(cells: DataFrame, dim: str, spec) -> DataFrame:
     if isinstance(spec, dict):
         named = F.create_map(*[x for k, v in spec.items() for x in (F.lit(k), F.lit(float(v)))])
         seen = seen.withColumn("named", named[F.col(dim)])
-        rest = seen.agg(F.sum(F.when(F.col("named").isNull(), F.col("t"))).alias("rest"))
+        rest = seen.agg(F.sum(F.when(F.col("named").isNull(), F.col("t")))).first()[0] or 1.0
         left = max(0.0, 1 - sum(spec.values()))
-        raw = seen.crossJoin(rest).withColumn(  # one row
-            "raw", F.coalesce("named", F.col("t") * left / F.col("rest")))
+        raw = seen.withColumn("raw", F.coalesce("named", F.col("t") * F.lit(left / rest)))
     else:
         raw = seen.withColumn("raw", F.pow(F.col("t"), F.lit(float(spec))))
-    whole = raw.agg(F.sum("raw").alias("whole"))
-    return raw.crossJoin(whole).select(dim, (F.col("raw") / F.col("whole")).alias("share"))
+    whole = raw.agg(F.sum("raw")).first()[0] or 1.0
+    return raw.select(dim, (F.col("raw") / F.lit(float(whole))).alias("share"))
 
 
 def rake(cells: DataFrame, targets: dict, scratch: Scratch) -> DataFrame:
