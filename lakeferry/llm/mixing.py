@@ -68,19 +68,21 @@ def _target(cells: DataFrame, dim: str, spec) -> DataFrame:
 
 def rake(cells: DataFrame, targets: dict, scratch: Scratch) -> DataFrame:
     """``cells`` (dimensions, n_tokens) with ``weight``, the factor that brings the shares
-    of every dimension to its target. Cells without tokens have weight 0."""
+    of every dimension to its target. Cells without tokens have weight 0. Targets that no
+    weights can reach together (a value all of whose cells have a share of 0 elsewhere) are
+    approached until a sweep no longer helps."""
     total = cells.agg(F.sum("n_tokens")).first()[0]
     if not total:
         return cells.withColumn("weight", F.lit(0.0))
     cells = cells.where("n_tokens > 0")
     goals = {d: scratch.table(_target(cells, d, s), "target") for d, s in targets.items()}
     now = scratch.table(cells.withColumn("w", F.col("n_tokens") / F.lit(float(total))), "cells")
-    last = list(targets)[-1]
+    last, gap_before = list(targets)[-1], float("inf")
     for _ in range(MAX_SWEEPS):
         nxt = now
         for d in targets:
             f = nxt.groupBy(d).agg(F.sum("w").alias("s")).join(goals[d], d).select(
-                d, (F.col("share") / F.col("s")).alias("f"))
+                d, F.when(F.col("s") > 0, F.col("share") / F.col("s")).otherwise(0.0).alias("f"))
             nxt = nxt.join(f, d).withColumn("w", F.col("w") * F.col("f")).drop("f")
         nxt = scratch.table(nxt.select(*cells.columns, "w"), "cells")
         scratch.drop(now)
@@ -89,8 +91,9 @@ def rake(cells: DataFrame, targets: dict, scratch: Scratch) -> DataFrame:
         for d in (d for d in targets if d != last):  # the last one holds by construction
             off = now.groupBy(d).agg(F.sum("w").alias("s")).join(goals[d], d)
             gap = max(gap, off.agg(F.max(F.abs(F.col("s") - F.col("share")))).first()[0] or 0.0)
-        if gap <= TOLERANCE:
+        if gap <= TOLERANCE or gap > 0.999 * gap_before:  # reached, or out of reach
             break
+        gap_before = gap
     return now.withColumn("weight", F.col("w") * F.lit(float(total)) / F.col("n_tokens")).drop("w")
 
 

@@ -1,0 +1,41 @@
+"""The pipeline's stages on a fixture, and what stays importable without it."""
+
+import corpus_pipeline as P
+from lakeferry.llm.common import Scratch
+
+
+def test_stages(spark, wide, rows):
+    scratch, docs, seen = Scratch(spark), scratch_in(spark, wide), {}
+    for name, stage in P.STAGES:
+        out = scratch.table(stage(spark, docs, ""), f"test-{name}")
+        if name != "sequence_packing":
+            assert out.columns == wide.columns
+            seen[name] = {r.doc_id: r.text for r in out.select("doc_id", "text").collect()}
+        docs = out
+    kept = seen["language_id"]
+    assert not {200, 201, 202, 204} & set(kept) and set(range(60)) <= set(kept)
+    left = seen["near_dedup"]
+    assert 3 in left and not set(range(110, 115)) & set(left) and not {100, 101} & set(left)
+    clean = {i for i in range(60)}
+    assert clean <= set(left)
+    assert "[SECRET]" in seen["secret_scan"][210]
+    assert set(seen["source_mixing"]) <= set(seen["secret_scan"])
+    assert {r.doc_id for r in docs.select("doc_id").collect()} == set(seen["source_mixing"])
+
+
+def scratch_in(spark, df):
+    return Scratch(spark).table(df, "test-in")
+
+
+def test_stage_names_and_run(spark):
+    assert [n for n, _ in P.STAGES] == ["language_id", "near_dedup", "secret_scan",
+                                        "source_mixing", "sequence_packing"]
+    out = P.run(spark, "/root/testdata/sf0.001")
+    assert out.count() > 100 and "sequence_id" in out.columns
+
+
+def test_empty(spark, none):
+    docs = none
+    for _, stage in P.STAGES:
+        docs = Scratch(spark).table(stage(spark, docs, ""), "test-none")
+    assert docs.count() == 0
