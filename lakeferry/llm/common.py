@@ -16,6 +16,17 @@ from ..session import conf_scope, scratch_path
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES = 8 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Holds Arrow batches to ``BATCH_BYTES``, so a Python worker has a few MB of whole
+    texts at a time however long they are; a smaller limit of the session's own stays."""
+    if int(spark.conf.get(_BATCH).rstrip("b")) > BATCH_BYTES:
+        spark.conf.set(_BATCH, str(BATCH_BYTES))
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
@@ -51,6 +62,7 @@ def map_arrow(
     """``mapInArrow`` for functions that turn a batch into dicts of column values."""
     st = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
     arrow = to_arrow_schema(st)
+    small_batches(df.sparkSession)
 
     def run(batches):
         for batch in batches:

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from .common import Scratch, crc_mod
+from .common import Scratch, crc_mod, small_batches
 from .words import doc_ranges, mix, text_buffers, words
 
 BLOCK = 2 << 20
@@ -276,6 +276,7 @@ def score(docs: DataFrame, held: int = 1, folds: int = 5) -> DataFrame:
     """
     spark = docs.sparkSession
     scratch = Scratch(spark)
+    small_batches(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                        F.col("text").cast("string").alias("text"),
                        (crc_mod(F.col("doc_id"), folds) == held).alias("held"))

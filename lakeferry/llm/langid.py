@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_mod, map_arrow
+from .common import crc_mod, map_arrow, small_batches
 from .words import LOWER, doc_ranges, mix, text_buffers
 
 SAMPLE_PER_LANG = 2000
@@ -174,6 +174,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     unless it is named lang_pred or score, which are replaced.
     """
     docs = docs.drop("lang_pred", "score")
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):

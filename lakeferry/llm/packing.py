@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from .common import Scratch
+from .common import Scratch, small_batches
 
 SEQ, STEP, END = 2048, 16, 1
 OUT_ROWS = 1000  # pieces in a batch that leaves a task
@@ -171,6 +171,7 @@ def pack(docs: DataFrame, path: str | None = None, ranks_path: str | None = None
     of a special token in a text is its id, as the tokenizer has it.
     """
     scratch = Scratch(docs.sparkSession)
+    small_batches(docs.sparkSession)
     pieces = scratch.table(cut_tokens(
         docs, path or tokenizer_path(), ranks_path or tokenizer_path(RANKS)), "pieces")
     rows = pieces.where("piece = 0").select(

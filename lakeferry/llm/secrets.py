@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import map_arrow
+from .common import map_arrow, small_batches
 from .words import LOWER, doc_ranges, text_buffers
 
 KINDS = ("assign", "access", "hex")
@@ -298,6 +298,7 @@ def redact(docs: DataFrame, models: dict[str, Automaton] | None = None,
     (spans that overlap become one). ``n_chars``, if there, follows the new text."""
     models = learn(docs.select("doc_id", "text")) if models is None else models
     has_chars = "n_chars" in docs.columns
+    small_batches(docs.sparkSession)
 
     def run(batches):
         for batch in batches:
