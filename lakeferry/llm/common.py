@@ -23,7 +23,8 @@ BATCH_BYTES = 8 << 20
 def small_batches(spark: SparkSession) -> None:
     """Holds Arrow batches to ``BATCH_BYTES``, so a Python worker has a few MB of whole
     texts at a time however long they are; a smaller limit of the session's own stays."""
-    if int(spark.conf.get(_BATCH).rstrip("b")) > BATCH_BYTES:
+    to_bytes = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
+    if to_bytes(spark.conf.get(_BATCH)) > BATCH_BYTES:
         spark.conf.set(_BATCH, str(BATCH_BYTES))
 
 
