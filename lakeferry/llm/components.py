@@ -7,7 +7,7 @@ round is written to a scratch table; only a count and a checksum reach the drive
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .common import Scratch
@@ -31,9 +31,12 @@ def _small_star(e: DataFrame) -> DataFrame:
     return moved.unionByName(x.select("u", F.col("m").alias("v")))
 
 
-def _state(e: DataFrame) -> tuple:
-    r = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-    return r[0], r[1]
+def _written(e: DataFrame, scratch: Scratch) -> tuple[DataFrame, tuple]:
+    """The edges as a table, and their count and checksum, observed while it is written."""
+    seen = Observation()
+    t = scratch.table(e.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(
+        F.xxhash64("u", "v").cast("decimal(38,0)")).alias("check")), "edges")
+    return t, (seen.get["n"], seen.get["check"])
 
 
 def connected_components(edges: DataFrame, scratch: Scratch) -> DataFrame:
@@ -47,11 +50,9 @@ def connected_components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     a, b = edges.columns
     e = (edges.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u <> v")
          .select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
-    e = scratch.table(e, "edges")
-    state = _state(e)
+    e, state = _written(e, scratch)
     while state[0]:
-        nxt = scratch.table(_small_star(_large_star(e).distinct()).distinct(), "edges")
-        new = _state(nxt)
+        nxt, new = _written(_small_star(_large_star(e).distinct()).distinct(), scratch)
         scratch.drop(e)
         e, same = nxt, new == state
         state = new

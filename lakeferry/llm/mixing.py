@@ -51,19 +51,41 @@ def _features(docs: DataFrame) -> list[Column]:
         .cast("long").alias("n_tokens")]
 
 
-def _target(cells: DataFrame, dim: str, spec) -> DataFrame:
-    """(dim, share): shares of the values present, which sum to 1."""
-    seen = cells.groupBy(dim).agg(F.sum("n_tokens").cast("double").alias("t"))
-    if isinstance(spec, dict):
-        named = F.create_map(*[x for k, v in spec.items() for x in (F.lit(k), F.lit(float(v)))])
-        seen = seen.withColumn("named", named[F.col(dim)])
-        rest = seen.agg(F.sum(F.when(F.col("named").isNull(), F.col("t")))).first()[0] or 1.0
-        left = max(0.0, 1 - sum(spec.values()))
-        raw = seen.withColumn("raw", F.coalesce("named", F.col("t") * F.lit(left / rest)))
-    else:
-        raw = seen.withColumn("raw", F.pow(F.col("t"), F.lit(float(spec))))
-    whole = raw.agg(F.sum("raw")).first()[0] or 1.0
-    return raw.select(dim, (F.col("raw") / F.lit(float(whole))).alias("share"))
+def _marginals(rows: DataFrame, dims, value: str) -> DataFrame:
+    """(dim, value, s): the sum of a column for every value of every dimension."""
+    out = None
+    for d in dims:
+        one = rows.groupBy(F.col(d).alias("value")).agg(F.sum(value).cast("double").alias("s"))
+        one = one.select(F.lit(d).alias("dim"), "value", "s")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def _goals(cells: DataFrame, targets: dict, scratch: Scratch) -> DataFrame:
+    """(dim, value, share): target shares of the values present; each dimension's sum to 1."""
+    seen = _marginals(cells, targets, "n_tokens")
+    raw, named = F.col("s"), F.lit(None).cast("double")
+    for d, spec in targets.items():
+        if isinstance(spec, dict):
+            for k, v in spec.items():
+                named = F.when((F.col("dim") == d) & (F.col("value") == k), float(v)).otherwise(named)
+        else:
+            raw = F.when(F.col("dim") == d, F.pow("s", F.lit(float(spec)))).otherwise(raw)
+    seen = scratch.table(seen.select("dim", "value", raw.alias("raw"), named.alias("named")), "seen")
+    sums = {r["dim"]: r for r in seen.groupBy("dim").agg(  # one row per dimension
+        F.sum(F.when(F.col("named").isNull(), F.col("raw"))).alias("rest"),
+        F.sum("named").alias("named")).collect()}
+    share = F.lit(0.0)
+    for d, spec in targets.items():
+        got = sums.get(d)
+        if got is None:
+            continue
+        rest, fixed = got["rest"] or 0.0, got["named"] or 0.0
+        left = max(0.0, 1 - sum(spec.values())) if isinstance(spec, dict) else 1.0
+        whole = fixed + (left if rest else 0.0) or 1.0
+        share = F.when(F.col("dim") == d, F.coalesce(
+            F.col("named"), F.col("raw") * F.lit(left / (rest or 1.0))) / F.lit(whole)).otherwise(share)
+    return scratch.table(seen.select("dim", "value", share.alias("share")), "goals")
 
 
 def rake(cells: DataFrame, targets: dict, scratch: Scratch) -> DataFrame:
@@ -75,22 +97,21 @@ def rake(cells: DataFrame, targets: dict, scratch: Scratch) -> DataFrame:
     if not total:
         return cells.withColumn("weight", F.lit(0.0))
     cells = cells.where("n_tokens > 0")
-    goals = {d: scratch.table(_target(cells, d, s), "target") for d, s in targets.items()}
+    goals = _goals(cells, targets, scratch)
     now = scratch.table(cells.withColumn("w", F.col("n_tokens") / F.lit(float(total))), "cells")
-    last, gap_before = list(targets)[-1], float("inf")
+    gap_before = float("inf")
     for _ in range(MAX_SWEEPS):
         nxt = now
         for d in targets:
-            f = nxt.groupBy(d).agg(F.sum("w").alias("s")).join(goals[d], d).select(
+            goal = goals.where(F.col("dim") == d).select(F.col("value").alias(d), "share")
+            f = nxt.groupBy(d).agg(F.sum("w").alias("s")).join(goal, d).select(
                 d, F.when(F.col("s") > 0, F.col("share") / F.col("s")).otherwise(0.0).alias("f"))
             nxt = nxt.join(f, d).withColumn("w", F.col("w") * F.col("f")).drop("f")
         nxt = scratch.table(nxt.select(*cells.columns, "w"), "cells")
         scratch.drop(now)
         now = nxt
-        gap = 0.0
-        for d in (d for d in targets if d != last):  # the last one holds by construction
-            off = now.groupBy(d).agg(F.sum("w").alias("s")).join(goals[d], d)
-            gap = max(gap, off.agg(F.max(F.abs(F.col("s") - F.col("share")))).first()[0] or 0.0)
+        gap = _marginals(now, targets, "w").join(goals, ["dim", "value"]).agg(
+            F.max(F.abs(F.col("s") - F.col("share")))).first()[0] or 0.0
         if gap <= TOLERANCE or gap > 0.999 * gap_before:  # reached, or out of reach
             break
         gap_before = gap
