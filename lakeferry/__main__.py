@@ -55,6 +55,8 @@ def _maintain(args) -> None:
         over["generate_statistics"] = False
     if args.whole_table:
         over["compact_by_partition"] = False
+    if args.allow_short_retention:
+        over["allow_short_retention"] = True
     if args.per_partition:
         over["per_partition"] = True
     if args.as_of:
@@ -67,7 +69,11 @@ def _maintain(args) -> None:
             log.info("%s: %s (%s)", r.step, r.status, r.detail)
         if res.partition_counts is not None:
             log.info("total rows: %s", res.total_rows)
-            res.partition_counts.show(200, truncate=False)
+            if args.stats_path:
+                res.partition_counts.write.mode("overwrite").parquet(args.stats_path)
+            else:
+                for r in res.partition_counts.toLocalIterator():
+                    log.info("%s", r.asDict())
     finally:
         spark.stop()
 
@@ -88,7 +94,10 @@ def main(argv: list[str] | None = None) -> int:
     m.add_argument("--partitions", help="predicates separated by ';'")
     m.add_argument("--no-vacuum", action="store_true")
     m.add_argument("--retention-hours", type=int)
+    m.add_argument("--allow-short-retention", action="store_true",
+                   help="accept a retention under 168 hours")
     m.add_argument("--no-stats", action="store_true")
+    m.add_argument("--stats-path", help="write the partition counts there instead of logging them")
     m.add_argument("--whole-table", action="store_true")
     m.add_argument("--per-partition", action="store_true")
     m.add_argument("--as-of")

@@ -116,7 +116,7 @@ def decode(values: pa.Array, fields: list[tuple[str, str]], failfast: bool = Tru
         if typ == "string":
             ln = _unzigzag(raw)
             ok = live & ~bad
-            bad |= ok & ((ln < 0) | (pos + np.maximum(ln, 0) > end))
+            bad |= ok & ((ln < 0) | (ln > end - pos))  # no sum: ln may be near 2^63
             ln = np.where(live & ~bad, ln, 0)
             columns.append((name, ln, pos.copy()))
             pos += ln

@@ -19,6 +19,8 @@ Scale notes for the Parquet rewrite:
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,8 +29,8 @@ from lakeferry.operators.stats import (
     date_predicates,
     date_window,
     in_window,
-    window_dates,
     recent_partitions,
+    validate_predicates,
 )
 from lakeferry.schema import PARTITION_KEYS
 from lakeferry.session import checkpoint_root, conf_scope
@@ -36,13 +38,20 @@ from lakeferry.sources.table import list_data_files, read_table, table_format, w
 
 STATUS_SCHEMA = "target string, status string, error string"
 
+log = logging.getLogger(__name__)
+
 # Size compaction aims at per output file: AQE's advisory partition size during the
 # rewrite. A key larger than this is split into files of about this size.
 DEFAULT_TARGET_FILE_BYTES = 256 * 1024 * 1024
 
-# Up to this many partitions to rewrite are named in a literal partition filter; beyond
-# it (a whole-table pass over years of dates) they are matched by a semi-join instead.
-MAX_LISTED_KEYS = 10_000
+# Partitions rewritten by one job; a pass over more of them is several jobs of the same
+# plan, so the list of one job's partitions, which is broadcast, has a fixed bound.
+JOB_PARTITIONS = 20_000
+
+
+def error_text(e: Exception) -> str:
+    """The whole message of an error, or its type when it has none."""
+    return str(e).strip() or type(e).__name__
 
 
 def _delta_table(spark: SparkSession, path: str):
@@ -50,13 +59,18 @@ def _delta_table(spark: SparkSession, path: str):
 
 
 def small_file_partitions(files: DataFrame, small_bytes: int) -> DataFrame:
-    """Partitions holding at least two files under ``small_bytes`` — the ones a rewrite
-    would shrink — from a file listing (:func:`list_data_files`): no data file is opened."""
+    """Partitions whose file count a rewrite lowers, and the ``pieces`` it makes of each,
+    from a file listing (:func:`list_data_files`): no data file is opened. A partition of
+    as few files as its bytes need is left alone, also when they are under the target, so a
+    second pass rewrites nothing."""
+    size = F.col("size_bytes")
     return (
         files.groupBy(*PARTITION_KEYS)
-        .agg(F.count_if(F.col("size_bytes") < F.lit(small_bytes)).alias("small_files"))
-        .where(F.col("small_files") >= 2)
-        .select(*PARTITION_KEYS)
+        .agg(F.count_if(size < F.lit(small_bytes)).alias("small_files"),
+             F.count(F.lit(1)).alias("files"),
+             F.ceil(F.sum(size) / F.lit(small_bytes)).alias("pieces"))
+        .where((F.col("small_files") >= 2) & (F.col("files") > F.col("pieces")))
+        .select(*PARTITION_KEYS, "pieces")
     )
 
 
@@ -68,53 +82,44 @@ def _key_in(keys: list[tuple]) -> Column:
     return F.struct(*PARTITION_KEYS).isin([pair(r) for r in keys])
 
 
+def _pieces(table: DataFrame, keys: list[tuple]) -> DataFrame:
+    """Rows of the listed partitions, dealt so that each partition gives its number of
+    files. ``keys`` holds (type, date, pieces) of at most ``JOB_PARTITIONS`` partitions."""
+    spark = table.sparkSession
+    chosen = table.where(_key_in([k[:2] for k in keys]))  # a partition filter
+    plan = spark.createDataFrame(keys, ", ".join(f"k_{k} string" for k in PARTITION_KEYS)
+                                 + ", pieces long")
+    on = [F.col(k).eqNullSafe(F.col(f"k_{k}")) for k in PARTITION_KEYS]
+    piece = F.pmod(F.xxhash64(*table.columns), "pieces")
+    tasks = max(spark.sparkContext.defaultParallelism, sum(int(k[2]) for k in keys))
+    return (chosen.join(F.broadcast(plan), on).withColumn("piece", piece)
+            .repartition(tasks, *PARTITION_KEYS, "piece").select(*table.columns))
+
+
 def _rewrite(
     spark: SparkSession,
     path: str,
     where: Column | None,
     target_file_bytes: int | None,
-    dates: list[str] | None = None,
     listing: DataFrame | None = None,
 ) -> int:
-    """Rewrite the partitions matched by ``where`` that have small files; returns how many.
-
-    Partitions already compacted (at most one file under the target size) are left
-    alone, as Delta's OPTIMIZE does, so a daily run over a week-long window rewrites
-    only what changed since the last run. They are found from the file listing (only the
-    ``dates`` directories when given, or a ``listing`` the caller shares between
-    targets); the list of partitions to rewrite is at most the number of partitions
-    matched by ``where``.
+    """Rewrite the partitions matched by ``where`` that have too many files; returns how
+    many. They are found from the file listing (or a ``listing`` that the caller shares
+    between targets). Each becomes as many files as its bytes need, so a hot partition is
+    split over tasks and is not rewritten again by the next run.
     """
-    files = listing if listing is not None else list_data_files(spark, path, dates)
+    files = listing if listing is not None else list_data_files(spark, path)
     if where is not None:
         files = files.where(where)
-    small = target_file_bytes or DEFAULT_TARGET_FILE_BYTES
-    todo = small_file_partitions(files, small)
-    keys = [tuple(r) for r in todo.limit(MAX_LISTED_KEYS + 1).collect()]
-    if not keys:
-        return 0
-    table = read_table(spark, path, "parquet")
-    if len(keys) <= MAX_LISTED_KEYS:
-        # a literal key list is a partition filter: only those directories are read
-        chosen = table.where(_key_in(keys))
-        n = len(keys)
-    else:
-        # too many to ship as a literal: prune by ``where``, then a (shuffle) semi-join
-        # keeps the rows of partitions to rewrite; the key list never reaches the driver
-        base = table if where is None else table.where(where)
-        t, k = base.alias("t"), todo.alias("k")
-        on = [F.col(f"t.{c}").eqNullSafe(F.col(f"k.{c}")) for c in PARTITION_KEYS]
-        chosen = t.join(k, on, "left_semi")  # AQE splits a hot key's side of the join
-        n = todo.count()  # before the rewrite changes what the listing describes
-    settings = {}
-    if target_file_bytes:
-        settings["spark.sql.adaptive.advisoryPartitionSizeInBytes"] = str(target_file_bytes)
-    with conf_scope(spark, settings):
+    todo = small_file_partitions(files, target_file_bytes or DEFAULT_TARGET_FILE_BYTES)
+    # names and piece counts of partitions, which the table's file index holds here anyway
+    keys = [tuple(r) for r in todo.orderBy(*PARTITION_KEYS).collect()]
+    for i in range(0, len(keys), JOB_PARTITIONS):
         write_table(
-            chosen, path, mode="overwrite", fmt="parquet", optimize_write=True,
-            replace="partitions",
+            _pieces(read_table(spark, path, "parquet"), keys[i : i + JOB_PARTITIONS]), path,
+            mode="overwrite", fmt="parquet", optimize_write=False, replace="partitions",
         )
-    return n
+    return len(keys)
 
 
 def choose_targets(
@@ -137,24 +142,29 @@ def compact_partitions(
     predicates: list[str],
     per_partition: bool = False,
     target_file_bytes: int | None = DEFAULT_TARGET_FILE_BYTES,
-    dates: list[str] | None = None,
 ) -> DataFrame:
     """Compact the partitions matched by ``predicates``; returns one status row per target.
 
     ``per_partition=True`` runs one job per predicate and isolates failures (a failing
     predicate is reported and skipped). The default runs a single job over the union of
-    the predicates (Parquet), which scales with data rather than with partition count.
-    ``dates``, when the caller knows every target lies in those dates, limits the
-    small-file listing to those date directories instead of the whole table.
+    the predicates (Parquet), which scales with data rather than with partition count; a
+    predicate that does not fit the partition columns is reported as failed there too.
     """
     fmt = table_format(spark, path)
     if fmt is None:
         raise FileNotFoundError(f"no table at {path}")
     rows: list[tuple] = []
     if fmt == "parquet" and not per_partition:
-        if predicates:
-            _rewrite(spark, path, any_of(predicates), target_file_bytes, dates)
-        rows = [(p, "compacted", None) for p in predicates]
+        good = []
+        for p in predicates:
+            try:
+                good += validate_predicates(spark, [p])
+            except Exception as e:  # reported, the others still run
+                rows.append((p, "failed", error_text(e)))
+        if good:
+            n = _rewrite(spark, path, any_of(good), target_file_bytes)
+            log.info("%d partitions rewritten", n)
+            rows += [(p, "compacted", None) for p in good]
     else:
         shared = None
         if fmt == "parquet" and len(predicates) > 1:
@@ -163,16 +173,17 @@ def compact_partitions(
             # partition matched by two targets may be rewritten twice, never wrongly:
             # the rewrite reads the table's current files.
             checkpoint_root(spark)  # the shared folder must be registered first
-            shared = list_data_files(spark, path, dates).checkpoint()
+            shared = list_data_files(spark, path).checkpoint()
         for p in predicates:
             try:
                 if fmt == "delta":
                     _delta_table(spark, path).optimize().where(p).executeCompaction()
                 else:
-                    _rewrite(spark, path, F.expr(p), target_file_bytes, dates, shared)
+                    n = _rewrite(spark, path, F.expr(p), target_file_bytes, shared)
+                    log.info("%s: %d partitions rewritten", p, n)
                 rows.append((p, "compacted", None))
             except Exception as e:  # reported per target, the others still run
-                rows.append((p, "failed", str(e).splitlines()[0][:500]))
+                rows.append((p, "failed", error_text(e)))
     return spark.createDataFrame(rows, STATUS_SCHEMA)
 
 
@@ -183,8 +194,9 @@ def compact_recent(
     as_of=None,
     target_file_bytes: int | None = DEFAULT_TARGET_FILE_BYTES,
 ) -> DataFrame:
-    """Compact the dates in ``[as_of - days, as_of]`` in one pass (Parquet) — the filter is a
-    partition filter, so only those directories are listed and read."""
+    """Compact the dates in ``[as_of - days, as_of]`` in one pass (Parquet). The window is a
+    text range over all partition names, so any date text inside it counts; only the
+    chosen directories are read."""
     fmt = table_format(spark, path)
     if fmt is None:
         raise FileNotFoundError(f"no table at {path}")
@@ -193,8 +205,7 @@ def compact_recent(
         where = f"partition_date >= '{lo}' AND partition_date <= '{hi}'"
         _delta_table(spark, path).optimize().where(where).executeCompaction()
     else:
-        _rewrite(spark, path, in_window(days, as_of), target_file_bytes,
-                 dates=window_dates(days, as_of))
+        _rewrite(spark, path, in_window(days, as_of), target_file_bytes)
     target = f"last {days} days to {as_of}"
     return spark.createDataFrame([(target, "compacted", None)], STATUS_SCHEMA)
 

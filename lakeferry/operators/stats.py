@@ -92,12 +92,13 @@ def recent_partitions(table: DataFrame, days: int = 7, as_of=None) -> DataFrame:
 
 
 def date_predicates(dates: DataFrame) -> list[str]:
-    """Render a (small, window-bounded) frame of dates as ``partition_date = '…'`` texts.
+    """Render a frame of dates as ``partition_date = '…'`` texts, one per directory name.
 
-    Only used where an API takes predicate text (Delta's ``optimize().where``); the
-    frame has at most days+1 rows.
+    Dates are producers' text, so quotes and backslashes are escaped: a value is only ever
+    compared, never parsed.
     """
-    return [f"{DATE_KEY} = '{r[DATE_KEY]}'" for r in dates.collect()]
+    quoted = lambda v: str(v).replace("\\", "\\\\").replace("'", "\\'")
+    return [f"{DATE_KEY} = '{quoted(r[DATE_KEY])}'" for r in dates.collect()]
 
 
 def validate_predicates(spark: SparkSession, predicates: list[str]) -> list[str]:

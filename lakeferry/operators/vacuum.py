@@ -8,14 +8,17 @@ live side at run time, otherwise it stays a shuffle join whose size grows with t
 
 from __future__ import annotations
 
+import logging
 import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeferry.session import conf_scope
+from lakeferry.session import checkpoint_root, conf_scope
 from lakeferry.sources.table import _fs_path, table_format
 
+log = logging.getLogger(__name__)
+
 DEFAULT_RETENTION_HOURS = 168
 HOUR_MS = 3_600_000
 
@@ -36,6 +39,28 @@ def expired_files(listing: DataFrame, live: DataFrame, cutoff_ms: int) -> DataFr
     )
 
 
+def _only_copies(spark: SparkSession, path: str, staged: str) -> bool:
+    """True when a staging folder holds data files of a partition the table has no files of.
+
+    A dynamic overwrite deletes a partition's folder and then renames the staged one; if
+    the driver dies in between, the staged files are the only copy."""
+    fs, root = _fs_path(spark, path)
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path
+    files = fs.listFiles(hadoop_path(staged), True)
+    while files.hasNext():
+        f = files.next().getPath()
+        if not f.getName().endswith(".parquet"):
+            continue
+        keys, at = [], f.getParent()
+        while at is not None and "=" in at.getName():
+            keys.insert(0, at.getName())
+            at = at.getParent()
+        target = hadoop_path("/".join([root.toString(), *keys]))
+        if not keys or not fs.exists(target) or not fs.listStatus(target):
+            return True
+    return False
+
+
 def _leftovers(spark: SparkSession, path: str) -> list[tuple[str, int]]:
     fs, p = _fs_path(spark, path)
     out = []
@@ -46,6 +71,11 @@ def _leftovers(spark: SparkSession, path: str) -> list[tuple[str, int]]:
     return out
 
 
+def _delta_vacuum_sql(path: str, retention_hours: int, dry_run: bool) -> str:
+    quoted = path.replace("`", "``")
+    return f"VACUUM delta.`{quoted}` RETAIN {retention_hours} HOURS" + " DRY RUN" * dry_run
+
+
 def vacuum(
     spark: SparkSession,
     path: str,
@@ -55,11 +85,13 @@ def vacuum(
     allow_short_retention: bool = False,
 ) -> DataFrame:
     """Delete unreferenced files older than ``retention_hours``; returns what was (or would
-    be, with ``dry_run``) deleted as ``path, modified_ms``.
+    be, with ``dry_run``) deleted as ``path, modified_ms`` (no time on Delta).
 
     Delta: Delta's own ``VACUUM``. Parquet: a dynamic overwrite deletes replaced files at
     commit, so the only unreferenced files are the folders aborted writes leave at the
-    table root; those are found with :func:`expired_files` and removed.
+    table root; those are found with :func:`expired_files` and removed. A staging folder that
+    holds the only copy of a partition counts as live: it is logged and kept, to be moved
+    back by hand.
     A retention under 168 h is refused unless ``allow_short_retention`` — a shorter one can
     delete files a running reader or writer still needs.
     """
@@ -72,16 +104,24 @@ def vacuum(
     if fmt is None:
         raise FileNotFoundError(f"no table at {path}")
     if fmt == "delta":
-        dt = spark._jvm.io.delta.tables.DeltaTable.forPath(spark._jsparkSession, path)
         check = {"spark.databricks.delta.retentionDurationCheck.enabled": "false"}
         with conf_scope(spark, check if allow_short_retention else {}):
-            dt.vacuum(float(retention_hours))
-        return spark.createDataFrame([], "path string, modified_ms long")
-    listing = spark.createDataFrame(_leftovers(spark, path), "path string, modified_ms long")
-    live = spark.createDataFrame([], "path string")
+            checkpoint_root(spark)  # the list must be kept before the files go
+            gone = spark.sql(_delta_vacuum_sql(path, retention_hours, True)).select(
+                "path", F.lit(None).cast("long").alias("modified_ms")).checkpoint()
+            if not dry_run:
+                spark.sql(_delta_vacuum_sql(path, retention_hours, False)).collect()
+        return gone
+    left = _leftovers(spark, path)
+    listing = spark.createDataFrame(left, "path string, modified_ms long")
+    only = [(p,) for p, _ in left if _only_copies(spark, path, p)]
+    for (p,) in only:
+        log.warning("kept %s: it holds the only files of a partition", p)
+    live = spark.createDataFrame(only, "path string")
     expired = expired_files(listing, live, retention_cutoff_ms(retention_hours, now_ms))
     if not dry_run:
         fs, _ = _fs_path(spark, path)
+        expired = spark.createDataFrame(expired.collect(), expired.schema)
         # the leftover list is bounded by the number of aborted writes, not by table size
         for r in expired.collect():
             fs.delete(spark._jvm.org.apache.hadoop.fs.Path(r["path"]), True)

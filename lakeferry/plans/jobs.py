@@ -6,6 +6,7 @@ import dataclasses
 import logging
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from lakeferry.operators.compact import (
@@ -14,16 +15,18 @@ from lakeferry.operators.compact import (
     compact_all,
     compact_partitions,
     compact_recent,
+    error_text,
 )
-from lakeferry.operators.stats import (
-    partition_row_counts,
-    total_row_count,
-    validate_predicates,
-    window_dates,
-)
+from lakeferry.operators.stats import partition_row_counts
 from lakeferry.operators.vacuum import vacuum
 from lakeferry.plans.params import IngestParams, MaintainParams
-from lakeferry.session import build_session, configure_object_store, object_store_conf
+from lakeferry.session import (
+    build_session,
+    checkpoint_root,
+    configure_object_store,
+    delta_session,
+    object_store_conf,
+)
 from lakeferry.sources.table import read_table, table_format
 from lakeferry.sources.topic import read_topic_stream
 from lakeferry.streaming.ingest import append_stream, message_stream
@@ -54,7 +57,8 @@ def start_ingest(
         fail_on_data_loss=params.fail_on_data_loss,
         max_per_trigger=params.max_per_trigger,
     )
-    fmt = fmt or ("delta" if table_format(spark, params.table_path) == "delta" else "parquet")
+    fmt = fmt or table_format(spark, params.table_path) or (
+        "delta" if delta_session(spark) else "parquet")
     return append_stream(
         message_stream(records, params.decode_mode),
         params.table_path,
@@ -89,14 +93,11 @@ def _compact(spark: SparkSession, p: MaintainParams) -> DataFrame:
     if not p.compact_by_partition:
         return compact_all(spark, path)
     if p.specific_partitions:
-        preds = validate_predicates(spark, list(p.specific_partitions))
-        return compact_partitions(spark, path, preds, per_partition=p.per_partition)
+        return compact_partitions(
+            spark, path, list(p.specific_partitions), per_partition=p.per_partition)
     if p.per_partition:
         preds = choose_targets(spark, path, None, p.days_to_compact, p.as_of)
-        return compact_partitions(
-            spark, path, preds, per_partition=True,
-            dates=window_dates(p.days_to_compact, p.as_of),
-        )
+        return compact_partitions(spark, path, preds, per_partition=True)
     return compact_recent(spark, path, p.days_to_compact, p.as_of)
 
 
@@ -116,8 +117,7 @@ def compact_table(
 def run_maintenance(spark: SparkSession, params: MaintainParams | None = None) -> MaintenanceResult:
     """guard -> compact -> [vacuum] -> [statistics]; one status row per step.
 
-    Vacuum and statistics failures are reported and the job goes on; a bad predicate
-    list or a failing target choice stops the job (raises).
+    A failure is reported with its whole message and the job goes on.
     """
     p = params or MaintainParams.from_env()
     _object_store(spark, p)
@@ -126,26 +126,31 @@ def run_maintenance(spark: SparkSession, params: MaintainParams | None = None) -
         log.warning("no table at %s; nothing to maintain", path)
         return MaintenanceResult(spark.createDataFrame([("guard", "no_table", path)], STEP_SCHEMA))
     steps = [("guard", "ok", path)]
-    status = _compact(spark, p)
-    failed = status.where("status = 'failed'").count()
-    steps.append(("compact", "ok" if failed == 0 else "partial", f"{failed} failed targets"))
+    try:
+        failed = _compact(spark, p).where("status = 'failed'").count()
+        steps.append(("compact", "ok" if failed == 0 else "partial", f"{failed} failed targets"))
+    except Exception as e:
+        log.error("compaction failed: %s", e)
+        steps.append(("compact", "failed", error_text(e)))
     if p.vacuum:
         try:
-            removed = vacuum(spark, path, p.vacuum_retention_hours).count()
+            removed = vacuum(spark, path, p.vacuum_retention_hours,
+                             allow_short_retention=p.allow_short_retention).count()
             steps.append(("vacuum", "ok", f"{removed} removed"))
         except Exception as e:
             log.error("vacuum failed: %s", e)
-            steps.append(("vacuum", "failed", str(e).splitlines()[0][:500]))
+            steps.append(("vacuum", "failed", error_text(e)))
     total, counts = None, None
     if p.generate_statistics:
         try:
             table = read_table(spark, path)
-            total = total_row_count(table)
-            counts = partition_row_counts(table)
+            checkpoint_root(spark)
+            counts = partition_row_counts(table).checkpoint()  # one pass over the footers
+            total = counts.agg(F.coalesce(F.sum("row_count"), F.lit(0))).first()[0]
             steps.append(("statistics", "ok", f"{total} rows"))
         except Exception as e:
             log.error("statistics failed: %s", e)
-            steps.append(("statistics", "failed", str(e).splitlines()[0][:500]))
+            steps.append(("statistics", "failed", error_text(e)))
     return MaintenanceResult(spark.createDataFrame(steps, STEP_SCHEMA), total, counts)
 
 

@@ -43,9 +43,10 @@ def parse_bool(text: str) -> bool:
 
 
 def parse_predicates(text: str) -> list[str]:
-    """Comma-separated predicate text (edge form only; pass a list in code). A predicate
-    containing a comma (an IN list) cannot be given this way."""
-    return [p.strip() for p in text.split(",") if p.strip()] if text else []
+    """Predicates separated by ``;``, as on the command line, or by commas where there is
+    no ``;``. An IN list needs the first form (a trailing ``;`` is enough)."""
+    sep = ";" if ";" in (text or "") else ","
+    return [p.strip() for p in text.split(sep) if p.strip()] if text else []
 
 
 def _table_path(env, bucket: str) -> str:
@@ -99,6 +100,7 @@ class MaintainParams:
     specific_partitions: tuple[str, ...] = ()
     vacuum: bool = True
     vacuum_retention_hours: int = 168
+    allow_short_retention: bool = False  # accept a retention under 168 hours
     generate_statistics: bool = True
     per_partition: bool = False  # one job per target, failures isolated
     as_of: str | None = None  # the "today" of the recent-partition window

@@ -124,6 +124,11 @@ def delta_available(spark: SparkSession) -> bool:
     )
 
 
+def delta_session(spark: SparkSession) -> bool:
+    """True when the session was built with the Delta extension: new tables are Delta then."""
+    return "DeltaSparkSessionExtension" in (spark.conf.get("spark.sql.extensions", "") or "")
+
+
 def kafka_available(spark: SparkSession) -> bool:
     """True when the Kafka source is on the class path."""
     return _probe(

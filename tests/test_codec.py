@@ -99,3 +99,21 @@ def test_property_round_trip(recs):
     enc = C.encode(arr, FIELDS)
     assert enc.to_pylist() == [spec_encode(r) for r in recs]
     assert C.decode(enc, FIELDS).to_pylist() == recs
+
+
+def test_a_length_near_the_top_of_int64_is_malformed_not_an_error():
+    import numpy as np
+    import pyarrow as pa
+    import pytest
+
+    from lakeferry.functions import avro_codec as C
+
+    r = np.random.default_rng(8)
+    huge = bytes([0xFE] + [0xFF] * 8 + [0x01])  # zigzag of 2^63 - 1
+    noise = [r.integers(0, 256, int(n), dtype=np.uint8).tobytes() for n in r.integers(0, 40, 3000)]
+    fields = [("a", "string"), ("b", "string"), ("c", "long")]
+    values = pa.array([huge + b"xx", b"\x02a" + huge, *noise, None], pa.binary())
+    out = C.decode(values, fields, failfast=False)
+    assert len(out) == len(values) and not out[0].is_valid and not out[1].is_valid
+    with pytest.raises(C.MalformedRecord):
+        C.decode(values[:1], fields, failfast=True)
