@@ -8,7 +8,7 @@ shares in expectation. Cells, not documents, take part in the iteration.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .common import Scratch
@@ -98,23 +98,27 @@ def rake(cells: DataFrame, targets: dict, scratch: Scratch) -> DataFrame:
         return cells.withColumn("weight", F.lit(0.0))
     cells = cells.where("n_tokens > 0")
     goals = _goals(cells, targets, scratch)
-    now = scratch.table(cells.withColumn("w", F.col("n_tokens") / F.lit(float(total))), "cells")
-    gap_before = float("inf")
+    now = cells.withColumn("w", F.col("n_tokens") / F.lit(float(total)))
+    for d in targets:
+        now = now.join(goals.where(F.col("dim") == d).select(
+            F.col("value").alias(d), F.col("share").alias(f"share_{d}")), d)
+    now, gaps = scratch.table(now, "cells"), []
+    columns = now.columns
     for _ in range(MAX_SWEEPS):
-        nxt = now
-        for d in targets:
-            goal = goals.where(F.col("dim") == d).select(F.col("value").alias(d), "share")
-            f = nxt.groupBy(d).agg(F.sum("w").alias("s")).join(goal, d).select(
-                d, F.when(F.col("s") > 0, F.col("share") / F.col("s")).otherwise(0.0).alias("f"))
-            nxt = nxt.join(f, d).withColumn("w", F.col("w") * F.col("f")).drop("f")
-        nxt = scratch.table(nxt.select(*cells.columns, "w"), "cells")
-        scratch.drop(now)
-        now = nxt
-        gap = _marginals(now, targets, "w").join(goals, ["dim", "value"]).agg(
-            F.max(F.abs(F.col("s") - F.col("share")))).first()[0] or 0.0
-        if gap <= TOLERANCE or gap > 0.999 * gap_before:  # reached, or out of reach
-            break
-        gap_before = gap
+        gaps.append(0.0)
+        for d in targets:  # a small plan each: one sum, one join, the gap seen on the way
+            seen, share = Observation(), F.col(f"share_{d}")
+            nxt = now.join(now.groupBy(d).agg(F.sum("w").alias("s")), d).observe(
+                seen, F.max(F.abs(F.col("s") - share)).alias("gap"))
+            nxt = nxt.withColumn("w", F.when(F.col("s") > 0, F.col("w") * share / F.col("s"))
+                                 .otherwise(0.0)).select(*columns)
+            nxt = scratch.table(nxt, "cells")
+            gaps[-1] = max(gaps[-1], seen.get["gap"] or 0.0)
+            scratch.drop(now)
+            now = nxt
+        if gaps[-1] <= TOLERANCE or len(gaps) > 3 and gaps[-1] > 0.999 * gaps[-4]:
+            break  # reached, or out of reach
+    now = now.select(*cells.columns, "w")
     return now.withColumn("weight", F.col("w") * F.lit(float(total)) / F.col("n_tokens")).drop("w")
 
 
