@@ -132,9 +132,9 @@ def fit(docs: DataFrame, sample_per_lang: int = SAMPLE_PER_LANG) -> Model:
         yield {"cell": c, "mask": np.tile(m, PROBES)}
 
     cells = map_arrow(top.select("gram", mask.alias("mask")), place, "cell long, mask long")
-    got = cells.groupBy("cell").agg(F.bit_or("mask").alias("mask")).toPandas()  # CELLS at most
+    got = cells.groupBy("cell").agg(F.bit_or("mask").alias("mask")).toArrow()  # CELLS at most
     table = np.zeros(CELLS, np.uint64)
-    table[got["cell"].to_numpy(np.int64)] = got["mask"].to_numpy(np.int64).view(np.uint64)
+    table[got["cell"].to_numpy()] = got["mask"].to_numpy().view(np.uint64)
     return Model(table, langs)
 
 

@@ -17,7 +17,6 @@ import re
 from collections import Counter
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -238,11 +237,11 @@ def learn(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> dict[str, Automato
     first = Window.partitionBy("kind").orderBy(F.xxhash64("value"), "value")
     values = values.withColumn("i", F.row_number().over(first)).where(F.col("i") <= SAMPLE_VALUES)
 
-    def train(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"kind": [pdf["kind"].iloc[0]],
-                             "model": [Automaton(sorted(pdf["value"])).dump()]})
+    def train(t: pa.Table) -> pa.Table:
+        return pa.table({"kind": t["kind"][:1].cast(pa.string()), "model": pa.array(
+            [Automaton(sorted(t["value"].to_pylist())).dump()], pa.string())})
 
-    models = values.groupBy("kind").applyInPandas(train, "kind string, model string")
+    models = values.groupBy("kind").applyInArrow(train, "kind string, model string")
     return {r["kind"]: Automaton.load(r["model"]) for r in models.collect()}
 
 
