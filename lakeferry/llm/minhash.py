@@ -33,6 +33,7 @@ from .words import doc_ranges, mix, shingles, text_buffers, words
 BANDS, ROWS = 28, 6
 HASHES = BANDS * ROWS
 BLOCK = 128  # classes in a packed block
+BLOCK_BYTES = 4 << 20  # expected bytes of full sets in one
 _CHUNK = 256
 
 _rng = np.random.default_rng(20240301)
@@ -167,11 +168,13 @@ def _forest(rows: np.ndarray, cols: np.ndarray, ids_a, ids_b, comp_a, comp_b) ->
 
 
 def _blocks(rows: DataFrame, key: str, scratch_cols: list[str]) -> DataFrame:
-    """Rows packed to arrays of about BLOCK rows of one key; the number of blocks of a key
-    follows its size, so a hot key gives more blocks, not larger ones."""
-    n = rows.groupBy(key, "light").agg(F.count("*").alias("n_rows"))
-    dealt = rows.join(n, [key, "light"]).withColumn(
-        "block", bucket_of("cls", F.ceil(F.col("n_rows") / BLOCK)))
+    """Rows packed to arrays of about BLOCK rows, or BLOCK_BYTES of full sets, of one key;
+    the number of blocks of a key follows its size, so a hot key or one of very long texts
+    gives more blocks, not larger ones."""
+    size = F.octet_length("elems") if "elems" in scratch_cols else F.lit(0)
+    n = rows.groupBy(key, "light").agg(F.greatest(
+        F.ceil(F.count("*") / BLOCK), F.ceil(F.sum(size) / BLOCK_BYTES)).alias("n_blocks"))
+    dealt = rows.join(n, [key, "light"]).withColumn("block", bucket_of("cls", F.col("n_blocks")))
     return dealt.groupBy(key, "light", "block").agg(
         F.collect_list(F.struct(*scratch_cols)).alias("rows"))
 
