@@ -6,21 +6,25 @@ simply lands in that old partition.
 
 Sinks
 * Delta: Spark's Delta streaming sink (exactly-once through the checkpoint and the log).
-* Parquet fallback: ``foreachBatch`` + batch append. Spark's Parquet *file-stream* sink is
-  not used on purpose: its ``_spark_metadata`` log would go stale after compaction. Each
-  finished batch leaves a marker under the checkpoint; a batch whose marker exists is
-  skipped, so a restart that replays the last batch after a clean commit adds nothing.
-  A crash between the append and the marker replays that batch once (at-least-once).
+* Parquet fallback: ``foreachBatch``. Spark's Parquet *file-stream* sink is not used on
+  purpose: its ``_spark_metadata`` log would go stale after compaction. A batch is written
+  to a hidden folder of the table named after the checkpoint and the batch id, marked as
+  whole, and its files are then renamed into the table; a marker under the checkpoint ends
+  it. A replay writes a batch that is not whole anew, and of a whole one it moves only the
+  files that are still in its folder, so each row arrives once wherever the job died.
+  Readers may see a part of a batch while its files are moved.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from lakeferry.operators.messages import decode_messages, enrich
 from lakeferry.schema import PARTITION_KEYS
-from lakeferry.sources.table import _fs_path, write_table
+from lakeferry.sources.table import _fs_path, path_exists, write_table
 
 
 def message_stream(records: DataFrame, mode: str = "FAILFAST") -> DataFrame:
@@ -32,14 +36,56 @@ def _marker(checkpoint: str, batch_id: int) -> str:
     return f"{checkpoint.rstrip('/')}/lakeferry_commits/{batch_id}"
 
 
+def _staged(path: str, checkpoint: str, batch_id: int) -> str:
+    """Folder of one batch: beside the table's partitions, so that moving is renaming."""
+    query = hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:16]
+    return f"{path.rstrip('/')}/_lakeferry_batches/{query}/{batch_id}"
+
+
+def _move_in(spark: SparkSession, staged: str, path: str) -> None:
+    """Renames the data files of a whole batch into the same partitions of the table. File
+    names are unique to the write, so a file of that name is a broken copy of this one."""
+    fs, src = _fs_path(spark, staged)
+    new_path, table = spark._jvm.org.apache.hadoop.fs.Path, _fs_path(spark, path)[1]
+    it, files = fs.listFiles(src, True), []
+    while it.hasNext():
+        files.append(it.next().getPath())
+    for f in files:
+        if f.getName().startswith(("_", ".")):
+            continue
+        date = f.getParent()
+        target = new_path(new_path(table, date.getParent().getName()), date.getName())
+        fs.mkdirs(target)
+        to = new_path(target, f.getName())
+        if not fs.rename(f, to):
+            fs.delete(to, False)
+            if not fs.rename(f, to):
+                raise OSError(f"cannot move {f} to {to}")
+
+
+def _commit(spark: SparkSession, checkpoint: str, batch_id: int) -> None:
+    """Marks the batch; markers older than Spark keeps its own batches for go."""
+    fs, marker = _fs_path(spark, _marker(checkpoint, batch_id))
+    fs.create(marker, True).close()
+    old = batch_id - int(spark.conf.get("spark.sql.streaming.minBatchesToRetain"))
+    if old >= 0:
+        fs.delete(_fs_path(spark, _marker(checkpoint, old))[1], False)
+
+
 def _parquet_batch_writer(path: str, checkpoint: str, optimize_write: bool):
     def append_batch(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        fs, marker = _fs_path(spark, _marker(checkpoint, batch_id))
-        if fs.exists(marker):
-            return  # this batch was committed before a restart
-        write_table(batch, path, mode="append", fmt="parquet", optimize_write=optimize_write)
-        fs.create(marker, True).close()
+        spark, staged = batch.sparkSession, _staged(path, checkpoint, batch_id)
+        fs, folder = _fs_path(spark, staged)
+        if path_exists(spark, _marker(checkpoint, batch_id)):
+            fs.delete(folder, True)  # committed before a restart
+            return
+        whole = _fs_path(spark, f"{staged}/_WHOLE")[1]
+        if not fs.exists(whole):
+            write_table(batch, staged, "overwrite", "parquet", optimize_write)
+            fs.create(whole, True).close()
+        _move_in(spark, staged, path)
+        _commit(spark, checkpoint, batch_id)
+        fs.delete(folder, True)
 
     return append_batch
 

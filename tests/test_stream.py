@@ -1,5 +1,6 @@
 """End to end: publish -> file stream -> decode -> enrich -> partitioned table; restart."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from lakeferry.operators.messages import encode_messages
@@ -63,9 +64,75 @@ def test_replayed_batch_is_skipped(spark):
     assert read_table(spark, table).count() == 1
 
 
-def test_kafka_needs_its_jar(spark):
-    import pytest
+@pytest.mark.parametrize("dies_in", ["write", "move", "commit", "commit_after"])
+def test_batch_arrives_once_wherever_the_job_dies(spark, sf_small, monkeypatch, dies_in):
+    from lakeferry.operators.messages import enrich
+    from lakeferry.sources.table import list_data_files
+    from lakeferry.streaming import ingest
+
+    table, cp = scratch_path(spark, "table"), scratch_path(spark, "cp")
+    rows = enrich(messages_from_events(spark.read.parquet(f"{sf_small}/events.parquet")))
+    extra = enrich(literal_messages(spark, [("a b/c", "2024-01-01", "e1", 1), ("x:y=%", "", "e2", 2)]))
+    rows, n = rows.unionByName(extra), rows.count() + 2
+    write = ingest._parquet_batch_writer(table, cp, optimize_write=True)
+    write(rows, 0)
+
+    commit, write_table = ingest._commit, ingest.write_table
+
+    def half_moved(spark, staged, path):
+        fs, src = ingest._fs_path(spark, staged)
+        it = fs.listFiles(src, True)
+        while True:  # one data file gets across, then the driver is gone
+            f = it.next().getPath()
+            if not f.getName().startswith(("_", ".")):
+                break
+        to = spark._jvm.org.apache.hadoop.fs.Path
+        target = to(to(to(path), f.getParent().getParent().getName()), f.getParent().getName())
+        fs.mkdirs(target)
+        assert fs.rename(f, to(target, f.getName()))
+        raise RuntimeError("died")
+
+    def die(after=None):
+        def run(*args):
+            if after:
+                after(*args)
+            raise RuntimeError("died")
+        return run
+
+    name, fn = {"write": ("write_table", die(write_table)), "move": ("_move_in", half_moved),
+                "commit": ("_commit", die()), "commit_after": ("_commit", die(commit))}[dies_in]
+    with monkeypatch.context() as m:
+        m.setattr(ingest, name, fn)
+        with pytest.raises(RuntimeError, match="died"):
+            write(rows, 1)
+    write(rows, 1)  # the replay after a restart
+    write(rows, 1)
+    t = read_table(spark, table)
+    assert t.count() == 2 * n
+    assert t.groupBy("message_id").count().where("count <> 2").count() == 0
+    assert t.where("partition_message_type in ('a b/c', 'x:y=%')").count() == 4
+    assert list_data_files(spark, table).where("path like '%_lakeferry_batches%'").count() == 0
+
 
+def test_old_markers_go(spark):
+    from lakeferry.operators.messages import enrich
+    from lakeferry.sources.table import path_exists
+    from lakeferry.streaming import ingest
+
+    table, cp = scratch_path(spark, "table"), scratch_path(spark, "cp")
+    rows = enrich(literal_messages(spark, [("a", "2024-01-01", "1", 1)]))
+    write = ingest._parquet_batch_writer(table, cp, optimize_write=False)
+    spark.conf.set("spark.sql.streaming.minBatchesToRetain", "2")
+    try:
+        for b in range(4):
+            write(rows, b)
+    finally:
+        spark.conf.unset("spark.sql.streaming.minBatchesToRetain")
+    assert [path_exists(spark, ingest._marker(cp, b)) for b in range(4)] == [False, False, True, True]
+    assert read_table(spark, table).count() == 4
+
+
+def test_kafka_needs_its_jar(spark):
     with pytest.raises((RuntimeError, ValueError)):
         read_topic_stream(spark, topic="messages", brokers="localhost:9092")
 
