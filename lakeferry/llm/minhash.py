@@ -4,7 +4,8 @@
    ``BANDS`` band keys over ``BANDS * ROWS`` minima of the universal hashes a*x+b (mod
    2^64, high half kept), and one byte of every minimum as the signature. With 28 bands of
    6 rows two sets at similarity 0.8 miss each other with probability 2e-4, at 0.85 2e-6.
-2. Documents with equal sets become one class, the smallest doc_id standing for it.
+2. Documents with equal sets become one class, the smallest doc_id standing for it. Classes
+   that share it (a repeated id with several texts) are one node, each with its own set.
 3. In every band bucket each class is paired with one class of the bucket (another one in
    each band), not with all. Signatures drop pairs whose estimate is more than five
    standard deviations under the threshold; each class's best pair is confirmed on full
@@ -12,8 +13,8 @@
 4. A bucket that still holds several components may hide links between its members. There,
    blocks of members meet blocks of members by signature, which gives clusters of alike
    classes; in clusters with several components, blocks of full sets are intersected, the
-   classes outside the largest component against all. Only links that join components
-   leave a task. So no link is lost and no list of pairs of a group is written.
+   classes outside the largest component against all (a cluster of two as well: its pair
+   may be one that only the blocks found). Only links that join components leave a task. So no link is lost and no list of pairs of a group is written.
 5. Components of all links, by alternating large-star and small-star.
 """
 
@@ -68,6 +69,11 @@ def _sets(batch: pa.RecordBatch, k: int):
             yield i + d, np.unique(shingles(h[first[d] : first[d + 1]], k))
 
 
+def _identity(s: np.ndarray) -> bytes:
+    return np.array([s.sum(dtype=np.uint64), mix(s ^ np.uint64(len(s))).sum(
+        dtype=np.uint64)]).tobytes()
+
+
 def sketch(docs: DataFrame, k: int) -> DataFrame:
     def one(batch: pa.RecordBatch):
         n, sid, bands, sig = [], [], [], []
@@ -77,8 +83,7 @@ def sketch(docs: DataFrame, k: int) -> DataFrame:
                 sid.append(None), bands.append(None), sig.append(None)
                 continue
             m = minima(s)
-            sid.append(np.array([s.sum(dtype=np.uint64), mix(s ^ np.uint64(len(s))).sum(
-                dtype=np.uint64)]).tobytes())
+            sid.append(_identity(s))
             bands.append(band_keys(m))
             sig.append(m.astype(np.uint8).tobytes())
         yield {"doc_id": batch.column("doc_id"), "n_shingles": n, "sid": sid, "bands": bands,
@@ -90,10 +95,11 @@ def sketch(docs: DataFrame, k: int) -> DataFrame:
 
 def full_sets(docs: DataFrame, k: int) -> DataFrame:
     def one(batch: pa.RecordBatch):
-        yield {"doc_id": batch.column("doc_id"),
-               "elems": [s.tobytes() for _, s in _sets(batch, k)]}
+        sets = [s for _, s in _sets(batch, k)]
+        yield {"doc_id": batch.column("doc_id"), "sid": [_identity(s) for s in sets],
+               "elems": [s.tobytes() for s in sets]}
 
-    return map_arrow(docs.select("doc_id", "text"), one, "doc_id long, elems binary")
+    return map_arrow(docs.select("doc_id", "text"), one, "doc_id long, sid binary, elems binary")
 
 
 def least_matches(similarity: float) -> int:
@@ -272,9 +278,10 @@ def near_duplicates(docs: DataFrame, k: int = 5, similarity_pct: int = 80) -> Da
         pairs.select(F.col("b").alias("cls"))).unionByName(deep.select("cls")).distinct()
     ids = need.select(F.col("cls").alias("doc_id"))
     sets = scratch.table(full_sets(docs.join(ids, "doc_id", "left_semi"), k).dropDuplicates(
-        ["doc_id"]).withColumnRenamed("doc_id", "cls"), "sets")
+        ["doc_id", "sid"]).withColumnRenamed("doc_id", "cls"), "sets")
+    elems = sets.select("cls", "elems")
     links = scratch.table(
-        best.join(sets.toDF("a", "ea"), "a").join(sets.toDF("b", "eb"), "b")
+        best.join(elems.toDF("a", "ea"), "a").join(elems.toDF("b", "eb"), "b")
         .where(_confirm(similarity_pct)("ea", "eb")).select("a", "b"), "links")
     comp = scratch.table(connected_components(links, scratch), "components")
 
@@ -285,7 +292,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, similarity_pct: int = 80) -> Da
     deep = with_comp(deep.select("band", "cls"))
     mixed = deep.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where(
         "lo <> hi").select("band")
-    sigs = reps.select("cls", "sig", "bands")
+    sigs = reps.select("cls", "sid", "sig", "bands")
     rows = deep.join(mixed, "band").join(sigs, "cls")
     big = rows.groupBy("band", "comp").agg(F.count("*").alias("c")).groupBy("band").agg(
         F.max(F.struct("c", "comp")).getField("comp").alias("main"))
@@ -298,9 +305,9 @@ def near_duplicates(docs: DataFrame, k: int = 5, similarity_pct: int = 80) -> Da
     rows = scratch.table(rows, "clustered")
     size = rows.groupBy("cluster", "comp").agg(F.count("*").alias("c")).groupBy("cluster").agg(
         F.max(F.struct("c", "comp")).getField("comp").alias("main"),
-        F.sum("c").alias("c"), F.count("*").alias("parts")).where("parts > 1 and c > 2")
+        F.sum("c").alias("c"), F.count("*").alias("parts")).where("parts > 1")
     rows = rows.join(size, "cluster").withColumn("light", F.col("comp") != F.col("main"))
-    rows = rows.select("cluster", "cls", "comp", "light").join(sigs, "cls").join(sets, "cls")
+    rows = rows.select("cluster", "cls", "comp", "light").join(sigs, "cls").join(sets, ["cls", "sid"])
     more = _block_links(rows, "cluster", ["cls", "comp", "sig", "bands", "elems"], least,
                         similarity_pct)
     same_id = live.groupBy("doc_id").agg(F.min("sid").alias("lo"), F.max("sid").alias("hi")).where(

@@ -63,6 +63,35 @@ def test_group_of_near_copies_chained_below_the_threshold(spark):
     assert got == want and len(set(want.values())) > 5
 
 
+def test_pairs_that_share_only_crowded_buckets(spark):
+    """300 documents hold the same 134 words and are no copies of each other. The pairs at
+    similarity 0.81 below share one band, and its bucket holds 145 of them, so neither is
+    its rep and only the blocks see the pair, as a cluster of two classes."""
+    base = [f"w{i}" for i in range(134)]
+    rows = [(i, " ".join(base + [f"f{i}x{q}" for q in range(66)])) for i in range(300)]
+    for i in (278, 2305, 2885, 2886, 3447):
+        own = [f"p{i}x{q}" for q in range(66)]
+        rows += [(10 * i + 1000, " ".join(base + own)),
+                 (10 * i + 1001, " ".join(base + own[:45] + [f"q{i}x{q}" for q in range(21)]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {x.doc_id: x.component_id for x in minhash.near_duplicates(docs, 2).collect()}
+    want = {d: c for d, _, c in brute(rows, 2)}
+    assert got == want and sum(d != c for d, c in want.items()) == 5
+
+
+def test_repeated_id_with_two_texts_links_the_copies_of_both(spark):
+    r, rows = random.Random(4), []
+    for i in range(20):
+        for j in range(2):
+            w = [f"a{i}x{j}x{q}" for q in range(100)]
+            rows.append((10 * i, " ".join(w)))
+            w[r.randrange(100)] = "changed"
+            rows.append((10 * i + 1 + j, " ".join(w)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {x.doc_id: x.component_id for x in minhash.near_duplicates(docs, 2).collect()}
+    assert got == {d: d // 10 * 10 for d, _ in rows}
+
+
 def test_empty_and_dedup(none, wide, rows):
     assert minhash.near_duplicates(none).count() == 0
     got = minhash.dedup(wide, 5)
