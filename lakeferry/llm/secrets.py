@@ -2,10 +2,10 @@
 
 Values that the base patterns label as credentials train one probabilistic automaton per
 kind: a prefix tree whose states are merged while a Hoeffding test finds their symbol and
-end frequencies compatible (red-blue order). One more automaton learns from all other
-credential-like strings. Every candidate of a text is then scored by all automata; one that
-a kind's automaton explains as well as its own training values, and far better than the
-automaton of other strings, is a secret too (kind ``learned``).
+end frequencies compatible (red-blue order). Two more automata learn from all other
+credential-like strings, the short and the long. Every candidate of a text is then scored
+by all automata; one that a kind's automaton explains as well as its own training values,
+and far better than the automaton of other strings, is a secret too (kind ``learned``).
 """
 
 from __future__ import annotations
@@ -26,18 +26,21 @@ from .words import LOWER, doc_ranges, text_buffers
 
 KINDS = ("assign", "access", "hex")
 LEARNED = "learned"
+SHORT = "short"  # other strings under LONG characters
 ASSIGN = re.compile(r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?"""
                     r"""([A-Za-z0-9+/_.=-]+)""", re.ASCII)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{32,}")  # the runs of 32 or more: what is left of all runs
 _KEYWORDS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
 
-SAMPLE_DOCS = 20_000  # expected documents that training values are taken from
-SAMPLE_VALUES = 500  # training values of a kind
-MIN_LEN = 16  # of a candidate
+SAMPLE_VALUES = 500  # training values of a kind, of all documents
+MIN_LEN = 8  # of a value that a base pattern labels, so of a candidate
+LONG = 16  # of the base patterns without a keyword, and of the long other strings
 ALPHA = 0.05  # of the compatibility test
 MARGIN = math.log(1000.0)  # by which a kind must beat the other strings
 
+_DIGIT, _ALPHA = np.zeros(256, bool), np.zeros(256, bool)
+_DIGIT[48:58] = _ALPHA[65:91] = _ALPHA[97:123] = True
 _CRED = np.zeros(256, bool)
 _CRED[list(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-")] = True
 _EDGE = "+/_.=-"
@@ -63,6 +66,7 @@ class Automaton:
             self.end[q] += c
         self._bound = math.sqrt(0.5 * math.log(2 / alpha))
         self._merge_states()
+        self.shortest = min(map(len, values), default=0)
         scores = sorted(self.rate(v) for v in values)
         self.least = scores[len(scores) // 100] if scores else math.inf
 
@@ -147,7 +151,8 @@ class Automaton:
         return self.log_likelihood(v) / (len(v) + 1)
 
     def dump(self) -> str:
-        return json.dumps({"to": self.to, "n": self.n, "end": self.end, "least": self.least})
+        return json.dumps({"to": self.to, "n": self.n, "end": self.end, "least": self.least,
+                           "shortest": self.shortest})
 
     @staticmethod
     def load(text: str) -> Automaton:
@@ -158,8 +163,8 @@ class Automaton:
 
 def base_spans(text: str) -> list[tuple[int, int, int, str]]:
     """(start, kind number, end, value) of the base patterns, sorted."""
-    out = [(m.start(), 0, m.end(), m[1]) for m in ASSIGN.finditer(text) if len(m[1]) >= 8]
-    out += [(m.start(), 1, m.end(), m[0]) for m in ACCESS.finditer(text) if len(m[0]) >= 16]
+    out = [(m.start(), 0, m.end(), m[1]) for m in ASSIGN.finditer(text) if len(m[1]) >= MIN_LEN]
+    out += [(m.start(), 1, m.end(), m[0]) for m in ACCESS.finditer(text) if len(m[0]) >= LONG]
     out += [(m.start(), 2, m.end(), m[0]) for m in HEX.finditer(text)]
     return sorted(out)
 
@@ -178,9 +183,10 @@ def _candidates(text: str, runs: list[tuple[int, int]], spans) -> list[tuple[int
     return out
 
 
-def _texts(batch: pa.RecordBatch):
-    """(row, text, credential-like runs) of the texts that can hold a match or candidate.
-    Bytes are looked over at once; only these few texts are decoded."""
+def _texts(batch: pa.RecordBatch, least: int = MIN_LEN):
+    """(row, text, credential-like runs) of the texts that can hold a match or a candidate
+    of ``least`` characters. Bytes are looked over at once; only these few texts are
+    decoded. Runs under ``LONG`` are candidates with a letter and a digit only."""
     b, off = text_buffers(batch.column("text"))
     for i, j in doc_ranges(off):
         p, o = b[off[i] : off[j]], off[i : j + 1] - off[i]
@@ -191,8 +197,14 @@ def _texts(batch: pa.RecordBatch):
         inside = _CRED[p]
         starts = np.flatnonzero(inside & (np.concatenate([[True], ~inside[:-1]]) | edge[:-1]))
         ends = np.flatnonzero(inside & (np.concatenate([~inside[1:], [True]]) | edge[1:])) + 1
-        long = ends - starts >= MIN_LEN
-        starts, ends = starts[long], ends[long]
+        some = ends - starts >= least
+        starts, ends = starts[some], ends[some]
+        some = ends - starts >= LONG
+        if least < LONG:
+            digits, letters = (np.concatenate([[0], np.cumsum(x[p], dtype=np.int32)])
+                               for x in (_DIGIT, _ALPHA))
+            some |= (digits[ends] > digits[starts]) & (letters[ends] > letters[starts])
+        starts, ends = starts[some], ends[some]
         runs: dict[int, list[tuple[int, int]]] = {}
         for d, s, e in zip(np.searchsorted(o, starts, side="right") - 1, starts, ends):
             runs.setdefault(int(d), []).append((int(s - o[d]), int(e - o[d])))
@@ -215,26 +227,47 @@ def _texts(batch: pa.RecordBatch):
                                     for s, e in runs.get(d, [])]
 
 
-def learn(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> dict[str, Automaton]:
-    """Automata of the kinds and of other strings, from an expected ``sample_docs``
-    documents chosen by a hash of the id, and ``SAMPLE_VALUES`` values of each kind."""
-    n = docs.count()
-    u = F.pmod(F.xxhash64(F.lit(31), F.col("doc_id")), F.lit(1 << 30))
-    sample = docs.where(u < int(min(1.0, sample_docs / max(1, n)) * (1 << 30)) + 1)
+def _hash(value: str) -> int:
+    h = hashlib.blake2b(value.encode("utf-8", "replace"), digest_size=8).digest()
+    return int.from_bytes(h, "big", signed=True)
 
-    def one(batch: pa.RecordBatch):
-        kind, value = [], []
-        for _, text, runs in _texts(batch):
-            spans = base_spans(text)
-            kind += [KINDS[x[1]] for x in spans]
-            value += [x[3] for x in spans]
-            free = _candidates(text, runs, spans)
-            kind += [LEARNED] * len(free)
-            value += [text[s:e] for s, e in free]
-        yield {"kind": kind, "value": value}
-
-    values = map_arrow(sample.select("text"), one, "kind string, value string").distinct()
-    first = Window.partitionBy("kind").orderBy(F.xxhash64("value"), "value")
+
+def _bottom(values: dict[str, int]) -> dict[str, int]:
+    return dict(sorted(values.items(), key=lambda x: (x[1], x[0]))[:SAMPLE_VALUES])
+
+
+def learn(docs: DataFrame) -> dict[str, Automaton]:
+    """Automata of the kinds and of other strings, from all documents: the
+    ``SAMPLE_VALUES`` distinct values of each kind that are smallest by hash. Every task
+    passes on as many of a kind at most."""
+    small_batches(docs.sparkSession)
+    schema = pa.schema([("kind", pa.string()), ("value", pa.string()), ("h", pa.int64())])
+
+    def run(batches):
+        best: dict[str, dict[str, int]] = {}
+
+        def add(kind: str, value: str) -> None:
+            of = best.setdefault(kind, {})
+            if value not in of:
+                of[value] = _hash(value)
+                if len(of) >= 4 * SAMPLE_VALUES:
+                    best[kind] = _bottom(of)
+
+        for batch in batches:
+            for _, text, runs in _texts(batch):
+                spans = base_spans(text)
+                for x in spans:
+                    add(KINDS[x[1]], x[3])
+                for s, e in _candidates(text, runs, spans):
+                    add(LEARNED if e - s >= LONG else SHORT, text[s:e])
+        out = [(k, v, h) for k in best for v, h in _bottom(best[k]).items()]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c, f.type) for c, f in zip(list(zip(*out)) or [()] * 3, schema)],
+            schema=schema)
+
+    values = docs.select("text").mapInArrow(
+        run, "kind string, value string, h long").distinct()
+    first = Window.partitionBy("kind").orderBy("h", "value")
     values = values.withColumn("i", F.row_number().over(first)).where(F.col("i") <= SAMPLE_VALUES)
 
     def train(t: pa.Table) -> pa.Table:
@@ -245,15 +278,21 @@ def learn(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> dict[str, Automato
     return {r["kind"]: Automaton.load(r["model"]) for r in models.collect()}
 
 
+def shortest(models: dict[str, Automaton]) -> int:
+    """Length of the shortest value that a kind was trained on: candidates have it at least."""
+    return min((models[k].shortest for k in KINDS if k in models), default=LONG)
+
+
 def all_spans(text: str, runs, models: dict[str, Automaton]) -> list[tuple[int, int, int, str]]:
     spans = base_spans(text)
-    other, found = models.get(LEARNED), []
+    found = []
     for s, e in _candidates(text, runs, spans):
         v = text[s:e]
+        other = models.get(LEARNED if len(v) >= LONG else SHORT)
         chance = other.smoothed(v) if other else len(v) * math.log(1 / 64)
         for kind in KINDS:
             m = models.get(kind)
-            if m and m.rate(v) >= m.least and m.log_likelihood(v) >= chance + MARGIN:
+            if m and len(v) >= m.shortest and m.rate(v) >= m.least and m.log_likelihood(v) >= chance + MARGIN:
                 found.append((s, len(KINDS), e, v))
                 break
     return sorted(spans + found)
@@ -273,12 +312,13 @@ def scan(docs: DataFrame, models: dict[str, Automaton] | None = None) -> DataFra
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                        F.col("text").cast("string").alias("text"))
     models = learn(docs) if models is None else models
+    least = min(LONG, shortest(models))
 
     def one(batch: pa.RecordBatch):
         n = batch.num_rows
         counts, joined = np.zeros((n, 3), np.int64), [""] * n
         sha = [hashlib.sha256(b"").hexdigest()] * n
-        for i, text, runs in _texts(batch):
+        for i, text, runs in _texts(batch, least):
             spans = all_spans(text, runs, models)
             base = [x for x in spans if x[1] < 3]
             counts[i] = np.bincount([x[1] for x in base], minlength=3)
@@ -296,6 +336,7 @@ def redact(docs: DataFrame, models: dict[str, Automaton] | None = None,
     """Rows of ``docs``, columns unchanged, with every span of a text replaced by ``mask``
     (spans that overlap become one). ``n_chars``, if there, follows the new text."""
     models = learn(docs.select("doc_id", "text")) if models is None else models
+    least = min(LONG, shortest(models))
     has_chars = "n_chars" in docs.columns
     small_batches(docs.sparkSession)
 
@@ -303,7 +344,7 @@ def redact(docs: DataFrame, models: dict[str, Automaton] | None = None,
         for batch in batches:
             text = batch.column("text").to_pylist()
             chars = batch.column("n_chars").to_pylist() if has_chars else []
-            for i, t, runs in _texts(batch):
+            for i, t, runs in _texts(batch, least):
                 parts, at = [], 0
                 for s, _, e, _ in all_spans(t, runs, models):
                     if s >= at:

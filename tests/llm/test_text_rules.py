@@ -108,3 +108,29 @@ def test_automata_learn_the_format_and_find_it_without_the_keyword(spark):
     assert len(m.to) < 60 and m.rate(key()) > -4 and m.log_likelihood("GK-00") == float("-inf")
     for q in range(len(m.to)):  # each state's chances sum to one
         assert m.end[q] + sum(m.n[q].values()) == m._total(q)
+
+
+def test_rare_labels_and_short_values_train_at_any_size(spark):
+    """60 labelled values among 30,000 documents, and labelled values of 12 characters."""
+    from pyspark.sql import functions as F
+
+    r = random.Random(6)
+
+    def key(n):
+        return "gk-" + "".join(r.choice("0123456789abcdef") for _ in range(n))
+
+    few = [(i, f"some words token = {key(24)} and more") for i in range(60)]
+    plain = spark.range(1000, 31000, 1, 4).select("id", F.concat(
+        F.lit("some text order-"), F.col("id").cast("string")).alias("text"))
+    docs = spark.createDataFrame(few, "id long, text string").unionByName(plain)
+    models = secrets.learn(docs.withColumnRenamed("id", "doc_id"))
+    assert models["assign"].n[0] == {"g": 60} and models["assign"].shortest == 27
+
+    rows = [(i, f"my token = {key(9)} here") for i in range(300)]
+    rows += [(1000 + i, f"part no-{r.randint(10000, 99999)}x was sent") for i in range(300)]
+    models = secrets.learn(spark.createDataFrame(rows, "doc_id long, text string"))
+    rows += [(2000 + i, f"look at {key(9)} now") for i in range(20)]
+    got = {x.doc_id: x.spans for x in secrets.scan(
+        spark.createDataFrame(rows, "doc_id long, text string"), models).collect()}
+    assert sum(got[2000 + i] == "learned:8:20" for i in range(20)) >= 18
+    assert not any(got[1000 + i] for i in range(300))
