@@ -5,8 +5,9 @@ an n-gram gives all languages that contain it at once. A text's n-grams are coun
 language (a popcount of each bit over its positions), the counts are corrected for the
 false positives of each language's filter, and the highest corrected count decides.
 
-The filter is fitted on an expected ``SAMPLE_PER_LANG`` labelled documents per language
-and has a fixed size, which bounds what is broadcast.
+The filter is fitted on an expected ``SAMPLE_PER_LANG`` labelled documents per language.
+It has ``CELLS`` cells of one word for each ``BITS`` languages, which bounds what is
+broadcast by the number of languages.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from .common import crc_mod, map_arrow, small_batches
 from .words import LOWER, doc_ranges, mix, text_buffers
 
 SAMPLE_PER_LANG = 2000
-MAX_LANGS = 64  # bits of a cell
+BITS = 64  # languages in a word of a cell
 GRAM = 5  # bytes of an n-gram
 CELLS = 1 << 20
 PROBES = 2
@@ -57,25 +58,32 @@ def _padded(b: np.ndarray, off: np.ndarray):
 
 
 class Model:
-    """Cells, the languages of the bits, and the false-positive rate of each."""
+    """Cells, the languages of the bits, and the false-positive rate of each. Word w of
+    the cells holds languages 64 w on."""
 
     def __init__(self, cells: np.ndarray, langs: list[str]):
         self.langs = langs
         kind = np.uint8 if len(langs) <= 8 else np.uint64
-        self.cells = cells.astype(kind)
-        fill = [float(((cells >> np.uint64(k)) & np.uint64(1)).mean()) for k in range(len(langs))]
+        self.cells = np.atleast_2d(cells).astype(kind)
+        fill = [float(((self.cells[k // BITS] >> kind(k % BITS)) & kind(1)).mean())
+                for k in range(len(langs))]
         self.false_rate = np.array([f**PROBES for f in fill])
 
     def counts(self, h: np.ndarray) -> np.ndarray:
-        m = self.cells[_cells(h)[0].astype(np.int64)]
-        for c in _cells(h)[1:]:
-            m &= self.cells[c.astype(np.int64)]
-        if m.dtype == np.uint8:
-            c = np.bincount(m, minlength=256)
-            bits = (np.arange(256)[:, None] >> np.arange(len(self.langs))) & 1
-            return c @ bits
-        return np.array([((m >> np.uint64(k)) & np.uint64(1)).sum()
-                         for k in range(len(self.langs))], np.int64)
+        at = [c.astype(np.int64) for c in _cells(h)]
+        out = []
+        for w, cells in enumerate(self.cells):
+            m = cells[at[0]]
+            for c in at[1:]:
+                m &= cells[c]
+            k = min(BITS, len(self.langs) - BITS * w)
+            if m.dtype == np.uint8:
+                bits = (np.arange(256)[:, None] >> np.arange(k)) & 1
+                out.append(np.bincount(m, minlength=256) @ bits)
+            else:
+                out.append(np.array([((m >> np.uint64(b)) & np.uint64(1)).sum()
+                                     for b in range(k)], np.int64))
+        return np.concatenate(out)
 
     def decide(self, hits: np.ndarray, n: int) -> tuple[str, float]:
         if not self.langs:
@@ -88,11 +96,9 @@ class Model:
 def fit(docs: DataFrame, sample_per_lang: int = SAMPLE_PER_LANG) -> Model:
     """Learn from text and lang of ``docs``; rows without either are left out. Rows of a
     language beyond ``sample_per_lang`` are thinned by a hash of the id to that expected
-    number; more than ``MAX_LANGS`` languages raise ValueError."""
+    number; there may be any number of languages."""
     rows = docs.where("lang is not null and text is not null").select("doc_id", "lang", "text")
-    n = rows.groupBy("lang").count().orderBy("lang").limit(MAX_LANGS + 1).collect()
-    if len(n) > MAX_LANGS:
-        raise ValueError(f"more than {MAX_LANGS} languages")
+    n = rows.groupBy("lang").count().orderBy("lang").collect()
     langs = [r["lang"] for r in n]
     if not langs:
         return Model(np.zeros(CELLS, np.uint64), [])
@@ -115,26 +121,34 @@ def fit(docs: DataFrame, sample_per_lang: int = SAMPLE_PER_LANG) -> Model:
     grams = map_arrow(sample, one, "gram long, lang string, n long").groupBy("gram", "lang").agg(
         F.sum("n").alias("n"))
     total = {r["lang"]: r["n"] for r in grams.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
-    bit = F.create_map(*[x for k, v in enumerate(langs) for x in (
-        F.lit(v), F.lit(1 << k if k < 63 else -(1 << 63)).cast("long"))])[F.col("lang")]
+    number = F.create_map(*[x for k, v in enumerate(langs) for x in (
+        F.lit(v), F.lit(k))])[F.col("lang")]
+    n_words = -(-len(langs) // BITS)
     rate = F.col("n") / F.create_map(*[x for v in langs for x in (
         F.lit(v), F.lit(float(total.get(v, 1))))])[F.col("lang")]
-    many = grams.where(F.col("n") >= MIN_COUNT).withColumn("rate", rate).withColumn("bit", bit)
+    many = grams.where(F.col("n") >= MIN_COUNT).withColumn("rate", rate).withColumn("k", number)
     top = many.groupBy("gram").agg(F.max("rate").alias("top"),
-                                   F.collect_list(F.struct("rate", "bit")).alias("r"))
-    mask = F.aggregate(F.filter("r", lambda x: x["rate"] >= MIN_SHARE * F.col("top")),
-                       F.lit(0).cast("long"), lambda a, x: a.bitwiseOR(x["bit"]))
+                                   F.collect_list(F.struct("rate", "k")).alias("r"))
+    has = F.transform(F.filter("r", lambda x: x["rate"] >= MIN_SHARE * F.col("top")),
+                      lambda x: x["k"])
 
     def place(batch: pa.RecordBatch):
         h = batch.column("gram").to_numpy().view(np.uint64)
-        m = batch.column("mask").to_numpy()
-        c = np.concatenate(_cells(h)).astype(np.int64)
-        yield {"cell": c, "mask": np.tile(m, PROBES)}
-
-    cells = map_arrow(top.select("gram", mask.alias("mask")), place, "cell long, mask long")
-    got = cells.groupBy("cell").agg(F.bit_or("mask").alias("mask")).toArrow()  # CELLS at most
-    table = np.zeros(CELLS, np.uint64)
-    table[got["cell"].to_numpy()] = got["mask"].to_numpy().view(np.uint64)
+        has = batch.column("has")
+        row = np.repeat(np.arange(len(h)), has.value_lengths().to_numpy())
+        k = has.flatten().to_numpy().astype(np.int64)
+        masks = np.zeros((n_words, len(h)), np.uint64)
+        np.bitwise_or.at(masks, (k // BITS, row), np.uint64(1) << (k % BITS).astype(np.uint64))
+        word, at = np.nonzero(masks)
+        for c in _cells(h):
+            yield {"cell": c[at].astype(np.int64), "word": word,
+                   "mask": masks[word, at].view(np.int64)}
+
+    cells = map_arrow(top.select("gram", has.alias("has")), place, "cell long, word long, mask long")
+    got = cells.groupBy("cell", "word").agg(  # CELLS rows a word at most
+        F.bit_or("mask").alias("mask")).toArrow()
+    table = np.zeros((n_words, CELLS), np.uint64)
+    table[got["word"].to_numpy(), got["cell"].to_numpy()] = got["mask"].to_numpy().view(np.uint64)
     return Model(table, langs)
 
 

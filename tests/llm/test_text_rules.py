@@ -60,6 +60,25 @@ def test_too_many_languages(spark):
         langid.fit(docs)
 
 
+def _spoken(lang: int, seed: int, n: int = 60) -> str:
+    """Prose of an invented language: 40 words of its own syllables."""
+    w = random.Random(1000 + lang)
+    syl = ["".join(w.choice("bcdfghjklmnprstvz") + w.choice("aeiou") for _ in range(2))
+           for _ in range(20)]
+    vocab = ["".join(w.sample(syl, 2)) for _ in range(40)]
+    r = random.Random(lang * 100_000 + seed)
+    return " ".join(r.choice(vocab) for _ in range(n))
+
+
+def test_any_number_of_languages(spark):
+    rows = [(100 * k + i, _spoken(k, i), f"l{k}") for k in range(70) for i in range(5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.fit(docs)
+    new = spark.createDataFrame([(k, _spoken(k, 99)) for k in range(70)], "k long, text string")
+    got = {x.k: x for x in langid.predict(new, model).collect()}
+    assert model.cells.shape[0] == 2 and all(got[k].lang_pred == f"l{k}" for k in range(70))
+
+
 def plain_spans(t):
     kw = "password|passwd|secret|token|api_?key"
     kw = re.sub("[a-z]", lambda m: f"[{m[0]}{m[0].upper()}]", kw)
