@@ -12,17 +12,17 @@ from pyspark.sql import functions as F
 from lakeferry.llm import langid, minhash, mixing, packing, secrets
 from lakeferry.llm.common import Scratch, read
 
-MIN_LANGUAGE_SCORE = 0.3
 #: Mild damping: most documents of the most frequent values stay.
 MIX_TARGETS = {"source": 0.95, "lang": 0.95, "topic": 1.0}
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in one of the languages learned from ``docs``. Null, empty and letterless
-    texts go, and those that no language explains (score under ``MIN_LANGUAGE_SCORE``)."""
-    known = langid.predict(docs.select(F.struct("*").alias("doc"), "text"), langid.fit(docs))
-    return known.where((F.col("lang_pred") != "und") & (F.col("score") >= MIN_LANGUAGE_SCORE)
-                       ).select("doc.*")
+    texts go, and those that no language explains: of whose n-grams the winner has less
+    than half the share that it has of the median of its own texts."""
+    model = langid.fit(docs)
+    known = langid.predict(docs.select(F.struct("*").alias("doc"), "text"), model)
+    return known.where(langid.explained(model)).select("doc.*")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

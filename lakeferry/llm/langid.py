@@ -3,7 +3,8 @@
 A Bloom filter whose cells are bit masks, one bit per language: the AND of a few cells of
 an n-gram gives all languages that contain it at once. A text's n-grams are counted per
 language (a popcount of each bit over its positions), the counts are corrected for the
-false positives of each language's filter, and the highest corrected count decides.
+false positives of each language's filter, and the highest corrected count decides. Its
+share of all n-grams of the text, the coverage, is the score.
 
 The filter is fitted on an expected ``SAMPLE_PER_LANG`` labelled documents per language.
 It has ``CELLS`` cells of one word for each ``BITS`` languages, which bounds what is
@@ -14,7 +15,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import crc_mod, map_arrow, small_batches
@@ -28,6 +29,8 @@ PROBES = 2
 MIN_COUNT = 5
 #: An n-gram counts for a language if its rate there is at least this share of its highest.
 MIN_SHARE = 0.25
+#: A language explains a text that it covers by this share of the median over its own texts.
+LEVEL = 0.5
 _PIECE = 1 << 18
 
 
@@ -58,8 +61,8 @@ def _padded(b: np.ndarray, off: np.ndarray):
 
 
 class Model:
-    """Cells, the languages of the bits, and the false-positive rate of each. Word w of
-    the cells holds languages 64 w on."""
+    """Cells, the languages of the bits, the false-positive rate of each, and the coverage
+    from which on each explains a text. Word w of the cells holds languages 64 w on."""
 
     def __init__(self, cells: np.ndarray, langs: list[str]):
         self.langs = langs
@@ -68,6 +71,7 @@ class Model:
         fill = [float(((self.cells[k // BITS] >> kind(k % BITS)) & kind(1)).mean())
                 for k in range(len(langs))]
         self.false_rate = np.array([f**PROBES for f in fill])
+        self.level = np.zeros(len(langs))
 
     def counts(self, h: np.ndarray) -> np.ndarray:
         at = [c.astype(np.int64) for c in _cells(h)]
@@ -85,12 +89,16 @@ class Model:
                                      for b in range(k)], np.int64))
         return np.concatenate(out)
 
-    def decide(self, hits: np.ndarray, n: int) -> tuple[str, float]:
+    def coverage(self, hits: np.ndarray, n: int) -> np.ndarray:
+        """Share of n n-grams that each language has, without its false positives."""
+        true = np.maximum(0.0, (hits - n * self.false_rate) / np.maximum(1e-9, 1 - self.false_rate))
+        return np.minimum(1.0, true / max(1, n))
+
+    def decide(self, share: np.ndarray) -> tuple[str, float]:
         if not self.langs:
             return "und", 0.0
-        true = np.maximum(0.0, (hits - n * self.false_rate) / np.maximum(1e-9, 1 - self.false_rate))
-        k = int(true.argmax())
-        return self.langs[k], float(min(1.0, true[k] / true.sum())) if true.sum() > 0 else 0.0
+        k = int(share.argmax())
+        return self.langs[k], float(share[k])
 
 
 def fit(docs: DataFrame, sample_per_lang: int = SAMPLE_PER_LANG) -> Model:
@@ -149,14 +157,29 @@ def fit(docs: DataFrame, sample_per_lang: int = SAMPLE_PER_LANG) -> Model:
         F.bit_or("mask").alias("mask")).toArrow()
     table = np.zeros((n_words, CELLS), np.uint64)
     table[got["word"].to_numpy(), got["cell"].to_numpy()] = got["mask"].to_numpy().view(np.uint64)
-    return Model(table, langs)
+    model = Model(table, langs)
+
+    # the level of a language: what it covers of its own texts
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def own(batch: pa.RecordBatch):
+        at = {v: k for k, v in enumerate(shared.value.langs)}
+        lang, (share, _) = batch.column("lang").to_pylist(), _coverage(batch, shared.value)
+        yield {"lang": lang, "share": [x[at[v]] for v, x in zip(lang, share)]}
+
+    half = map_arrow(sample, own, "lang string, share double").groupBy("lang").agg(
+        F.percentile_approx("share", 0.5).alias("share")).collect()
+    half = {r["lang"]: r["share"] for r in half}
+    model.level = np.array([LEVEL * half.get(v, 0.0) for v in langs])
+    return model
 
 
 def _has_letter(raw: bytes) -> bool:
     return any(c.isalpha() for c in raw.decode("utf-8", "replace"))
 
 
-def _predict(batch: pa.RecordBatch, model: Model) -> tuple[list[str], list[float]]:
+def _coverage(batch: pa.RecordBatch, model: Model) -> tuple[np.ndarray, list[bool]]:
+    """(share of its n-grams by language, has a letter) of every text."""
     b, off = text_buffers(batch.column("text"))
     n = len(off) - 1
     ascii_letter = np.zeros(256, bool)
@@ -167,20 +190,31 @@ def _predict(batch: pa.RecordBatch, model: Model) -> tuple[list[str], list[float
         seen[d] += len(h)
         if model.langs:
             hits[d] += model.counts(h)
-    lang, score = [], []
+    letters = []
     for d in range(n):
         raw = b[off[d] : off[d + 1]]
-        if ascii_letter[raw[:4096]].any() or _has_letter(raw.tobytes()):
-            k, s = model.decide(hits[d], int(seen[d]))
-        else:
-            k, s = "und", 0.0
-        lang.append(k)
-        score.append(s)
-    return lang, score
+        letters.append(bool(ascii_letter[raw[:4096]].any()) or _has_letter(raw.tobytes()))
+    return np.array([model.coverage(h, int(s)) for h, s in zip(hits, seen)]).reshape(
+        n, len(model.langs)), letters
+
+
+def _predict(batch: pa.RecordBatch, model: Model) -> tuple[list[str], list[float]]:
+    share, letters = _coverage(batch, model)
+    got = [model.decide(x) if has else ("und", 0.0) for x, has in zip(share, letters)]
+    return [k for k, _ in got], [x for _, x in got]
+
+
+def explained(model: Model) -> Column:
+    """Whether the language that ``predict`` gave covers the text as far as its level asks."""
+    level = F.lit(0.0)
+    if model.langs:
+        level = F.create_map(*[F.lit(x) for v, k in zip(model.langs, model.level)
+                               for x in (v, float(k))])[F.col("lang_pred")]
+    return (F.col("lang_pred") != "und") & (F.col("score") > 0) & (F.col("score") >= level)
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``score`` (0 to 1) added; whole texts.
+    """``docs`` with ``lang_pred`` and ``score`` (its coverage, 0 to 1) added; whole texts.
 
     Null, empty and letterless texts, or a model without languages: ``und`` with score 0.
     A text none of whose n-grams is known gets the first language, with score 0. Ties go to

@@ -70,6 +70,22 @@ def _spoken(lang: int, seed: int, n: int = 60) -> str:
     return " ".join(r.choice(vocab) for _ in range(n))
 
 
+@pytest.mark.parametrize("n_langs", [2, 20])
+def test_texts_of_no_learned_language_go(spark, n_langs):
+    import corpus_pipeline
+
+    rows = [(100 * k + i, _spoken(k, i), f"l{k}") for k in range(n_langs) for i in range(20)]
+    clean = [(9000 + k, _spoken(k, 99), None) for k in range(n_langs)]
+    r = random.Random(8)
+    word = rows[0][1].split()[0]
+    gone = [(10_000 + i, _spoken(500 + i, 1), None) for i in range(10)]
+    gone += [(11_000 + i, "".join(chr(r.randint(97, 122)) for _ in range(300)) + f" {word}", None)
+             for i in range(10)]
+    docs = spark.createDataFrame(rows + clean + gone, "doc_id long, text string, lang string")
+    got = {x.doc_id for x in corpus_pipeline.language_id(spark, docs, "").collect()}
+    assert got == {x[0] for x in rows + clean}
+
+
 def test_any_number_of_languages(spark):
     rows = [(100 * k + i, _spoken(k, i), f"l{k}") for k in range(70) for i in range(5)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
