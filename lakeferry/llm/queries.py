@@ -4,7 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, katz, langid, minhash, mixing, packing, quality, secrets, sharding, urls
+from . import (
+    ann,
+    katz,
+    langid,
+    minhash,
+    mixing,
+    packing,
+    periodic,
+    pii,
+    quality,
+    secrets,
+    sharding,
+    urls,
+    whitening,
+)
 from .common import read
 
 
@@ -48,6 +62,18 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.evaluate(read(spark, sf_dir, "documents"))
 
 
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.evaluate(read(spark, sf_dir, "embeddings"))
+
+
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.evaluate(read(spark, sf_dir, "documents"))
+
+
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.evaluate(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_minhash_dedup": op1,
     "op2_byte_shards": op2,
@@ -59,6 +85,9 @@ QUERIES = {
     "op8_language_id": op8,
     "op9_secret_scans": op9,
     "op10_sequence_packing": op10,
+    "op11_embedding_whitening": op11,
+    "op12_periodic_runs": op12,
+    "op13_personal_data": op13,
 }
 ORACLES: dict[str, str] = {
     "op4_url_filters": urls.ORACLE,
