@@ -1,12 +1,13 @@
 """Command line for the two jobs.
 
     python -m lakeferry ingest [--available-now] [--topic-path P] [--max-per-trigger N]
-                               [--delta]
+                               [--processing-time "30 seconds"] [--delta]
     python -m lakeferry maintain [--table-path P] [--days N] [--partitions "p1;p2"]
                                  [--no-vacuum] [--retention-hours H] [--no-stats]
-                                 [--whole-table] [--per-partition] [--as-of YYYY-MM-DD] [--delta]
+                                 [--whole-table] [--per-partition] [--as-of YYYY-MM-DD]
+                                 [--budget-bytes B] [--delta]
 
-Flags override the environment (see ``lakeferry.plans.params``). Partition predicates are
+Flags override the environment, which overrides Spark settings (see ``lakeferry.plans.params``). Partition predicates are
 separated by ';' so that a predicate may hold commas (an IN list). Any error ends the
 process with a non-zero status after the session is stopped.
 """
@@ -18,7 +19,7 @@ import logging
 import sys
 
 from lakeferry.plans.jobs import run_maintenance, start_ingest
-from lakeferry.plans.params import IngestParams, MaintainParams
+from lakeferry.plans.params import IngestParams, MaintainParams, session_settings
 from lakeferry.session import build_session
 
 log = logging.getLogger("lakeferry")
@@ -28,9 +29,11 @@ def _ingest(args) -> None:
     over = {"topic_path": args.topic_path} if args.topic_path else {}
     if args.max_per_trigger:
         over["max_per_trigger"] = args.max_per_trigger
-    params = IngestParams.from_env(**over)
+    if args.processing_time:
+        over["processing_time"] = args.processing_time
     spark = build_session("lakeferry-ingest", delta=args.delta)
     try:
+        params = IngestParams.from_env(conf=session_settings(spark), **over)
         q = start_ingest(spark, params, available_now=args.available_now,
                          fmt="delta" if args.delta else None)
         q.awaitTermination()
@@ -61,9 +64,11 @@ def _maintain(args) -> None:
         over["per_partition"] = True
     if args.as_of:
         over["as_of"] = args.as_of
-    params = MaintainParams.from_env(**over)
+    if args.budget_bytes is not None:
+        over["compact_budget_bytes"] = args.budget_bytes
     spark = build_session("lakeferry-maintain", delta=args.delta)
     try:
+        params = MaintainParams.from_env(conf=session_settings(spark), **over)
         res = run_maintenance(spark, params)
         for r in res.steps.collect():
             log.info("%s: %s (%s)", r.step, r.status, r.detail)
@@ -87,6 +92,7 @@ def main(argv: list[str] | None = None) -> int:
     ing.add_argument("--topic-path", help="offline topic directory instead of Kafka")
     ing.add_argument("--max-per-trigger", type=int,
                      help="records (Kafka) or files (offline topic) per micro-batch")
+    ing.add_argument("--processing-time", help="interval between micro-batches")
     ing.add_argument("--delta", action="store_true")
     m = sub.add_parser("maintain", help="compact, vacuum, statistics")
     m.add_argument("--table-path")
@@ -101,6 +107,7 @@ def main(argv: list[str] | None = None) -> int:
     m.add_argument("--whole-table", action="store_true")
     m.add_argument("--per-partition", action="store_true")
     m.add_argument("--as-of")
+    m.add_argument("--budget-bytes", type=int, help="bytes one compaction may rewrite")
     m.add_argument("--delta", action="store_true")
     args = ap.parse_args(argv)
     try:

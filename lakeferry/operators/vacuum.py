@@ -15,7 +15,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeferry.session import checkpoint_root, conf_scope
-from lakeferry.sources.table import _fs_path, table_format
+from lakeferry.sources.table import (
+    _fs_path,
+    ingest_root,
+    list_data_files,
+    path_exists,
+    table_format,
+)
 
 log = logging.getLogger(__name__)
 
@@ -62,15 +68,29 @@ def _only_copies(spark: SparkSession, path: str, staged: str) -> bool:
 
 
 def _leftovers(spark: SparkSession, path: str) -> list[tuple[str, int]]:
-    fs, p = _fs_path(spark, path)
-    out = []
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if name.startswith(LEFTOVER_PREFIXES):
-            out.append((st.getPath().toString(), int(st.getModificationTime())))
+    """Folders of aborted writes at the root of the table and of each unfolded batch."""
+    roots = [_fs_path(spark, path)[1]]
+    if path_exists(spark, ingest_root(path)):
+        fs, root = _fs_path(spark, ingest_root(path))
+        roots += [st.getPath() for st in fs.listStatus(root) if st.isDirectory()]
+    fs, out = _fs_path(spark, path)[0], []
+    for root in roots:
+        for st in fs.listStatus(root):
+            if st.getPath().getName().startswith(LEFTOVER_PREFIXES):
+                out.append((st.getPath().toString(), int(st.getModificationTime())))
     return out
 
 
+def _all_files(spark: SparkSession, path: str) -> DataFrame:
+    """Every visible file under the table and its batches, of any name: Spark's own parallel
+    listing, contents never read. Spark leaves files of no bytes out."""
+    roots = [p for p in (path, ingest_root(path)) if path_exists(spark, p)]
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(roots)
+    return listing.select(
+        F.col("_metadata.file_path").alias("path"), F.col("path").alias("name"),
+        F.unix_millis("modificationTime").alias("modified_ms"))
+
+
 def _delta_vacuum_sql(path: str, retention_hours: int, dry_run: bool) -> str:
     quoted = path.replace("`", "``")
     return f"VACUUM delta.`{quoted}` RETAIN {retention_hours} HOURS" + " DRY RUN" * dry_run
@@ -87,11 +107,10 @@ def vacuum(
     """Delete unreferenced files older than ``retention_hours``; returns what was (or would
     be, with ``dry_run``) deleted as ``path, modified_ms`` (no time on Delta).
 
-    Delta: Delta's own ``VACUUM``. Parquet: a dynamic overwrite deletes replaced files at
-    commit, so the only unreferenced files are the folders aborted writes leave at the
-    table root; those are found with :func:`expired_files` and removed. A staging folder that
-    holds the only copy of a partition counts as live: it is logged and kept, to be moved
-    back by hand.
+    Delta: Delta's own ``VACUUM``. Parquet: the files under the table, of any name, minus
+    those the table scan yields, by :func:`expired_files`; and the folders aborted writes
+    leave at the root of the table or of a batch. A staging folder that holds the only copy
+    of a partition counts as live: it is logged and kept, to be moved back by hand.
     A retention under 168 h is refused unless ``allow_short_retention`` — a shorter one can
     delete files a running reader or writer still needs.
     """
@@ -112,17 +131,21 @@ def vacuum(
             if not dry_run:
                 spark.sql(_delta_vacuum_sql(path, retention_hours, False)).collect()
         return gone
+    cutoff = retention_cutoff_ms(retention_hours, now_ms)
+    checkpoint_root(spark)
+    # footers and names only: as few, large splits as there are cores
+    with conf_scope(spark, {"spark.sql.files.maxPartitionBytes": str(1 << 50)}):
+        strays = expired_files(
+            _all_files(spark, path), list_data_files(spark, path), cutoff).checkpoint()
     left = _leftovers(spark, path)
-    listing = spark.createDataFrame(left, "path string, modified_ms long")
-    only = [(p,) for p, _ in left if _only_copies(spark, path, p)]
-    for (p,) in only:
+    only = {p for p, _ in left if _only_copies(spark, path, p)}
+    for p in only:
         log.warning("kept %s: it holds the only files of a partition", p)
-    live = spark.createDataFrame(only, "path string")
-    expired = expired_files(listing, live, retention_cutoff_ms(retention_hours, now_ms))
+    folders = spark.createDataFrame(
+        [(p, t) for p, t in left if t < cutoff and p not in only], "name string, modified_ms long")
+    gone = strays.select("name", "modified_ms").unionByName(folders).checkpoint()
     if not dry_run:
         fs, _ = _fs_path(spark, path)
-        expired = spark.createDataFrame(expired.collect(), expired.schema)
-        # the leftover list is bounded by the number of aborted writes, not by table size
-        for r in expired.collect():
-            fs.delete(spark._jvm.org.apache.hadoop.fs.Path(r["path"]), True)
-    return expired
+        for r in gone.toLocalIterator():
+            fs.delete(spark._jvm.org.apache.hadoop.fs.Path(r["name"]), True)
+    return gone.withColumnRenamed("name", "path")

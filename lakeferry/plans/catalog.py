@@ -20,6 +20,7 @@ from lakeferry.operators.compact import (
     compact_recent,
     file_counts,
     file_report,
+    rank_partitions,
 )
 from lakeferry.operators.messages import (
     blank_where,
@@ -29,20 +30,31 @@ from lakeferry.operators.messages import (
     non_blank,
 )
 from lakeferry.operators.stats import (
+    any_of,
     count_by_type,
+    in_window,
     partition_row_counts,
     recent_partitions,
     total_rows,
 )
-from lakeferry.operators.vacuum import expired_files
-from lakeferry.plans.jobs import run_maintenance
-from lakeferry.plans.params import MaintainParams
+from lakeferry.operators.vacuum import expired_files, vacuum
+from lakeferry.plans.jobs import compact_table, run_maintenance, start_ingest
+from lakeferry.plans.params import IngestParams, MaintainParams
 from lakeferry.schema import MESSAGE_FIELDS, PARTITION_KEYS
 from lakeferry.session import scratch_path
 from lakeferry.sources.synth import messages_from_events, synth_messages
-from lakeferry.sources.table import read_table, write_table
+from lakeferry.sources.table import (
+    _fs_path,
+    batch_folder,
+    footer_row_counts,
+    list_data_files,
+    path_exists,
+    read_table,
+    register_table,
+    write_table,
+)
 from lakeferry.sources.topic import publish, read_topic_batch, read_topic_stream
-from lakeferry.streaming.ingest import append_stream, message_stream
+from lakeferry.streaming.ingest import ProgressLog, append_stream, message_stream
 
 # The parameters every check uses. AS_OF is the last date in ``events``;
 # the cutoff is AS_OF 00:00 UTC minus the default 168 h retention.
@@ -56,6 +68,9 @@ SPECIFIC = (
     "partition_message_type IN ('error', 'view') AND partition_date = '2024-01-11'",
 )
 PRODUCERS = 8  # write tasks of the small-file fixture (one file per task and partition)
+PER_BATCH = 2  # topic files in a micro-batch of the streaming checks
+FAR_MS = 4_102_444_800_000  # 2100-01-01: the "now" of the vacuum check, all files are old then
+DAY_MS = 86_400_000
 
 STORED = [*MESSAGE_FIELDS, *PARTITION_KEYS]
 
@@ -79,13 +94,23 @@ def stored_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def small_file_table(spark: SparkSession, sf_dir: str) -> str:
     """A fresh table in the shape an unoptimised stream leaves: each of PRODUCERS tasks
-    writes its own file into every partition it sees."""
+    writes its own file into every partition it sees. A message's producer is its id modulo
+    PRODUCERS."""
     path = scratch_path(spark, "smallfiles")
-    rows = enrich(_messages(spark, sf_dir)).repartition(PRODUCERS)
+    producer = F.pmod(F.col("message_id").cast("long"), F.lit(PRODUCERS))
+    rows = enrich(_messages(spark, sf_dir)).repartitionByRange(PRODUCERS, producer)
     write_table(rows, path, mode="append", optimize_write=False)
     return path
 
 
+def _topic(spark: SparkSession, sf_dir: str) -> str:
+    """The messages as an offline topic of PRODUCERS files."""
+    topic = scratch_path(spark, "topic")
+    encoded = encode_messages(_messages(spark, sf_dir)).repartition(PRODUCERS)
+    publish(encoded, "key", "value", topic="messages", path=topic)
+    return topic
+
+
 def q_avro_round_trip(spark, sf_dir):
     return decode_messages(encode_messages(_messages(spark, sf_dir)))
 
@@ -119,17 +144,55 @@ def q_enriched_messages(spark, sf_dir):
 
 
 def q_stream_append_read_back(spark, sf_dir):
-    topic = scratch_path(spark, "topic")
-    table = scratch_path(spark, "streamtable")
-    checkpoint = scratch_path(spark, "checkpoint")
-    encoded = encode_messages(_messages(spark, sf_dir)).repartition(PRODUCERS)
-    publish(encoded, "key", "value", topic="messages", path=topic)
+    topic, table = _topic(spark, sf_dir), scratch_path(spark, "streamtable")
     records = read_topic_stream(spark, path=topic, max_per_trigger=max(1, PRODUCERS // 2))
-    q = append_stream(message_stream(records), table, checkpoint, available_now=True)
+    q = append_stream(message_stream(records), table, scratch_path(spark, "checkpoint"),
+                      available_now=True)
     q.awaitTermination()
     return read_table(spark, table, "parquet").select(*STORED)
 
 
+def q_stream_restart(spark, sf_dir):
+    """The ingest job is stopped in the middle of a batch after its first, restarted on its
+    checkpoint with an interval trigger, stopped again, and drained by a third run; then its
+    settled batches are folded in."""
+    p = IngestParams(
+        topic_path=_topic(spark, sf_dir), table_path=scratch_path(spark, "streamtable"),
+        checkpoint=scratch_path(spark, "checkpoint"), max_per_trigger=PER_BATCH,
+        processing_time="100 milliseconds")
+    for batches in (1, 2):
+        q = start_ingest(spark, p)
+        while q.isActive and (q.lastProgress or {"batchId": -1})["batchId"] < batches - 1:
+            q.awaitTermination(0.05)
+        q.stop()
+    start_ingest(spark, p, available_now=True).awaitTermination()
+    compact_all(spark, p.table_path)
+    return read_table(spark, p.table_path, "parquet").select(*STORED)
+
+
+def q_stream_progress(spark, sf_dir):
+    """Every micro-batch of two runs at an interval, at most PER_BATCH files each."""
+    log = ProgressLog(spark, scratch_path(spark, "progress"))
+    spark.streams.addListener(log)
+    try:
+        p = IngestParams(
+            topic_path=_topic(spark, sf_dir), table_path=scratch_path(spark, "streamtable"),
+            checkpoint=scratch_path(spark, "checkpoint"), max_per_trigger=PER_BATCH,
+            processing_time="100 milliseconds")
+        runs = []
+        for _ in range(2):
+            q = start_ingest(spark, p)
+            q.processAllAvailable()
+            q.stop()
+            runs.append(q)
+        rows = log.rows(*runs)
+    finally:
+        spark.streams.removeListener(log)
+    return rows.where("num_input_rows > 0").agg(
+        F.count_distinct("batch_id").alias("batches"), F.count_distinct("query_id").alias("queries"),
+        F.sum("num_input_rows").alias("input_rows"))
+
+
 def q_batch_overwrite_read_back(spark, sf_dir):
     path = scratch_path(spark, "batchtable")
     rows = enrich(_messages(spark, sf_dir))
@@ -164,25 +227,70 @@ def q_partition_row_counts(spark, sf_dir):
     return partition_row_counts(stored_table(spark, sf_dir))
 
 
+def q_footer_row_counts(spark, sf_dir):
+    stored_table(spark, sf_dir)
+    return footer_row_counts(spark, _TABLES[(spark.sparkContext.applicationId, sf_dir)])
+
+
+def q_sql_partition_counts(spark, sf_dir):
+    """The statistics and the window of recent dates as SQL on a catalog table."""
+    stored_table(spark, sf_dir)
+    name = f"messages_{abs(hash(sf_dir))}"
+    register_table(spark, _TABLES[(spark.sparkContext.applicationId, sf_dir)], name)
+    return spark.sql(
+        f"SELECT partition_message_type, partition_date, COUNT(*) AS row_count FROM {name} "
+        f"WHERE partition_date IN (SELECT DISTINCT partition_date FROM {name} WHERE "
+        f"partition_date >= '2024-01-23' AND partition_date <= '{AS_OF}') "
+        "GROUP BY partition_message_type, partition_date "
+        "ORDER BY partition_date DESC, partition_message_type")
+
+
+def _compacted(spark: SparkSession, path: str, before: DataFrame, target) -> DataFrame:
+    """What a compaction left: per partition its rows, two sums over them, and whether its
+    files are as they should be: one in each target (the fixture's need no more), those of
+    before elsewhere."""
+    table = read_table(spark, path, "parquet")
+    rows = table.groupBy(*PARTITION_KEYS).agg(
+        F.count(F.lit(1)).alias("row_count"),
+        F.sum(F.col("message_id").cast("long")).alias("id_sum"),
+        F.sum("creation_time").alias("time_sum"))
+    report = file_report(before, file_counts(spark, path), rows)
+    same = (F.col("files_after") == F.col("files_before")) & (
+        F.col("bytes_after") == F.col("bytes_before"))
+    return report.select(
+        *PARTITION_KEYS, "row_count", "id_sum", "time_sum",
+        F.when(target, F.col("files_after") == 1).otherwise(same).alias("files_as_expected"))
+
+
 def q_compact_recent(spark, sf_dir):
     path = small_file_table(spark, sf_dir)
+    before = file_counts(spark, path).checkpoint()
     compact_recent(spark, path, DAYS, AS_OF)
-    return partition_row_counts(read_table(spark, path, "parquet"))
+    return _compacted(spark, path, before, in_window(DAYS, AS_OF))
 
 
 def q_compact_specific(spark, sf_dir):
     path = small_file_table(spark, sf_dir)
+    before = file_counts(spark, path).checkpoint()
     status = compact_partitions(spark, path, list(SPECIFIC), per_partition=True)
     failed = status.where("status <> 'compacted'").collect()
     if failed:
         raise RuntimeError(f"compaction failed: {failed}")
-    return partition_row_counts(read_table(spark, path, "parquet"))
+    return _compacted(spark, path, before, any_of(list(SPECIFIC)))
 
 
 def q_compact_full(spark, sf_dir):
     path = small_file_table(spark, sf_dir)
+    before = file_counts(spark, path).checkpoint()
     compact_all(spark, path)
-    return partition_row_counts(read_table(spark, path, "parquet"))
+    return _compacted(spark, path, before, F.lit(True))
+
+
+def q_compact_table(spark, sf_dir):
+    """The embeddable entry point: what it says it rewrote, by target."""
+    path = small_file_table(spark, sf_dir)
+    params = MaintainParams(specific_partitions=SPECIFIC, per_partition=True)
+    return compact_table(spark, path, params)
 
 
 def q_compaction_file_report(spark, sf_dir):
@@ -190,10 +298,25 @@ def q_compaction_file_report(spark, sf_dir):
     before = file_counts(spark, path).checkpoint()
     compact_recent(spark, path, DAYS, AS_OF)
     after = file_counts(spark, path).checkpoint()
-    counts = read_table(spark, path, "parquet").groupBy(*PARTITION_KEYS).agg(
-        F.count(F.lit(1)).alias("row_count")
-    )
-    return file_report(before, after, counts)
+    counts = after.select(*PARTITION_KEYS, F.col("rows").alias("row_count"))
+    report = file_report(before, after, counts)
+    fewer = F.col("files_after") <= F.col("files_before")
+    same = (F.col("files_after") == F.col("files_before")) & (
+        F.col("bytes_after") == F.col("bytes_before"))
+    return report.select(
+        *PARTITION_KEYS, "files_before", "files_after", "row_count", fewer.alias("no_more_files"),
+        (in_window(DAYS, AS_OF) | same).alias("others_unchanged"))
+
+
+def q_compaction_ranking(spark, sf_dir):
+    """Partitions by files saved per byte, under half of all bytes as the budget; every
+    message stands for a file of its partition."""
+    m = _messages(spark, sf_dir)
+    files = m.select(F.col("message_type").alias(PARTITION_KEYS[0]),
+                     F.col("date").alias(PARTITION_KEYS[1]),
+                     (F.pmod("creation_time", F.lit(9000)) + 1000).alias("size_bytes"))
+    half = files.agg(F.sum("size_bytes")).first()[0] // 2
+    return rank_partitions(files, 20_000, half)
 
 
 def q_maintenance_job(spark, sf_dir):
@@ -205,6 +328,36 @@ def q_maintenance_job(spark, sf_dir):
     )
 
 
+def q_vacuum(spark, sf_dir):
+    """A stray file in every partition, as many days old as its date lies before AS_OF, and
+    the rest of a batch that never ended; all files of the table are older. Vacuum takes the
+    strays past the retention and the rest of the batch, and no row."""
+    path = scratch_path(spark, "vacuumtable")
+    write_table(enrich(_messages(spark, sf_dir)), path, mode="overwrite")
+    fs, _ = _fs_path(spark, path)
+    new = spark._jvm.org.apache.hadoop.fs.Path
+    names = list_data_files(spark, path).select(
+        F.regexp_replace("path", "/[^/]*$", "").alias("dir"),
+        F.datediff(F.lit(AS_OF).cast("date"), F.col(PARTITION_KEYS[1]).cast("date")).alias("days"))
+    for r in names.distinct().collect():  # a row for each partition
+        stray = new(f"{r['dir']}/stray.tmp")
+        out = fs.create(stray, True)
+        out.write(1)
+        out.close()
+        fs.setTimes(stray, FAR_MS - r["days"] * DAY_MS, -1)
+    dead = batch_folder(path, "dead", 3) + "/_temporary"
+    fs.mkdirs(new(dead))
+    gone = vacuum(spark, path, now_ms=FAR_MS)
+    removed = gone.select(
+        *[F.regexp_extract("path", f"/{k}=([^/]*)/", 1).alias(k) for k in PARTITION_KEYS],
+        F.lit(True).alias("stray_removed"))
+    counts = read_table(spark, path, "parquet").groupBy(*PARTITION_KEYS).agg(
+        F.count(F.lit(1)).alias("row_count"))
+    return counts.join(removed, list(PARTITION_KEYS), "left").select(
+        *PARTITION_KEYS, "row_count", F.coalesce("stray_removed", F.lit(False)).alias("stray_removed"),
+        F.lit(not path_exists(spark, dead)).alias("rest_of_batch_removed"))
+
+
 def q_expired_files(spark, sf_dir):
     m = _messages(spark, sf_dir)
     listing = m.select(
@@ -243,11 +396,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "total_rows": q_total_rows,
     "recent_partitions": q_recent_partitions,
     "partition_row_counts": q_partition_row_counts,
+    "footer_row_counts": q_footer_row_counts,
+    "sql_partition_counts": q_sql_partition_counts,
+    "stream_restart": q_stream_restart,
+    "stream_progress": q_stream_progress,
     "compact_recent": q_compact_recent,
     "compact_specific": q_compact_specific,
     "compact_full": q_compact_full,
+    "compact_table": q_compact_table,
+    "compaction_ranking": q_compaction_ranking,
     "compaction_file_report": q_compaction_file_report,
     "maintenance_job": q_maintenance_job,
+    "vacuum": q_vacuum,
     "expired_files": q_expired_files,
     "synth_messages": q_synth_messages,
 }
@@ -269,6 +429,18 @@ COUNTS_SQL = (
     "ORDER BY partition_date DESC, partition_message_type"
 )
 
+# Files of the small-file table: one for each producer that a partition has rows of.
+FILES = (
+    "files AS (SELECT message_type AS partition_message_type, date AS partition_date, "
+    f"count(DISTINCT CAST(message_id AS BIGINT) % {PRODUCERS}) AS files, count(*) AS n "
+    "FROM msg GROUP BY ALL)"
+)
+
+
+def _text(value: str) -> str:
+    return "'" + value.replace("'", "''") + "'"
+
+
 ORACLES: dict[str, str] = {
     "avro_round_trip": f"WITH {MSG} SELECT * FROM msg",
     "topic_batch_read": f"WITH {MSG} SELECT * FROM msg",
@@ -299,15 +471,56 @@ ORACLES: dict[str, str] = {
         f"WHERE date BETWEEN '2024-01-23' AND '{AS_OF}' ORDER BY partition_date DESC"
     ),
     "partition_row_counts": COUNTS_SQL,
-    "compact_recent": COUNTS_SQL,
-    "compact_specific": COUNTS_SQL,
-    "compact_full": COUNTS_SQL,
+    "footer_row_counts": COUNTS_SQL,
+    "sql_partition_counts": (
+        f"SELECT * FROM ({COUNTS_SQL}) WHERE partition_date BETWEEN '2024-01-23' AND '{AS_OF}'"
+    ),
+    "stream_restart": STORED_SQL,
+    "stream_progress": (
+        f"SELECT {-(-PRODUCERS // PER_BATCH)}::BIGINT AS batches, 1::BIGINT AS queries, "
+        "count(*) AS input_rows FROM events"
+    ),
+    **dict.fromkeys(("compact_recent", "compact_specific", "compact_full"), (
+        f"WITH {MSG} SELECT message_type AS partition_message_type, date AS partition_date, "
+        "count(*) AS row_count, CAST(sum(CAST(message_id AS BIGINT)) AS BIGINT) AS id_sum, "
+        "CAST(sum(creation_time) AS BIGINT) AS time_sum, true AS files_as_expected "
+        "FROM msg GROUP BY ALL"
+    )),
+    "compact_table": " UNION ALL ".join(
+        f"SELECT {_text(p)} AS target, 'compacted' AS status, NULL::VARCHAR AS error, "
+        "count(*) AS partitions, coalesce(CAST(sum(n) AS BIGINT), 0) AS rows FROM ("
+        f"WITH {MSG}, {FILES} SELECT n FROM files WHERE files > 1 AND {p})" for p in SPECIFIC
+    ),
+    "compaction_file_report": (
+        f"WITH {MSG}, {FILES} SELECT partition_message_type, partition_date, "
+        "files AS files_before, "
+        f"CASE WHEN partition_date BETWEEN '2024-01-23' AND '{AS_OF}' THEN 1 ELSE files END "
+        "AS files_after, n AS row_count, true AS no_more_files, true AS others_unchanged FROM files"
+    ),
+    "compaction_ranking": (
+        f"WITH {MSG}, f AS (SELECT message_type, date, creation_time % 9000 + 1000 AS size FROM msg), "
+        "p AS (SELECT message_type, date, count(*) AS files, CAST(sum(size) AS BIGINT) AS bytes, "
+        "CAST(ceil(sum(size) / 20000) AS BIGINT) AS pieces FROM f GROUP BY ALL), "
+        "s AS (SELECT *, files - pieces AS files_saved FROM p WHERE files >= 2 AND files > pieces), "
+        "r AS (SELECT *, coalesce(CAST(sum(bytes) OVER (ORDER BY files_saved / bytes DESC, bytes, "
+        "message_type, date ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS BIGINT), 0) "
+        "AS bytes_before FROM s) "
+        "SELECT message_type AS partition_message_type, date AS partition_date, files, bytes, "
+        "pieces, files_saved, bytes_before, "
+        "bytes_before + bytes <= (SELECT CAST(sum(size) AS BIGINT) // 2 FROM f) AS chosen FROM r"
+    ),
     "maintenance_job": (
-        f"WITH {MSG} SELECT * FROM (VALUES ('guard', 'ok', 'table found'), "
-        "('compact', 'ok', '0 failed targets'), ('vacuum', 'ok', '0 removed')) "
-        "t(step, status, detail) "
-        "UNION ALL SELECT 'statistics' AS step, 'ok' AS status, "
-        "concat(CAST(count(*) AS VARCHAR), ' rows') AS detail FROM msg"
+        f"WITH {MSG}, {FILES} SELECT * FROM (VALUES ('guard', 'ok', 'table found'), "
+        "('vacuum', 'ok', '0 removed')) t(step, status, detail) "
+        "UNION ALL SELECT 'compact', 'ok', concat('0 failed targets, ', count(*), ' partitions, ', "
+        "CAST(sum(n) AS BIGINT), ' rows') FROM files WHERE files > 1 "
+        f"AND partition_date BETWEEN '2024-01-23' AND '{AS_OF}' "
+        "UNION ALL SELECT 'statistics', 'ok', concat(CAST(count(*) AS VARCHAR), ' rows') FROM msg"
+    ),
+    "vacuum": (
+        f"WITH {MSG} SELECT message_type AS partition_message_type, date AS partition_date, "
+        "count(*) AS row_count, date < '2024-01-23' AS stray_removed, "
+        "true AS rest_of_batch_removed FROM msg GROUP BY ALL"
     ),
     "expired_files": (
         f"WITH {MSG}, listing AS (SELECT concat('part-', message_id, '.parquet') AS path, "

@@ -19,7 +19,7 @@ from lakeferry.operators.compact import (
 )
 from lakeferry.operators.stats import partition_row_counts
 from lakeferry.operators.vacuum import vacuum
-from lakeferry.plans.params import IngestParams, MaintainParams
+from lakeferry.plans.params import IngestParams, MaintainParams, session_settings
 from lakeferry.session import (
     build_session,
     checkpoint_root,
@@ -39,7 +39,8 @@ STEP_SCHEMA = "step string, status string, detail string"
 def _object_store(spark: SparkSession, p) -> None:
     if p.s3_endpoint:
         configure_object_store(
-            spark, object_store_conf(p.s3_endpoint, p.s3_access_key, p.s3_secret_key)
+            spark, object_store_conf(p.s3_endpoint, p.s3_access_key, p.s3_secret_key,
+                                     p.s3_path_style, p.s3_ssl)
         )
 
 
@@ -65,15 +66,16 @@ def start_ingest(
         params.checkpoint,
         fmt=fmt,
         available_now=available_now,
+        processing_time=params.processing_time,
     )
 
 
 def run_ingest(params: IngestParams | None = None, delta: bool = False) -> None:
     """Process entry point: start, block until the query ends, always stop the session.
     A failed query re-raises its error."""
-    params = params or IngestParams.from_env()
     spark = build_session("lakeferry-ingest", delta=delta)
     try:
+        params = params or IngestParams.from_env(conf=session_settings(spark))
         q = start_ingest(spark, params, fmt="delta" if delta else None)
         log.info("ingest started: %s", params)
         q.awaitTermination()
@@ -89,16 +91,16 @@ class MaintenanceResult:
 
 
 def _compact(spark: SparkSession, p: MaintainParams) -> DataFrame:
-    path = p.table_path
+    path, budget = p.table_path, p.compact_budget_bytes
     if not p.compact_by_partition:
-        return compact_all(spark, path)
+        return compact_all(spark, path, budget_bytes=budget)
     if p.specific_partitions:
-        return compact_partitions(
-            spark, path, list(p.specific_partitions), per_partition=p.per_partition)
+        return compact_partitions(spark, path, list(p.specific_partitions),
+                                  per_partition=p.per_partition, budget_bytes=budget)
     if p.per_partition:
         preds = choose_targets(spark, path, None, p.days_to_compact, p.as_of)
         return compact_partitions(spark, path, preds, per_partition=True)
-    return compact_recent(spark, path, p.days_to_compact, p.as_of)
+    return compact_recent(spark, path, p.days_to_compact, p.as_of, budget_bytes=budget)
 
 
 def compact_table(
@@ -110,7 +112,7 @@ def compact_table(
     _object_store(spark, params)
     if table_format(spark, path) is None:
         log.warning("no table at %s; skipping compaction", path)
-        return spark.createDataFrame([(path, "no_table", None)], STATUS_SCHEMA)
+        return spark.createDataFrame([(path, "no_table", None, None, None)], STATUS_SCHEMA)
     return _compact(spark, params)
 
 
@@ -119,7 +121,7 @@ def run_maintenance(spark: SparkSession, params: MaintainParams | None = None) -
 
     A failure is reported with its whole message and the job goes on.
     """
-    p = params or MaintainParams.from_env()
+    p = params or MaintainParams.from_env(conf=session_settings(spark))
     _object_store(spark, p)
     path = p.table_path
     if table_format(spark, path) is None:
@@ -127,8 +129,15 @@ def run_maintenance(spark: SparkSession, params: MaintainParams | None = None) -
         return MaintenanceResult(spark.createDataFrame([("guard", "no_table", path)], STEP_SCHEMA))
     steps = [("guard", "ok", path)]
     try:
-        failed = _compact(spark, p).where("status = 'failed'").count()
-        steps.append(("compact", "ok" if failed == 0 else "partial", f"{failed} failed targets"))
+        targets = _compact(spark, p).collect()  # a row for each predicate given
+        failed = sum(t.status == "failed" for t in targets)
+        done = [t for t in targets if t.status == "compacted"]
+        text = f"{failed} failed targets"
+        if any(t.partitions is not None for t in done):  # Delta does not tell
+            text += ", {} partitions, {} rows".format(*(
+                sum(t[k] or 0 for t in done) for k in ("partitions", "rows")))
+        steps.append(("compact", "ok" if failed == 0 else "partial", text))
+        steps += [("compact", t.status, t.error) for t in targets if t.status == "deferred"]
     except Exception as e:
         log.error("compaction failed: %s", e)
         steps.append(("compact", "failed", error_text(e)))

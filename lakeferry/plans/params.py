@@ -1,7 +1,9 @@
 """Job parameters: frozen dataclasses, filled from keyword arguments or the environment.
 
-Environment precedence mirrors the jobs this library replaces: a non-empty environment
-variable wins, an empty one counts as missing, then the default applies. Booleans are
+Precedence has three tiers, as in the jobs this library replaces: a non-empty environment
+variable wins, then a non-empty Spark setting (``KAFKA_TOPIC`` is
+``spark.lakeferry.kafka.topic``, given with ``--conf`` or in ``spark-defaults.conf``), then
+the default applies. Booleans are
 true only for "true" in any letter case. Integers that do not parse raise. Secrets are
 never part of the printed form.
 """
@@ -20,22 +22,59 @@ ENV_DEFAULTS = {
     "S3_ACCESS_KEY": "",
     "S3_SECRET_KEY": "",
     "S3_BUCKET": "your-bucket",
+    "S3_PATH_STYLE": "true",
+    "S3_SSL": "false",
     "TABLE_PATH": "",
     "DELTA_TABLE_PATH": "",
     "CHECKPOINT_LOCATION": "",
+    "PROCESSING_TIME": "",
+    "MAX_PER_TRIGGER": "",
     "COMPACT_BY_PARTITION": "true",
     "DAYS_TO_COMPACT": "7",
     "SPECIFIC_PARTITIONS": "",
+    "COMPACT_BUDGET_BYTES": "",
     "VACUUM_ENABLED": "true",
     "VACUUM_RETENTION_HOURS": "168",
     "GENERATE_STATISTICS": "true",
 }
 
 
-def env_value(name: str, env: Mapping[str, str] | None = None) -> str:
-    env = os.environ if env is None else env
-    v = env.get(name)
-    return v if v else ENV_DEFAULTS.get(name, "")
+class Settings:
+    """Looks names up in the environment, then in Spark settings, then in the defaults."""
+
+    def __init__(self, env: Mapping[str, str] | None = None, conf: Mapping[str, str] | None = None):
+        self.env, self.conf = os.environ if env is None else env, conf or {}
+
+    def __getitem__(self, name: str) -> str:
+        return self.env.get(name) or self.conf.get(conf_key(name)) or ENV_DEFAULTS.get(name, "")
+
+    def number(self, name: str) -> int | None:
+        return int(self[name]) if self[name] else None
+
+    def flag(self, name: str) -> bool:
+        return parse_bool(self[name])
+
+    def table_path(self) -> str:
+        """``TABLE_PATH``, else ``DELTA_TABLE_PATH`` (the maintenance job's older name), else
+        the bucket's ``messages/`` folder — one path for both jobs."""
+        return (self["TABLE_PATH"] or self["DELTA_TABLE_PATH"]
+                or f"s3a://{self['S3_BUCKET']}/messages/")
+
+    def object_store(self) -> dict:
+        return dict(s3_endpoint=self["S3_ENDPOINT"], s3_access_key=self["S3_ACCESS_KEY"],
+                    s3_secret_key=self["S3_SECRET_KEY"], s3_path_style=self.flag("S3_PATH_STYLE"),
+                    s3_ssl=self.flag("S3_SSL"))
+
+
+def conf_key(name: str) -> str:
+    """The Spark setting of an environment name."""
+    return "spark.lakeferry." + name.lower().replace("_", ".")
+
+
+def session_settings(spark) -> dict[str, str]:
+    """The library's own settings of a session: those it was started with."""
+    return {k: v for k, v in spark.sparkContext.getConf().getAll()
+            if k.startswith("spark.lakeferry.")}
 
 
 def parse_bool(text: str) -> bool:
@@ -49,16 +88,6 @@ def parse_predicates(text: str) -> list[str]:
     return [p.strip() for p in text.split(sep) if p.strip()] if text else []
 
 
-def _table_path(env, bucket: str) -> str:
-    """``TABLE_PATH``, else ``DELTA_TABLE_PATH`` (the maintenance job's older name), else
-    the bucket's ``messages/`` folder — one path for both jobs."""
-    return (
-        env_value("TABLE_PATH", env)
-        or env_value("DELTA_TABLE_PATH", env)
-        or f"s3a://{bucket}/messages/"
-    )
-
-
 @dataclasses.dataclass(frozen=True)
 class IngestParams:
     brokers: str = ENV_DEFAULTS["KAFKA_BROKERS"]
@@ -68,6 +97,8 @@ class IngestParams:
     s3_endpoint: str = ""
     s3_access_key: str = dataclasses.field(default="", repr=False)
     s3_secret_key: str = dataclasses.field(default="", repr=False)
+    s3_path_style: bool = True
+    s3_ssl: bool = False
     starting_offsets: str = "latest"
     fail_on_data_loss: bool = False
     decode_mode: str = "FAILFAST"
@@ -75,18 +106,20 @@ class IngestParams:
     # records (Kafka offsets) or files (offline topic) per micro-batch; None = no bound.
     # Bounds the first batch of a stream resuming after downtime.
     max_per_trigger: int | None = None
+    processing_time: str | None = None  # interval between batches; None = back to back
 
     @classmethod
-    def from_env(cls, env: Mapping[str, str] | None = None, **overrides) -> IngestParams:
-        bucket = env_value("S3_BUCKET", env)
+    def from_env(cls, env: Mapping[str, str] | None = None,
+                 conf: Mapping[str, str] | None = None, **overrides) -> IngestParams:
+        at = Settings(env, conf)
         vals = dict(
-            brokers=env_value("KAFKA_BROKERS", env),
-            topic=env_value("KAFKA_TOPIC", env),
-            table_path=_table_path(env, bucket),
-            checkpoint=env_value("CHECKPOINT_LOCATION", env) or f"s3a://{bucket}/checkpoints/",
-            s3_endpoint=env_value("S3_ENDPOINT", env),
-            s3_access_key=env_value("S3_ACCESS_KEY", env),
-            s3_secret_key=env_value("S3_SECRET_KEY", env),
+            brokers=at["KAFKA_BROKERS"],
+            topic=at["KAFKA_TOPIC"],
+            table_path=at.table_path(),
+            checkpoint=at["CHECKPOINT_LOCATION"] or f"s3a://{at['S3_BUCKET']}/checkpoints/",
+            max_per_trigger=at.number("MAX_PER_TRIGGER"),
+            processing_time=at["PROCESSING_TIME"] or None,
+            **at.object_store(),
         )
         vals.update(overrides)
         return cls(**vals)
@@ -102,26 +135,30 @@ class MaintainParams:
     vacuum_retention_hours: int = 168
     allow_short_retention: bool = False  # accept a retention under 168 hours
     generate_statistics: bool = True
+    # bytes one compaction may rewrite, best files-per-byte first; None = no bound
+    compact_budget_bytes: int | None = None
     per_partition: bool = False  # one job per target, failures isolated
     as_of: str | None = None  # the "today" of the recent-partition window
     s3_endpoint: str = ""
     s3_access_key: str = dataclasses.field(default="", repr=False)
     s3_secret_key: str = dataclasses.field(default="", repr=False)
+    s3_path_style: bool = True
+    s3_ssl: bool = False
 
     @classmethod
-    def from_env(cls, env: Mapping[str, str] | None = None, **overrides) -> MaintainParams:
-        bucket = env_value("S3_BUCKET", env)
+    def from_env(cls, env: Mapping[str, str] | None = None,
+                 conf: Mapping[str, str] | None = None, **overrides) -> MaintainParams:
+        at = Settings(env, conf)
         vals = dict(
-            table_path=_table_path(env, bucket),
-            compact_by_partition=parse_bool(env_value("COMPACT_BY_PARTITION", env)),
-            days_to_compact=int(env_value("DAYS_TO_COMPACT", env)),
-            specific_partitions=tuple(parse_predicates(env_value("SPECIFIC_PARTITIONS", env))),
-            vacuum=parse_bool(env_value("VACUUM_ENABLED", env)),
-            vacuum_retention_hours=int(env_value("VACUUM_RETENTION_HOURS", env)),
-            generate_statistics=parse_bool(env_value("GENERATE_STATISTICS", env)),
-            s3_endpoint=env_value("S3_ENDPOINT", env),
-            s3_access_key=env_value("S3_ACCESS_KEY", env),
-            s3_secret_key=env_value("S3_SECRET_KEY", env),
+            table_path=at.table_path(),
+            compact_by_partition=at.flag("COMPACT_BY_PARTITION"),
+            days_to_compact=int(at["DAYS_TO_COMPACT"]),
+            specific_partitions=tuple(parse_predicates(at["SPECIFIC_PARTITIONS"])),
+            compact_budget_bytes=at.number("COMPACT_BUDGET_BYTES"),
+            vacuum=at.flag("VACUUM_ENABLED"),
+            vacuum_retention_hours=int(at["VACUUM_RETENTION_HOURS"]),
+            generate_statistics=at.flag("GENERATE_STATISTICS"),
+            **at.object_store(),
         )
         vals.update(overrides)
         if isinstance(vals.get("specific_partitions"), list):

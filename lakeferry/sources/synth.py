@@ -46,12 +46,14 @@ def messages_from_events(events: DataFrame) -> DataFrame:
 
 
 def _uuid_like(i: Column, seed: int) -> Column:
-    """UUID-shaped text, unique by construction for 0 <= i < 2**48: the last group is i."""
+    """UUID-shaped text, unique by construction: the last four digits of the first group and
+    the last group are i, all 64 bits of it."""
     hx = F.lpad(F.hex(F.xxhash64(F.lit(seed), F.lit("id"), i)), 16, "0")
-    tail = F.lpad(F.hex(i), 12, "0")
+    high = F.lpad(F.hex(F.shiftrightunsigned(i.cast("long"), 48)), 4, "0")
+    tail = F.lpad(F.hex(i.cast("long").bitwiseAND(F.lit((1 << 48) - 1))), 12, "0")
     return F.lower(
         F.concat(
-            F.substring(hx, 1, 8), F.lit("-"),
+            F.substring(hx, 1, 4), high, F.lit("-"),
             F.substring(hx, 9, 4), F.lit("-4"),
             F.substring(hx, 13, 3), F.lit("-8"),
             F.substring(hx, 16, 1), F.lit("00-"),

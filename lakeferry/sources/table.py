@@ -1,19 +1,28 @@
-"""The partitioned message table: existence guard, scans, writes and file listings.
+"""The partitioned message table: existence guard, scans, writes and file facts.
 
 Delta is used when its classes are loaded and the path holds a Delta log; otherwise the
-table is a Parquet directory laid out ``partition_message_type=…/partition_date=…/``.
+table is a Parquet directory laid out ``partition_message_type=…/partition_date=…/``, and
+beside it, hidden from other readers, ``_ingest/ingest_batch_id=…/`` with a folder of the
+same layout for every micro-batch that compaction has not folded in yet. A scan reads both.
 Parquet layouts are always read with the explicit table schema: inferring it would turn
 ``partition_date`` into DATE.
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from lakeferry.schema import MESSAGE, MESSAGE_TABLE, PARTITION_KEYS
+from lakeferry.session import checkpoint_root, conf_scope, delta_available
 
-from lakeferry.schema import MESSAGE_TABLE, PARTITION_KEYS
-from lakeferry.session import delta_available
+BATCH_ID = "ingest_batch_id"
+# In a batch folder the id is a partition, in folded files a data column.
+_STORED = T.StructType([*MESSAGE_TABLE.fields, T.StructField(BATCH_ID, T.StringType())])
+COLUMNS = [f.name for f in MESSAGE_TABLE.fields]
 
 
 def _fs_path(spark: SparkSession, path: str):
@@ -27,8 +36,43 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def ingest_root(path: str) -> str:
+    return path.rstrip("/") + "/_ingest"
+
+
+def batch_folder(path: str, query: str, batch_id: int) -> str:
+    """Where one micro-batch of a streaming query lives until it is folded in."""
+    return f"{ingest_root(path)}/{BATCH_ID}={query}_{batch_id}"
+
+
+def _first_file(spark: SparkSession, path: str) -> str | None:
+    """Some visible Parquet file below ``path``."""
+    if not path_exists(spark, path):
+        return None
+    fs, root = _fs_path(spark, path)
+    depth = root.depth()
+    files = fs.listFiles(root, True)
+    while files.hasNext():
+        f = files.next().getPath()
+        at, seen = f, f.getName().endswith(".parquet")
+        while seen and at.depth() > depth:
+            seen, at = not at.getName().startswith(("_", ".")), at.getParent()
+        if seen:
+            return f.toString()
+    return None
+
+
+def _holds_messages(spark: SparkSession, file: str | None) -> bool:
+    if file is None:
+        return False
+    found = {f.name: f.dataType for f in spark.read.parquet(file).schema.fields}
+    return all(found.get(f.name) == f.dataType for f in MESSAGE.fields)
+
+
 def table_format(spark: SparkSession, path: str) -> str | None:
-    """``"delta"``, ``"parquet"`` or ``None`` when nothing readable is at ``path``."""
+    """``"delta"``, ``"parquet"`` or ``None``. A Parquet layout is a table when the footer
+    of one of its files holds the message columns; foreign files, leftovers of writes that
+    never ended and an empty folder are none."""
     if not path_exists(spark, path):
         return None
     if path_exists(spark, path.rstrip("/") + "/_delta_log"):
@@ -38,11 +82,8 @@ def table_format(spark: SparkSession, path: str) -> str | None:
                 "--packages io.delta:delta-spark_2.13:<version> and build_session(delta=True)"
             )
         return "delta"
-    fs, p = _fs_path(spark, path)
-    # a directory with at least one visible child holds a Parquet layout
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if not name.startswith(("_", ".")):
+    for part in (path, ingest_root(path)):
+        if _holds_messages(spark, _first_file(spark, part)):
             return "parquet"
     return None
 
@@ -52,13 +93,25 @@ def is_table(spark: SparkSession, path: str) -> bool:
     return table_format(spark, path) is not None
 
 
+def _scan(spark: SparkSession, path: str) -> DataFrame:
+    return (spark.read.schema(_STORED).option("basePath", path)
+            .option("pathGlobFilter", "*.parquet").parquet(path))
+
+
+def scans(spark: SparkSession, path: str) -> list[DataFrame]:
+    """The folded part of a Parquet layout and, if there is any, that of the batches, each
+    with ``ingest_batch_id`` after the table's columns."""
+    parts = [path, ingest_root(path)]
+    return [_scan(spark, p) for p in parts if path_exists(spark, p)]
+
+
 def read_table(spark: SparkSession, path: str, fmt: str | None = None) -> DataFrame:
     """Scan the table. Filters on the partition keys prune directories / files."""
     fmt = fmt or table_format(spark, path)
     if fmt == "delta":
         return spark.read.format("delta").load(path)
     if fmt == "parquet":
-        return spark.read.schema(MESSAGE_TABLE).option("basePath", path).parquet(path)
+        return reduce(DataFrame.unionByName, [s.select(*COLUMNS) for s in scans(spark, path)])
     raise FileNotFoundError(f"no table at {path}")
 
 
@@ -70,6 +123,26 @@ def register_view(spark: SparkSession, path: str, name: str = "messages") -> Dat
     return df
 
 
+def register_table(spark: SparkSession, path: str, name: str = "messages") -> None:
+    """A catalog table over the layout: schema and partition columns are declared, and the
+    partitions are taken into the catalog, so that SQL on ``name`` plans from their names
+    without a listing. Batches not folded yet are a table of their own, and ``name`` is a
+    view over both then. Call again after writes, to take in new partitions."""
+    columns = [f"{f.name} {f.dataType.simpleString()}" for f in _STORED.fields]
+    parts = {f"{name}_folded": (path, PARTITION_KEYS),
+             f"{name}_batches": (ingest_root(path), (BATCH_ID, *PARTITION_KEYS))}
+    made = []
+    for table, (root, keys) in parts.items():
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        if path_exists(spark, root):
+            quoted = root.replace("\\", "\\\\").replace("'", "\\'")
+            spark.sql(f"CREATE TABLE {table} ({', '.join(columns)}) USING parquet "
+                      f"PARTITIONED BY ({', '.join(keys)}) LOCATION '{quoted}'")
+            spark.catalog.recoverPartitions(table)
+            made.append(f"SELECT {', '.join(COLUMNS)} FROM {table}")
+    spark.sql(f"CREATE OR REPLACE TEMP VIEW {name} AS {' UNION ALL '.join(made)}")
+
+
 def write_table(
     df: DataFrame,
     path: str,
@@ -97,52 +170,45 @@ def write_table(
     w.format(fmt).save(path)
 
 
-# Fixed value: the directory name Spark gives a null (or empty) partition value.
-DEFAULT_PARTITION_NAME = "__HIVE_DEFAULT_PARTITION__"
-
-
-def _key_from_path(key: str) -> Column:
-    """Partition value from a file path. Spark escapes special characters as %XX in
-    directory names but leaves '+' alone, so '+' is protected before URL-decoding; the
-    default partition name reads back as null, as the table scan gives it."""
-    raw = F.regexp_extract(F.col("path"), f"/{key}=([^/]*)/", 1)
-    value = F.url_decode(F.regexp_replace(raw, r"\+", "%2B"))
-    return F.when(raw == F.lit(DEFAULT_PARTITION_NAME), F.lit(None).cast("string")).otherwise(
-        value
-    ).alias(key)
-
-
-def list_data_files(spark: SparkSession, path: str, dates: list[str] | None = None) -> DataFrame:
-    """Visible data files of a Parquet layout: path, keys, size, modification time.
+def list_data_files(spark: SparkSession, path: str, where: Column | None = None) -> DataFrame:
+    """The files that the table scan reads: path, keys, size, modification time, rows, and
+    the batch id of a file not folded yet (null for the others).
 
-    Uses Spark's own (parallel, cluster-side for many directories) file listing through
-    the ``binaryFile`` source; file contents are never read because only metadata columns
-    are selected. With ``dates`` only those date directories are listed (a path glob per
-    date), so a report on a compaction window does not walk the whole table.
+    The facts are the scan's own ``_metadata`` columns; no data column is read, so a task
+    opens footers only, and ``where`` (on the keys) prunes directories. On Delta the scan
+    yields the live files. A file without rows yields none.
     """
-    empty = spark.createDataFrame(
-        [], f"path string, {PARTITION_KEYS[0]} string, {PARTITION_KEYS[1]} string, "
-        "size_bytes long, modified_ms long"
-    )
-    if dates is not None and not dates:
-        return empty
-    root = path.rstrip("/")
-    if dates is not None:
-        root = f"{root}/{PARTITION_KEYS[0]}=*/{PARTITION_KEYS[1]}={{{','.join(dates)}}}"
-    try:
-        listing = (
-            spark.read.format("binaryFile")
-            .option("recursiveFileLookup", "true")
-            .option("pathGlobFilter", "*.parquet")
-            .load(root)
-        )
-    except AnalysisException as e:
-        if dates is not None and "PATH_NOT_FOUND" in str(e):
-            return empty  # none of the dates has a directory
-        raise
-    return listing.select(
-        F.col("path"),
-        *[_key_from_path(k) for k in PARTITION_KEYS],
-        F.col("length").alias("size_bytes"),
-        F.unix_millis(F.col("modificationTime")).alias("modified_ms"),
-    )
+    if table_format(spark, path) == "delta":
+        parts = [spark.read.format("delta").load(path).withColumn(BATCH_ID, F.lit(None))]
+    else:
+        parts = scans(spark, path)
+    facts = []
+    for i, part in enumerate(parts):
+        part = part if where is None else part.where(where)
+        unfolded = F.col(BATCH_ID) if i else F.lit(None).cast("string")
+        facts.append(part.select(
+            F.col("_metadata.file_path").alias("path"), *PARTITION_KEYS,
+            F.col("_metadata.file_size").alias("size_bytes"),
+            F.unix_millis("_metadata.file_modification_time").alias("modified_ms"),
+            unfolded.alias(BATCH_ID)))
+    rows = reduce(DataFrame.unionByName, facts)
+    return rows.groupBy(rows.columns).agg(F.count(F.lit(1)).alias("rows"))
+
+
+_FOOTERS = {"spark.sql.sources.useV1SourceList": "avro,csv,json,kafka,orc,text",
+            "spark.sql.parquet.aggregatePushdown": "true"}
+
+
+def footer_row_counts(spark: SparkSession, path: str) -> DataFrame:
+    """Rows per (type, date) of a Parquet layout from the row counts of the footers alone:
+    the aggregate is pushed into the scan, which returns a row per file. The result is
+    cut with ``checkpoint()``, since the push-down holds inside this call only."""
+    checkpoint_root(spark)
+    with conf_scope(spark, _FOOTERS):
+        parts = [s.groupBy(*PARTITION_KEYS).agg(F.count(F.lit(1)).alias("row_count"))
+                 for s in scans(spark, path)]
+        out = [p.checkpoint() for p in parts]
+    if len(out) == 1:
+        return out[0]
+    return reduce(DataFrame.unionByName, out).groupBy(*PARTITION_KEYS).agg(
+        F.sum("row_count").alias("row_count"))

@@ -8,23 +8,24 @@ Sinks
 * Delta: Spark's Delta streaming sink (exactly-once through the checkpoint and the log).
 * Parquet fallback: ``foreachBatch``. Spark's Parquet *file-stream* sink is not used on
   purpose: its ``_spark_metadata`` log would go stale after compaction. A batch is written
-  to a hidden folder of the table named after the checkpoint and the batch id, marked as
-  whole, and its files are then renamed into the table; a marker under the checkpoint ends
-  it. A replay writes a batch that is not whole anew, and of a whole one it moves only the
-  files that are still in its folder, so each row arrives once wherever the job died.
-  Readers may see a part of a batch while its files are moved.
+  by one Spark overwrite of its own folder, ``ingest_batch_id=<query>_<batch>``; the query's
+  id lives in the checkpoint, so a replay after a restart replaces exactly that batch,
+  wherever the job died, and a query that starts over on a new checkpoint replaces nothing.
+  Compaction folds batches into the table's partitions.
 """
 
 from __future__ import annotations
 
 import hashlib
+import json
+import threading
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from lakeferry.operators.messages import decode_messages, enrich
 from lakeferry.schema import PARTITION_KEYS
-from lakeferry.sources.table import _fs_path, path_exists, write_table
+from lakeferry.sources.table import batch_folder, write_table
 
 
 def message_stream(records: DataFrame, mode: str = "FAILFAST") -> DataFrame:
@@ -32,62 +33,19 @@ def message_stream(records: DataFrame, mode: str = "FAILFAST") -> DataFrame:
     return enrich(decode_messages(records, mode))
 
 
-def _marker(checkpoint: str, batch_id: int) -> str:
-    return f"{checkpoint.rstrip('/')}/lakeferry_commits/{batch_id}"
-
-
-def _staged(path: str, checkpoint: str, batch_id: int) -> str:
-    """Folder of one batch: beside the table's partitions, so that moving is renaming."""
-    query = hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:16]
-    return f"{path.rstrip('/')}/_lakeferry_batches/{query}/{batch_id}"
-
-
-def _move_in(spark: SparkSession, staged: str, path: str) -> None:
-    """Renames the data files of a whole batch into the same partitions of the table. File
-    names are unique to the write, so a file of that name is a broken copy of this one."""
-    fs, src = _fs_path(spark, staged)
-    new_path, table = spark._jvm.org.apache.hadoop.fs.Path, _fs_path(spark, path)[1]
-    it, files = fs.listFiles(src, True), []
-    while it.hasNext():
-        files.append(it.next().getPath())
-    for f in files:
-        if f.getName().startswith(("_", ".")):
-            continue
-        date = f.getParent()
-        target = new_path(new_path(table, date.getParent().getName()), date.getName())
-        fs.mkdirs(target)
-        to = new_path(target, f.getName())
-        if not fs.rename(f, to):
-            fs.delete(to, False)
-            if not fs.rename(f, to):
-                raise OSError(f"cannot move {f} to {to}")
-
-
-def _commit(spark: SparkSession, checkpoint: str, batch_id: int) -> None:
-    """Marks the batch; markers older than Spark keeps its own batches for go."""
-    fs, marker = _fs_path(spark, _marker(checkpoint, batch_id))
-    fs.create(marker, True).close()
-    old = batch_id - int(spark.conf.get("spark.sql.streaming.minBatchesToRetain"))
-    if old >= 0:
-        fs.delete(_fs_path(spark, _marker(checkpoint, old))[1], False)
+def _query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark keeps in the checkpoint for the query that runs this batch; outside
+    a query (tests) one made from the checkpoint's name."""
+    own = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+    return own or hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:32]
 
 
 def _parquet_batch_writer(path: str, checkpoint: str, optimize_write: bool):
-    def append_batch(batch: DataFrame, batch_id: int) -> None:
-        spark, staged = batch.sparkSession, _staged(path, checkpoint, batch_id)
-        fs, folder = _fs_path(spark, staged)
-        if path_exists(spark, _marker(checkpoint, batch_id)):
-            fs.delete(folder, True)  # committed before a restart
-            return
-        whole = _fs_path(spark, f"{staged}/_WHOLE")[1]
-        if not fs.exists(whole):
-            write_table(batch, staged, "overwrite", "parquet", optimize_write)
-            fs.create(whole, True).close()
-        _move_in(spark, staged, path)
-        _commit(spark, checkpoint, batch_id)
-        fs.delete(folder, True)
-
-    return append_batch
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        folder = batch_folder(path, _query_id(batch.sparkSession, checkpoint), batch_id)
+        write_table(batch, folder, "overwrite", "parquet", optimize_write)
+
+    return write_batch
 
 
 def append_stream(
@@ -101,7 +59,8 @@ def append_stream(
     query_name: str | None = None,
 ) -> StreamingQuery:
     """Start the append query. With neither trigger argument, micro-batches run back to
-    back (Spark's default); ``available_now`` drains what is there and stops."""
+    back (Spark's default); ``available_now`` drains what is there and stops;
+    ``processing_time`` (such as ``"30 seconds"``) starts one at each interval."""
     w = rows.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
     if query_name:
         w = w.queryName(query_name)
@@ -118,25 +77,60 @@ def append_stream(
 
 # The progress fields reported per micro-batch.
 PROGRESS_SCHEMA = (
-    "batch_id long, timestamp string, num_input_rows long, "
+    "query_id string, run_id string, batch_id long, timestamp string, num_input_rows long, "
     "input_rows_per_second double, processed_rows_per_second double, trigger_ms long"
 )
 
 
-def stream_progress(spark: SparkSession, query: StreamingQuery) -> DataFrame:
-    """The query's recent micro-batch progress as rows (bounded by Spark's retention of
-    progress reports, ``spark.sql.streaming.numRecentProgressUpdates``)."""
-    rows = []
-    for p in query.recentProgress:
-        d = p if isinstance(p, dict) else p.jsonValue() if hasattr(p, "jsonValue") else dict(p)
-        rows.append(
-            (
-                int(d.get("batchId", -1)),
-                str(d.get("timestamp")),
-                int(d.get("numInputRows", 0) or 0),
-                float(d.get("inputRowsPerSecond", 0.0) or 0.0),
-                float(d.get("processedRowsPerSecond", 0.0) or 0.0),
-                int((d.get("durationMs") or {}).get("triggerExecution", 0) or 0),
-            )
-        )
-    return spark.createDataFrame(rows, PROGRESS_SCHEMA)
+class ProgressLog(StreamingQueryListener):
+    """Every micro-batch's progress as rows, however long a query runs.
+
+    Add it with ``spark.streams.addListener``. Rows are appended to the Parquet folder
+    ``path``, ``every`` of them at a time and when a query ends, so nothing grows in the
+    driver. :meth:`rows` waits for the queries that have ended to be written.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, every: int = 100):
+        self.spark, self.path, self.every = spark, path, every
+        self._held: list[tuple] = []
+        self._lock = threading.Condition()
+        self._ended: set[str] = set()
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        p = json.loads(event.progress.json)
+        row = (p["id"], p["runId"], int(p["batchId"]), p["timestamp"],
+               int(p.get("numInputRows") or 0), float(p.get("inputRowsPerSecond") or 0.0),
+               float(p.get("processedRowsPerSecond") or 0.0),
+               int(p.get("durationMs", {}).get("triggerExecution") or 0))
+        with self._lock:
+            self._held.append(row)
+            if len(self._held) >= self.every:
+                self._flush()
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        with self._lock:
+            self._flush()
+            self._ended.add(str(event.runId))
+            self._lock.notify_all()
+
+    def _flush(self) -> None:
+        held, self._held = self._held, []
+        if held:
+            self.spark.createDataFrame(held, PROGRESS_SCHEMA).coalesce(1).write.mode(
+                "append").parquet(self.path)
+
+    def rows(self, *ended: StreamingQuery, timeout: float = 60.0) -> DataFrame:
+        """All progress so far; of the queries in ``ended`` (which have stopped) all there
+        will be."""
+        runs = {str(q.runId) for q in ended}
+        with self._lock:
+            if not self._lock.wait_for(lambda: runs <= self._ended, timeout):
+                raise TimeoutError("the end of a query was not reported")
+            self._flush()
+        return self.spark.read.schema(PROGRESS_SCHEMA).parquet(self.path)

@@ -21,7 +21,9 @@ def _digest(cols, rows):
 @pytest.fixture(scope="module")
 def con():
     c = duckdb.connect()
-    c.execute(f"CREATE VIEW events AS SELECT * FROM read_parquet('{SF}/events.parquet')")
+    for f in sorted(os.listdir(SF)):
+        if f.endswith(".parquet"):
+            c.execute(f"CREATE VIEW {f[:-8]} AS SELECT * FROM read_parquet('{SF}/{f}')")
     return c
 
 

@@ -9,7 +9,7 @@ from lakeferry.session import scratch_path
 from lakeferry.sources.synth import literal_messages, messages_from_events, with_types
 from lakeferry.sources.table import read_table
 from lakeferry.sources.topic import publish, read_topic_stream
-from lakeferry.streaming.ingest import append_stream, message_stream, stream_progress
+from lakeferry.streaming.ingest import append_stream, message_stream
 
 
 def _run(spark, topic, table, checkpoint):
@@ -35,10 +35,9 @@ def test_restart_adds_nothing_then_exactly_the_new(spark, sf_small):
     topic, table, cp = (scratch_path(spark, n) for n in ("topic", "table", "cp"))
     events = spark.read.parquet(f"{sf_small}/events.parquet")
     publish(encode_messages(messages_from_events(events)), "key", "value", "m", path=topic)
-    q = _run(spark, topic, table, cp)
+    _run(spark, topic, table, cp)
     n = events.count()
     assert read_table(spark, table).count() == n
-    assert stream_progress(spark, q).agg(F.sum("num_input_rows")).first()[0] == n
     _run(spark, topic, table, cp)  # same checkpoint, nothing new
     assert read_table(spark, table).count() == n
     extra = literal_messages(spark, [("click", "2024-01-31", f"new{i}", i) for i in range(7)])
@@ -49,87 +48,125 @@ def test_restart_adds_nothing_then_exactly_the_new(spark, sf_small):
     assert partition_row_counts(t).where("partition_date = '2024-01-31'").first()["row_count"] == 7
 
 
-def test_replayed_batch_is_skipped(spark):
+def _rows_of(spark, ids, type_="a"):
+    from lakeferry.operators.messages import enrich
+
+    return enrich(literal_messages(spark, [(type_, "2024-01-01", i, 1) for i in ids]))
+
+
+def _writer(table, cp):
     from lakeferry.streaming.ingest import _parquet_batch_writer
 
+    return _parquet_batch_writer(table, cp, optimize_write=True)
+
+
+def test_a_replay_replaces_exactly_its_batch(spark):
     table, cp = scratch_path(spark, "table"), scratch_path(spark, "cp")
-    batch = message_stream(
-        spark.createDataFrame([], "value binary").unionByName(
-            encode_messages(literal_messages(spark, [("a", "2024-01-01", "1", 1)])).select("value")
-        )
-    )
-    write = _parquet_batch_writer(table, cp, optimize_write=True)
-    write(batch, 0)
-    write(batch, 0)  # a replay of a committed batch id
+    write = _writer(table, cp)
+    write(_rows_of(spark, ["before"]), 0)
+    write(_rows_of(spark, [f"old{i}" for i in range(5)], "only_in_the_old"), 1)
+    write(_rows_of(spark, [f"new{i}" for i in range(7)]), 1)
+    write(_rows_of(spark, [f"new{i}" for i in range(7)]), 1)
+    got = sorted(r.message_id for r in read_table(spark, table).collect())
+    assert got == ["before"] + [f"new{i}" for i in range(7)]
+    write(_rows_of(spark, []), 1)
     assert read_table(spark, table).count() == 1
 
 
-@pytest.mark.parametrize("dies_in", ["write", "move", "commit", "commit_after"])
-def test_batch_arrives_once_wherever_the_job_dies(spark, sf_small, monkeypatch, dies_in):
+@pytest.mark.parametrize("dies", ["before", "after"])
+def test_batch_arrives_once_wherever_the_job_dies(spark, sf_small, monkeypatch, dies):
     from lakeferry.operators.messages import enrich
-    from lakeferry.sources.table import list_data_files
     from lakeferry.streaming import ingest
 
     table, cp = scratch_path(spark, "table"), scratch_path(spark, "cp")
     rows = enrich(messages_from_events(spark.read.parquet(f"{sf_small}/events.parquet")))
     extra = enrich(literal_messages(spark, [("a b/c", "2024-01-01", "e1", 1), ("x:y=%", "", "e2", 2)]))
     rows, n = rows.unionByName(extra), rows.count() + 2
-    write = ingest._parquet_batch_writer(table, cp, optimize_write=True)
+    write = _writer(table, cp)
     write(rows, 0)
+    write_table = ingest.write_table
 
-    commit, write_table = ingest._commit, ingest.write_table
-
-    def half_moved(spark, staged, path):
-        fs, src = ingest._fs_path(spark, staged)
-        it = fs.listFiles(src, True)
-        while True:  # one data file gets across, then the driver is gone
-            f = it.next().getPath()
-            if not f.getName().startswith(("_", ".")):
-                break
-        to = spark._jvm.org.apache.hadoop.fs.Path
-        target = to(to(to(path), f.getParent().getParent().getName()), f.getParent().getName())
-        fs.mkdirs(target)
-        assert fs.rename(f, to(target, f.getName()))
+    def die(df, *args):
+        if dies == "after":
+            write_table(df.limit(20), *args)  # other rows than the replay's
         raise RuntimeError("died")
 
-    def die(after=None):
-        def run(*args):
-            if after:
-                after(*args)
-            raise RuntimeError("died")
-        return run
-
-    name, fn = {"write": ("write_table", die(write_table)), "move": ("_move_in", half_moved),
-                "commit": ("_commit", die()), "commit_after": ("_commit", die(commit))}[dies_in]
     with monkeypatch.context() as m:
-        m.setattr(ingest, name, fn)
+        m.setattr(ingest, "write_table", die)
         with pytest.raises(RuntimeError, match="died"):
             write(rows, 1)
     write(rows, 1)  # the replay after a restart
-    write(rows, 1)
     t = read_table(spark, table)
     assert t.count() == 2 * n
     assert t.groupBy("message_id").count().where("count <> 2").count() == 0
     assert t.where("partition_message_type in ('a b/c', 'x:y=%')").count() == 4
-    assert list_data_files(spark, table).where("path like '%_lakeferry_batches%'").count() == 0
 
 
-def test_old_markers_go(spark):
+def test_a_new_checkpoint_replaces_nothing(spark):
+    topic, table = scratch_path(spark, "topic"), scratch_path(spark, "table")
+    publish(encode_messages(with_types(spark, ["a", "b"], date="2024-01-15")), "key", "value", "t",
+            path=topic)
+    _run(spark, topic, table, scratch_path(spark, "cp"))
+    _run(spark, topic, table, scratch_path(spark, "cp"))  # started over: its own batches
+    assert read_table(spark, table).count() == 4
+
+
+def test_stream_appends_to_a_table_written_by_a_job(spark, sf_small):
+    from lakeferry.operators.compact import compact_all, file_counts
     from lakeferry.operators.messages import enrich
-    from lakeferry.sources.table import path_exists
-    from lakeferry.streaming import ingest
+    from lakeferry.sources.table import path_exists, write_table
+
+    topic, table, cp = (scratch_path(spark, n) for n in ("topic", "table", "cp"))
+    msgs = messages_from_events(spark.read.parquet(f"{sf_small}/events.parquet"))
+    write_table(enrich(msgs), table)
+    publish(encode_messages(msgs).repartition(3), "key", "value", "m", path=topic)
+    q = append_stream(message_stream(read_topic_stream(spark, path=topic, max_per_trigger=1)),
+                      table, cp, available_now=True)
+    q.awaitTermination()
+    n = msgs.count()
+    assert read_table(spark, table).count() == 2 * n
+    compact_all(spark, table)
+    # the newest batch may be replayed: it stays; the others are folded in
+    left = [path_exists(spark, f"{table}/_ingest/ingest_batch_id={q.id}_{b}") for b in range(3)]
+    assert left == [False, False, True]
+    t = read_table(spark, table)
+    assert t.count() == 2 * n and t.groupBy("message_id").count().where("count <> 2").count() == 0
+    assert file_counts(spark, table).agg(F.max("files")).first()[0] <= 2
+
+
+def test_folding_again_after_a_lost_driver_adds_nothing(spark, sf_small, monkeypatch):
+    from lakeferry.operators import compact
 
     table, cp = scratch_path(spark, "table"), scratch_path(spark, "cp")
-    rows = enrich(literal_messages(spark, [("a", "2024-01-01", "1", 1)]))
-    write = ingest._parquet_batch_writer(table, cp, optimize_write=False)
-    spark.conf.set("spark.sql.streaming.minBatchesToRetain", "2")
+    write = _writer(table, cp)
+    for b in range(3):
+        write(_rows_of(spark, [f"{b}-{i}" for i in range(10)]), b)
+    with monkeypatch.context() as m:
+        m.setattr(compact, "_drop_folded", lambda *a: (_ for _ in ()).throw(RuntimeError("died")))
+        with pytest.raises(RuntimeError, match="died"):
+            compact.compact_all(spark, table)
+    compact.compact_all(spark, table)
+    t = read_table(spark, table)
+    assert t.count() == 30 and t.select("message_id").distinct().count() == 30
+
+
+def test_progress_of_every_batch(spark, sf_small):
+    from lakeferry.streaming.ingest import ProgressLog
+
+    topic, table, cp = (scratch_path(spark, n) for n in ("topic", "table", "cp"))
+    msgs = messages_from_events(spark.read.parquet(f"{sf_small}/events.parquet"))
+    publish(encode_messages(msgs).repartition(5), "key", "value", "m", path=topic)
+    log = ProgressLog(spark, scratch_path(spark, "progress"), every=2)
+    spark.streams.addListener(log)
     try:
-        for b in range(4):
-            write(rows, b)
+        q = append_stream(message_stream(read_topic_stream(spark, path=topic, max_per_trigger=1)),
+                          table, cp, available_now=True)
+        q.awaitTermination()
+        rows = log.rows(q).where("num_input_rows > 0")
     finally:
-        spark.conf.unset("spark.sql.streaming.minBatchesToRetain")
-    assert [path_exists(spark, ingest._marker(cp, b)) for b in range(4)] == [False, False, True, True]
-    assert read_table(spark, table).count() == 4
+        spark.streams.removeListener(log)
+    assert rows.count() == 5 and rows.select("batch_id").distinct().count() == 5
+    assert rows.agg(F.sum("num_input_rows")).first()[0] == msgs.count()
 
 
 def test_kafka_needs_its_jar(spark):
