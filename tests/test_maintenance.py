@@ -235,14 +235,15 @@ def test_second_compaction_rewrites_nothing(spark, sf_small):
 def test_small_file_check_lists_files_only(spark, sf_small):
     """The small-file check reads the listing (no file contents) and the rewrite is pruned
     to the chosen partitions, null (tombstone) partition included."""
-    from lakeferry.operators.compact import _key_in, small_file_partitions
+    from lakeferry.operators.compact import _key_in, rank_partitions
     from lakeferry.sources.table import list_data_files
 
     path = small_file_table(spark, sf_small)
-    files = list_data_files(spark, path, ["2024-01-30"])
+    files = list_data_files(spark, path, F.col("partition_date") == "2024-01-30")
     plan = files._jdf.queryExecution().executedPlan().toString()
-    assert "content" not in plan.split("ReadSchema:")[1].split("\n")[0], plan
-    keys = {tuple(r)[:2] for r in small_file_partitions(files, 1 << 20).collect()}
+    assert "ReadSchema: struct<>" in plan and "partition_date" in plan.split(
+        "PartitionFilters:")[1].split("]")[0], plan
+    keys = {tuple(r)[:2] for r in rank_partitions(files, 1 << 20).collect()}
     assert keys
     assert ("click", "2024-01-30") in keys and all(k[1] == "2024-01-30" for k in keys)
     t = read_table(spark, path)
@@ -286,11 +287,12 @@ def test_many_partitions_are_several_jobs_of_one_plan(spark, sf_small, monkeypat
     before = _files(spark, path)
     n = read_table(spark, path).count()
     monkeypatch.setattr(C, "JOB_PARTITIONS", 40)
-    assert C._rewrite(spark, path, None, None) == sum(v >= 2 for v in before.values())
+    done = C._rewrite(spark, path, None, None)
+    assert done.partitions == sum(v >= 2 for v in before.values())
     after = _files(spark, path)
     assert after.keys() == before.keys() and set(after.values()) == {1}
     assert read_table(spark, path).count() == n
-    assert C._rewrite(spark, path, None, None) == 0  # nothing left to do
+    assert C._rewrite(spark, path, None, None) == C.Rewritten()  # nothing left to do
 
 
 def test_per_partition_job_compacts_the_window_only(spark, sf_small):
@@ -362,13 +364,13 @@ def test_second_pass_over_a_split_hot_partition_rewrites_nothing(spark):
     path = scratch_path(spark, "hot")
     _append(spark, path, [("t", "2024-01-30", f"id-{i * 7919 % 100003}", i) for i in range(40_000)], 24)
     target = 120_000
-    assert C._rewrite(spark, path, None, target) == 1
+    assert C._rewrite(spark, path, None, target) == C.Rewritten(1, 40_000)
     first = {r.path for r in list_data_files(spark, path).collect()}
     assert 2 <= len(first) < 24
     for _ in range(2):  # fewer bytes may need one file less, once
         n = C._rewrite(spark, path, None, target)
     last = {r.path for r in list_data_files(spark, path).collect()}
-    assert n == 0 and C._rewrite(spark, path, None, target) == 0
+    assert n.partitions == 0 == C._rewrite(spark, path, None, target).partitions
     assert {r.path for r in list_data_files(spark, path).collect()} == last
     assert read_table(spark, path).count() == 40_000
 
@@ -401,3 +403,114 @@ def test_vacuum_keeps_a_staging_folder_with_the_only_copy(spark, sf_small):
     gone = vacuum(spark, path, now_ms=4_000_000_000_000).collect()
     assert [os.path.basename(r.path) for r in gone] == [".spark-staging-old"]
     assert os.path.isdir(f"{local}/.spark-staging-only") and not os.path.exists(f"{local}/.spark-staging-old")
+
+
+def _facts(spark, rows):
+    return spark.createDataFrame(
+        rows, "partition_message_type string, partition_date string, size_bytes long")
+
+
+def test_partitions_rank_by_files_saved_per_byte(spark):
+    from lakeferry.operators.compact import rank_partitions
+
+    mb = 1 << 20
+    rows = [("big", "d", 64 * mb)] * 1000 + [("big", "d", 1000)] * 2  # two beside many good ones
+    rows += [("small", f"d{i}", 2000 + i) for i in range(6) for _ in range(40)]
+    rows += [("fine", "d", 64 * mb), ("fine", "d", 10)]
+    rows += [(None, None, 5)] * 3
+    got = rank_partitions(_facts(spark, rows), 64 * mb, 500_000).orderBy("bytes_before").collect()
+    assert [(r[0], r[1]) for r in got] == [(None, None)] + [("small", f"d{i}") for i in range(6)] + [
+        ("big", "d")]
+    total = 0
+    for r in got:
+        assert r.bytes_before == total
+        total += r.bytes
+        assert r.chosen == (total <= 500_000) and r.files_saved == r.files - r.pieces
+    assert not got[-1].chosen and sum(r.chosen for r in got) >= 6
+    assert rank_partitions(_facts(spark, []), mb).count() == 0
+    assert rank_partitions(_facts(spark, rows), 64 * mb).where("not chosen").count() == 0
+
+
+def test_what_the_budget_leaves_over_is_reported(spark, sf_small):
+    path = small_file_table(spark, sf_small)
+    before = _files(spark, path)
+    size = file_counts(spark, path).agg(F.sum("bytes")).first()[0]
+    rows = {r.status: r for r in compact_all(spark, path, budget_bytes=size // 3).collect()}
+    todo = sum(v >= 2 for v in before.values())
+    assert 0 < rows["compacted"].partitions < todo
+    assert rows["deferred"].partitions == todo - rows["compacted"].partitions
+    steps = run_maintenance(spark, MaintainParams(
+        table_path=path, compact_by_partition=False, compact_budget_bytes=1, vacuum=False)).steps
+    assert [r.status for r in steps.collect()] == ["ok", "ok", "deferred", "ok"]
+    compact_all(spark, path)
+    assert set(_files(spark, path).values()) == {1} and read_table(spark, path).count() == 1000
+
+
+@pytest.mark.parametrize("spoil", ["lose", "double", "swap"])
+def test_a_rewrite_that_changes_rows_is_a_failed_step(spark, sf_small, monkeypatch, spoil):
+    import lakeferry.operators.compact as C
+
+    path = small_file_table(spark, sf_small)
+    pieces = C._pieces
+
+    def bad(rows, keys):
+        out = pieces(rows, keys)
+        one = F.col("creation_time") == out.agg(F.min("creation_time")).first()[0]
+        if spoil == "lose":
+            return out.where(~one)
+        if spoil == "double":
+            return out.unionByName(out.where(one))
+        return out.withColumn("message_id", F.when(one, F.lit("x")).otherwise(F.col("message_id")))
+
+    monkeypatch.setattr(C, "_pieces", bad)
+    steps = {r.step: r for r in run_maintenance(spark, MaintainParams(
+        table_path=path, as_of="2024-01-30", vacuum=False)).steps.collect()}
+    assert steps["compact"].status == "failed" and "wrote" in steps["compact"].detail
+
+
+def test_equal_rows_are_dealt_over_all_pieces(spark):
+    from lakeferry.operators.messages import enrich
+    from lakeferry.sources.synth import literal_messages
+
+    path = scratch_path(spark, "tombstones")
+    one = enrich(literal_messages(spark, [(None, None, None, None)]))
+    rows = one.select(F.explode(F.sequence(F.lit(1), F.lit(60_000))).alias("i"), "*").drop("i")
+    write_table(rows.repartition(24), path, optimize_write=False)
+    size = file_counts(spark, path).first()["bytes"]
+    compact_all(spark, path, target_file_bytes=size // 8)
+    from lakeferry.sources.table import list_data_files
+
+    rows = [r.rows for r in list_data_files(spark, path).collect()]
+    assert sum(rows) == 60_000 and 4 <= len(rows) <= 10 and max(rows) < 30_000
+
+
+def test_vacuum_takes_what_the_scan_does_not_yield(spark, sf_small):
+    path = small_file_table(spark, sf_small)
+    local = path.removeprefix("file:")
+    part = f"{local}/partition_message_type=click/partition_date=2024-01-30"
+    past = time.time() - 200 * 3600
+    for name, old in (("old.tmp", True), ("young.tmp", False), ("old file %20.bak", True)):
+        with open(f"{part}/{name}", "w") as f:
+            f.write("x")
+        if old:
+            os.utime(f"{part}/{name}", (past, past))
+    for f in os.listdir(part):  # age alone takes no file of the table
+        if f.endswith(".parquet"):
+            os.utime(f"{part}/{f}", (past, past))
+    names = lambda df: sorted(os.path.basename(r.path) for r in df.collect())
+    assert names(vacuum(spark, path, dry_run=True)) == ["old file %20.bak", "old.tmp"]
+    assert os.path.exists(f"{part}/old.tmp")
+    assert names(vacuum(spark, path)) == ["old file %20.bak", "old.tmp"]
+    assert not os.path.exists(f"{part}/old.tmp") and os.path.exists(f"{part}/young.tmp")
+    assert read_table(spark, path).count() == 1000
+
+
+def test_foreign_and_unfinished_folders_are_no_table(spark):
+    foreign, unfinished = scratch_path(spark, "foreign"), scratch_path(spark, "unfinished")
+    spark.range(5).write.parquet(foreign)
+    spark.createDataFrame([("a", 1)], "message_type string, creation_time long").write.parquet(
+        unfinished + "/_temporary/0")
+    for path in (foreign, unfinished):
+        assert compact_table(spark, path).first().status == "no_table"
+        steps = run_maintenance(spark, MaintainParams(table_path=path)).steps.collect()
+        assert [tuple(r) for r in steps] == [("guard", "no_table", path)]

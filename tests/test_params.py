@@ -16,9 +16,9 @@ def test_ingest_defaults():
 
 
 def test_ingest_overrides_and_empty_is_missing():
-    p = IngestParams.from_env({"KAFKA_BROKERS": "kafka1:9092,kafka2:9092", "KAFKA_TOPIC": "",
-                               "S3_BUCKET": "b"})
-    assert p.brokers == "kafka1:9092,kafka2:9092"
+    p = IngestParams.from_env({"KAFKA_BROKERS": "north:19092,south:19092,east:19092",
+                               "KAFKA_TOPIC": "", "S3_BUCKET": "b"})
+    assert p.brokers == "north:19092,south:19092,east:19092"
     assert p.topic == "messages"
     assert p.table_path == "s3a://b/messages/"
     assert p.checkpoint == "s3a://b/checkpoints/"
@@ -56,9 +56,8 @@ def test_bad_integer_raises():
 
 def test_predicate_lists():
     m = MaintainParams.from_env({"SPECIFIC_PARTITIONS":
-                                 "partition_date = '2024-01-15',partition_date = '2024-01-16'"})
-    assert m.specific_partitions == ("partition_date = '2024-01-15'",
-                                     "partition_date = '2024-01-16'")
+                                 "partition_message_type = 'view' , partition_date < '2023'"})
+    assert m.specific_partitions == ("partition_message_type = 'view'", "partition_date < '2023'")
     assert parse_predicates("a = 1, b = 2 ,c = 3") == ["a = 1", "b = 2", "c = 3"]
     assert parse_predicates("") == []
 
@@ -73,3 +72,29 @@ def test_older_table_path_name_is_accepted():
     assert MaintainParams.from_env({"DELTA_TABLE_PATH": "s3a://old/t/"}).table_path == "s3a://old/t/"
     both = {"DELTA_TABLE_PATH": "s3a://old/t/", "TABLE_PATH": "s3a://new/t/"}
     assert IngestParams.from_env(both).table_path == "s3a://new/t/"
+
+
+def test_three_tiers():
+    env = {"KAFKA_TOPIC": "from_env", "S3_BUCKET": ""}
+    conf = {"spark.lakeferry.kafka.topic": "from_conf", "spark.lakeferry.s3.bucket": "conf-bucket",
+            "spark.lakeferry.processing.time": "30 seconds", "spark.lakeferry.s3.ssl": "TRUE",
+            "spark.lakeferry.s3.path.style": "false", "spark.lakeferry.max.per.trigger": "500",
+            "spark.lakeferry.kafka.brokers": ""}
+    p = IngestParams.from_env(env, conf)
+    assert (p.topic, p.table_path) == ("from_env", "s3a://conf-bucket/messages/")
+    assert p.brokers == "localhost:9092"  # an empty setting counts as missing too
+    assert (p.processing_time, p.max_per_trigger) == ("30 seconds", 500)
+    assert p.s3_ssl and not p.s3_path_style
+    conf["spark.lakeferry.kafka.topic"] = "later"
+    env["KAFKA_TOPIC"] = ""
+    assert p.topic == "from_env"  # values are fixed when the parameters are made
+    assert IngestParams.from_env(env, conf).topic == "later"
+    m = MaintainParams.from_env({}, {"spark.lakeferry.compact.budget.bytes": "1000"})
+    assert m.compact_budget_bytes == 1000
+    assert MaintainParams.from_env({}, {}).compact_budget_bytes is None
+
+
+def test_settings_of_a_session(spark):
+    from lakeferry.plans.params import session_settings
+
+    assert session_settings(spark) == {}

@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 from lakeferry.operators.messages import decode_messages, encode_messages
 from lakeferry.operators.stats import (
     count_by_type,
-    in_window,
     partition_row_counts,
     recent_partitions,
     total_rows,
@@ -39,10 +38,38 @@ def test_type_counts_prune_other_types(spark, sf_small):
     assert "PartitionFilters: [isnotnull(partition_message_type" in p, p
 
 
-def test_compaction_rewrite_is_pruned_and_rebalanced(spark, sf_small):
-    t = read_table(spark, small_file_table(spark, sf_small))
-    p = plan(t.where(in_window(7, "2024-01-30")).hint("rebalance", *PARTITION_KEYS))
-    assert "PartitionFilters" in p and "REBALANCE_PARTITIONS_BY_COL" in p, p
+def test_compaction_rewrite_is_pruned_and_dealt_by_place(spark, sf_small):
+    from lakeferry.operators.compact import _pieces, _settled_rows
+
+    keys = [("click", "2024-01-30", 2), (None, None, 1)]
+    path = small_file_table(spark, sf_small)
+    rows = _settled_rows(spark, path, keys, [])
+    p = plan(_pieces(rows, keys))
+    assert "PartitionFilters: [struct(partition_message_type" in p, p
+    assert p.count("Exchange hashpartitioning(") == 1 and "piece" in p, p
+    assert "row_index" in p and "xxhash64" in p
+
+
+def test_footer_counts_are_pushed_into_the_scan(spark, sf_small):
+    from lakeferry.session import conf_scope
+    from lakeferry.sources.table import _FOOTERS, footer_row_counts, scans
+
+    path = small_file_table(spark, sf_small)
+    with conf_scope(spark, _FOOTERS):
+        total = scans(spark, path)[0].agg(F.count(F.lit(1)))
+        text = total._jdf.queryExecution().explainString(
+            spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    assert "PushedAggregation: [COUNT(*)]" in text, text
+    want = {tuple(r) for r in partition_row_counts(read_table(spark, path)).collect()}
+    assert {tuple(r) for r in footer_row_counts(spark, path).collect()} == want
+
+
+def test_catalog_table_prunes_by_partition_names(spark, sf_small):
+    from lakeferry.sources.table import register_table
+
+    register_table(spark, small_file_table(spark, sf_small), "plan_messages")
+    p = plan(spark.sql("SELECT count(*) FROM plan_messages WHERE partition_date = '2024-01-30'"))
+    assert "plan_messages_folded" in p and "InMemoryFileIndex(5 paths)" in p, p
 
 
 def test_no_static_broadcast(spark, sf_small):
