@@ -1,16 +1,46 @@
-"""Connected components by alternating large-star and small-star, on DataFrames only.
+"""Connected components by alternating large-star and small-star, on DataFrames.
 
-Both stars are an aggregation (a minimum per node, combined before the shuffle) and a join
-of the edges with those minima, which Spark splits when a hub holds many edges. Every
-round is written to a scratch table; only a count and a checksum reach the driver.
+Before every round each task turns its edges, an Arrow batch at a time, into the star
+forest that joins the same nodes, so only a fraction of the edges is shuffled and long
+paths shorten at once. Both stars are an aggregation (a minimum per node, combined before
+the shuffle) and a join of the edges with those minima; a node with a great many edges
+costs one partial row a task in the first, and in the second Spark's adaptive join splits
+its partition once that is larger than ``skewedPartitionThresholdInBytes``.
+
+One aggregation by node gives the labels and tells whether the edges are stars already, so
+no round is spent on seeing that nothing changes. Every round is written to a scratch
+table; only a count reaches the driver.
 """
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from .common import Scratch
+from .common import Scratch, map_arrow
+
+
+def _forest(batch: pa.RecordBatch):
+    up: dict = {}
+
+    def find(x):
+        while (y := up.setdefault(x, x)) != x:
+            up[x] = up[y]
+            x = up[x]
+        return x
+
+    for u, v in zip(batch.column("u").to_pylist(), batch.column("v").to_pylist()):
+        x, y = find(u), find(v)
+        if x != y:
+            up[max(x, y)] = min(x, y)
+    stars = [(x, find(x)) for x in up]
+    yield {"u": [x for x, r in stars if x != r], "v": [r for x, r in stars if x != r]}
+
+
+def local_stars(e: DataFrame) -> DataFrame:
+    """Edges (u, v), u > v, that join the same nodes: a star forest of every batch."""
+    return map_arrow(e, _forest, e.schema)
 
 
 def _with_min(e: DataFrame) -> DataFrame:
@@ -25,18 +55,26 @@ def _large_star(e: DataFrame) -> DataFrame:
 
 
 def _small_star(e: DataFrame) -> DataFrame:
-    down = e.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    x = _with_min(down)
+    """Of edges that point from the larger to the smaller node, as the large star's do."""
+    x = _with_min(e)
     moved = x.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.unionByName(x.select("u", F.col("m").alias("v")))
 
 
-def _written(e: DataFrame, scratch: Scratch) -> tuple[DataFrame, tuple]:
-    """The edges as a table, and their count and checksum, observed while it is written."""
+def _labels(e: DataFrame, scratch: Scratch) -> tuple[DataFrame, int]:
+    """(node, component) of the edges if they are stars, and how many nodes show that they
+    are not: those with two larger neighbours, or with both a smaller and a larger one."""
+    ends = e.select(F.col("u").alias("node"), "v").unionByName(
+        e.select(F.col("v").alias("node"), F.lit(None).cast(e.schema["v"].dataType).alias("v")))
+    # a centre adds rows without a neighbour
+    nodes = ends.groupBy("node").agg(
+        F.min("v").alias("lo"), F.max("v").alias("hi"), F.max(F.col("v").isNull()).alias("centre"))
+    bad = (F.col("lo") != F.col("hi")) | (F.col("lo").isNotNull() & F.col("centre"))
     seen = Observation()
-    t = scratch.table(e.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(
-        F.xxhash64("u", "v").cast("decimal(38,0)")).alias("check")), "edges")
-    return t, (seen.get["n"], seen.get["check"])
+    labels = nodes.observe(seen, F.count_if(bad).alias("bad")).select(
+        "node", F.coalesce("lo", "node").alias("component"))
+    labels = scratch.table(labels, "labels")
+    return labels, seen.get["bad"]
 
 
 def connected_components(edges: DataFrame, scratch: Scratch) -> DataFrame:
@@ -48,16 +86,13 @@ def connected_components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     rounds grow with the logarithm of the longest path.
     """
     a, b = edges.columns
-    e = (edges.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u <> v")
-         .select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
-    e, state = _written(e, scratch)
-    while state[0]:
-        nxt, new = _written(_small_star(_large_star(e).distinct()).distinct(), scratch)
-        scratch.drop(e)
-        e, same = nxt, new == state
-        state = new
-        if same:
-            break
-    leaves = e.select(F.col("u").alias("node"), F.col("v").alias("component"))
-    roots = e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
-    return leaves.unionByName(roots)
+    e = edges.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u <> v")
+    e = scratch.table(local_stars(e), "edges")
+    while True:
+        labels, bad = _labels(e, scratch)
+        if not bad:
+            scratch.drop(e)
+            return labels
+        nxt = scratch.table(local_stars(_small_star(_large_star(e))), "edges")
+        scratch.drop(e, labels)
+        e = nxt

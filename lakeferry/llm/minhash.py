@@ -9,17 +9,20 @@
 3. In every band bucket each class is paired with one class of the bucket (another one in
    each band), not with all. Signatures drop pairs whose estimate is more than five
    standard deviations under the threshold; each class's best pair is confirmed on full
-   sets, and the confirmed links give first components.
+   sets, and the confirmed links give first components, by alternating large-star and
+   small-star.
 4. A bucket that still holds several components may hide links between its members. There,
    blocks of members meet blocks of members by signature, which gives clusters of alike
-   classes; in clusters with several components, blocks of full sets are intersected, the
-   classes outside the largest component against all (a cluster of two as well: its pair
-   may be one that only the blocks found). Only links that join components leave a task. So no link is lost and no list of pairs of a group is written.
-5. Components of all links, by alternating large-star and small-star.
+   components. In a cluster blocks of full sets are intersected, the classes outside the
+   largest component against all. Only links that join components leave a task, as pairs
+   of component labels. So no link is lost and no list of pairs of a group is written.
+5. The stars again over those pairs of labels alone, which are few, give the components.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -154,8 +157,8 @@ def intersections(a: list[np.ndarray], b: list[np.ndarray], width: int = 1 << 14
     return out.astype(np.int64)
 
 
-def _forest(rows: np.ndarray, cols: np.ndarray, ids_a, ids_b, comp_a, comp_b) -> list[tuple]:
-    """Of links between components, as many as join them: one for each merge."""
+def _forest(rows: np.ndarray, cols: np.ndarray, comp_a, comp_b) -> list[tuple]:
+    """Of links between components, as many as join them, one for each merge: their labels."""
     up: dict = {}
 
     def find(x):
@@ -169,7 +172,7 @@ def _forest(rows: np.ndarray, cols: np.ndarray, ids_a, ids_b, comp_a, comp_b) ->
         x, y = find(comp_a[i]), find(comp_b[j])
         if x != y:
             up[x] = y
-            out.append((int(ids_a[i]), int(ids_b[j])))
+            out.append((int(comp_a[i]), int(comp_b[j])))
     return out
 
 
@@ -187,7 +190,8 @@ def _blocks(rows: DataFrame, key: str, scratch_cols: list[str]) -> DataFrame:
 
 def _block_links(rows: DataFrame, key: str, cols: list[str], least: int,
                  similarity_pct: int | None) -> DataFrame:
-    """Links (a, b) found between the light blocks of a key and all its blocks."""
+    """Pairs of component labels with a link between the light blocks of a key and all its
+    blocks."""
     x = _blocks(rows, key, cols)
     left = x.where("light").select(key, F.col("block").alias("i"), F.col("rows").alias("ra"))
     right = x.select(key, F.col("light").alias("lb"), F.col("block").alias("j"),
@@ -221,7 +225,7 @@ def _block_links(rows: DataFrame, key: str, cols: list[str], least: int,
                     na, nb = (np.array([len(s) for s in e]) for e in (ea, eb))
                     ok = _linked(inter[i, j], na[i], nb[j], similarity_pct)
                     i, j = i[ok], j[ok]
-                found += _forest(i, j, ca, cb, pa_, pb)
+                found += _forest(i, j, pa_, pb)
         if found:
             yield {"a": [f[0] for f in found], "b": [f[1] for f in found]}
 
@@ -283,44 +287,57 @@ def near_duplicates(docs: DataFrame, k: int = 5, similarity_pct: int = 80) -> Da
     links = scratch.table(
         best.join(elems.toDF("a", "ea"), "a").join(elems.toDF("b", "eb"), "b")
         .where(_confirm(similarity_pct)("ea", "eb")).select("a", "b"), "links")
-    comp = scratch.table(connected_components(links, scratch), "components")
+    comp = connected_components(links, scratch)
+
+    def labelled(df: DataFrame, cls: str, out: str) -> DataFrame:
+        return df.join(comp.toDF("_node", out), F.col(cls) == F.col("_node"), "left").withColumn(
+            out, F.coalesce(out, cls)).drop("_node")
 
-    def with_comp(df: DataFrame) -> DataFrame:
-        return df.join(comp, df.cls == comp.node, "left").withColumn(
-            "comp", F.coalesce("component", "cls")).drop("node", "component")
+    def joined(df: DataFrame) -> DataFrame:
+        """Edges between the labels of two columns of classes, a and b."""
+        return labelled(labelled(df, "a", "x"), "b", "y").where("x <> y").select(
+            F.col("x").alias("a"), F.col("y").alias("b"))
 
-    deep = with_comp(deep.select("band", "cls"))
-    mixed = deep.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where(
-        "lo <> hi").select("band")
     sigs = reps.select("cls", "sid", "sig", "bands")
-    rows = deep.join(mixed, "band").join(sigs, "cls")
-    big = rows.groupBy("band", "comp").agg(F.count("*").alias("c")).groupBy("band").agg(
-        F.max(F.struct("c", "comp")).getField("comp").alias("main"))
-    rows = rows.join(big, "band").withColumn("light", F.col("comp") != F.col("main"))
-    alike = _block_links(rows, "band", ["cls", "comp", "sig", "bands"], least, None)
-
-    alike = pairs.select("a", "b").unionByName(alike).unionByName(links)
-    cluster = scratch.table(connected_components(alike, scratch), "clusters")
-    rows = with_comp(cluster.toDF("cls", "cluster"))
-    rows = scratch.table(rows, "clustered")
-    size = rows.groupBy("cluster", "comp").agg(F.count("*").alias("c")).groupBy("cluster").agg(
-        F.max(F.struct("c", "comp")).getField("comp").alias("main"),
-        F.sum("c").alias("c"), F.count("*").alias("parts")).where("parts > 1")
-    rows = rows.join(size, "cluster").withColumn("light", F.col("comp") != F.col("main"))
-    rows = rows.select("cluster", "cls", "comp", "light").join(sigs, "cls").join(sets, ["cls", "sid"])
-    more = _block_links(rows, "cluster", ["cls", "comp", "sig", "bands", "elems"], least,
-                        similarity_pct)
-    same_id = live.groupBy("doc_id").agg(F.min("sid").alias("lo"), F.max("sid").alias("hi")).where(
-        "lo <> hi").select("doc_id")
+    deep = scratch.table(labelled(deep.select("band", "cls"), "cls", "comp"), "deep")
+    sizes = deep.groupBy("band", "comp").agg(F.count("*").alias("c")).groupBy("band").agg(
+        F.max(F.struct("c", "comp")).getField("comp").alias("main"), F.count("*").alias("parts"))
+    rows = scratch.table(deep.join(sizes.where("parts > 1"), "band").withColumn(
+        "light", F.col("comp") != F.col("main")).drop("main", "parts").join(sigs, "cls"), "mixed")
+    apart = joined(pairs.select("a", "b"))
+    if not rows.isEmpty():
+        apart = apart.unionByName(
+            _block_links(rows, "band", ["cls", "comp", "sig", "bands"], least, None))
+    # clusters of alike components: two of them at least in each
+    cluster = connected_components(apart, scratch)
+    more = []
+    if not cluster.isEmpty():
+        members = cluster.toDF("comp", "cluster").join(
+            comp.toDF("cls", "component"), F.col("comp") == F.col("component"), "left").select(
+            "cluster", "comp", F.coalesce("cls", "comp").alias("cls"))
+        members = scratch.table(members, "clustered")
+        main = members.groupBy("cluster", "comp").agg(F.count("*").alias("c")).groupBy(
+            "cluster").agg(F.max(F.struct("c", "comp")).getField("comp").alias("main"))
+        whole = members.join(main, "cluster").withColumn(
+            "light", F.col("comp") != F.col("main")).drop("main")
+        whole = scratch.table(whole.join(sigs, "cls").join(sets, ["cls", "sid"]), "whole")
+        more.append(_block_links(whole, "cluster", ["cls", "comp", "sig", "bands", "elems"],
+                                 least, similarity_pct))
     known = live.join(reps.select("sid", "cls", "n_class"), "sid", "left").select(
         "doc_id", "n_shingles", "cls", "n_class")
-    same_id = known.join(same_id, "doc_id", "left_semi").select(
-        F.col("doc_id").alias("a"), F.col("cls").alias("b"))
-    final = scratch.table(connected_components(
-        links.unionByName(more).unionByName(same_id), scratch), "final")
-    scratch.drop(seen, pairs, sets)
-    whole = known.join(final, known.cls == final.node, "left").select(
-        "doc_id", "n_shingles", F.coalesce("component", "cls").alias("component_id"), "n_class")
+    same_id = scratch.table(live.groupBy("doc_id").agg(F.min("sid").alias("lo"), F.max(
+        "sid").alias("hi")).where("lo <> hi").select("doc_id"), "repeated")
+    if not same_id.isEmpty():  # the classes of an id are one component
+        of_id = known.join(same_id, "doc_id", "left_semi").select("doc_id", "cls").distinct()
+        first = of_id.groupBy("doc_id").agg(F.min("cls").alias("a"))
+        more.append(joined(of_id.join(first, "doc_id").select("a", F.col("cls").alias("b"))))
+    whole = labelled(known, "cls", "component")
+    if more:
+        last = connected_components(reduce(DataFrame.unionByName, more), scratch)
+        whole = whole.join(last.toDF("_label", "last"), F.col("component") == F.col("_label"),
+                           "left").withColumn("component", F.coalesce("last", "component"))
+    whole = whole.select("doc_id", "n_shingles", F.col("component").alias("component_id"), "n_class")
+    scratch.drop(seen, pairs, links, sets, deep, rows, cluster, same_id)
     none = t.where("n_shingles = 0 or doc_id is null").select(
         "doc_id", "n_shingles", F.col("doc_id").alias("component_id"),
         F.lit(1).cast("long").alias("n_class"))
