@@ -1,7 +1,8 @@
 """Byte-balanced shards of indivisible groups by Karmarkar-Karp differencing.
 
 Rows with equal texts form a group that stays in one shard, unless it outweighs a whole
-shard: only then is it cut, into as few chunks as fit. Differencing starts with one
+shard: only then is it cut, by a hash of the id into the 256 or more salts that its rows
+have, each a unit of a small part of a shard that differencing places by its bytes. Differencing starts with one
 partial partition per group and repeatedly combines the two with the largest spread, the
 heaviest part of one with the lightest of the other. It runs in tasks over buckets of
 about ``UNITS`` groups; what the buckets give are partial partitions again, combined by the
@@ -78,8 +79,9 @@ def _combine(k: int):
     return fn
 
 
-def shard(docs: DataFrame, n_shards: int = 40) -> DataFrame:
-    """Rows of ``docs`` with ``shard`` (0 to n_shards-1) and ``slot`` (gapless from 0 in
+def shard(docs: DataFrame, n_shards: int = 40, keep: list[str] | None = None) -> DataFrame:
+    """Rows of ``docs`` (of its columns ``keep`` only, so that a text that is not kept is not
+    shuffled) with ``shard`` (0 to n_shards-1) and ``slot`` (gapless from 0 in
     each shard) added. A row weighs the UTF-8 bytes of its text plus 16.
 
     Null texts weigh 16 and form no group but with rows of the same doc_id; empty texts are
@@ -91,7 +93,7 @@ def shard(docs: DataFrame, n_shards: int = 40) -> DataFrame:
     docs = docs.drop("shard", "slot")
     text, key = F.col("text").cast("string"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
     rows = docs.select(
-        F.struct("*").alias("doc"),
+        F.struct(*(keep or ["*"])).alias("doc"), F.col("doc_id").alias("order_id"),
         (F.coalesce(F.octet_length(text), F.lit(0)) + ROW_BYTES).cast("long").alias("size"),
         F.unhex(F.md5(F.coalesce(F.concat(F.lit("t"), text), F.concat(F.lit("n"), key)))).alias("grp"),
         F.xxhash64(F.lit(13), key).alias("deal"))
@@ -102,9 +104,9 @@ def shard(docs: DataFrame, n_shards: int = 40) -> DataFrame:
         F.count("*").alias("n_rows"), F.sum("size").alias("n_bytes")), "parts")
     heavy = part.groupBy("grp").agg(F.sum("n_bytes").alias("b")).where(
         F.col("b") * n_shards > total).select(  # fewer than n_shards groups can be
-        "grp", F.ceil(F.col("b") * n_shards / F.lit(max(1, total))).alias("chunks"))
+        "grp", F.lit(True).alias("heavy"))
     part = part.join(F.broadcast(heavy), "grp", "left").withColumn(
-        "chunk", F.coalesce(F.pmod("salt", "chunks"), F.lit(0)).cast("long")).drop("chunks")
+        "chunk", F.when(F.col("heavy"), F.col("salt")).otherwise(F.lit(0)).cast("long")).drop("heavy")
     part = scratch.table(part, "units")
     units = part.groupBy("grp", "chunk").agg(
         F.sum("n_rows").alias("n_rows"), F.sum("n_bytes").alias("n_bytes"))
@@ -145,7 +147,7 @@ def shard(docs: DataFrame, n_shards: int = 40) -> DataFrame:
             F.sum("n_rows").over(in_unit), F.lit(0))).alias("start"))
     spot = scratch.table(spot, "spots")
     scratch.drop(placed, part)
-    turn = F.row_number().over(Window.partitionBy("grp", "salt").orderBy("doc.doc_id"))
+    turn = F.row_number().over(Window.partitionBy("grp", "salt").orderBy("order_id"))
     return rows.join(spot, ["grp", "salt"]).select(
         "doc.*", F.col("shard").cast("int").alias("shard"),
         (F.col("start") + turn - 1).cast("long").alias("slot"))
@@ -159,10 +161,12 @@ def write_shards(docs: DataFrame, path: str, n_shards: int = 40) -> None:
 
 
 def digest(docs: DataFrame, n_shards: int = 40) -> DataFrame:
-    """(doc_id, n_bytes, text_crc32, law, shard, slot, grown_shard) of the placed rows."""
-    placed = shard(docs.select("doc_id", "text"), n_shards)
-    return placed.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"),
-        F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"),
-        (F.coalesce(F.octet_length("text"), F.lit(0)) + ROW_BYTES).cast("long").alias("n_bytes"))
+    """(doc_id, size, text_crc32, law, shard, slot, grown_shard) of the placed rows."""
+    text = F.col("text").cast("string")
+    facts = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"),
+        (F.coalesce(F.octet_length(text), F.lit(0)) + ROW_BYTES).cast("long").alias("size"),
+        F.crc32(F.coalesce(text, F.lit("")).cast("binary")).alias("text_crc32"))
+    return shard(facts, n_shards, ["doc_id", "size", "text_crc32"]).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"))

@@ -41,12 +41,38 @@ def test_shards(wide, rows, none, monkeypatch):
 def test_only_a_group_heavier_than_a_shard_is_cut(spark):
     rows = [(i, "copy " * 20) for i in range(3000)] + [(5000 + i, f"text {i} " * 9) for i in range(900)]
     out = sharding.digest(spark.createDataFrame(rows, "doc_id long, text string"), 8).toPandas()
-    size = out.groupby("shard")["n_bytes"].sum()
+    size = out.groupby("shard")["size"].sum()
     assert size.max() - size.min() <= 0.01 * size.mean()
     small = out[out["doc_id"] >= 5000]
     assert len(out) == len(rows) and len(small["shard"].unique()) > 1
 
 
+def test_forty_shards_with_a_third_of_all_bytes_in_one_text(spark):
+    import zlib
+
+    r = np.random.default_rng(4)
+    rows = [(i, "hot text " * 30) for i in range(2600)]
+    rows += [(10_000 + i, "é" * int(r.integers(0, 250)) + f"{i}") for i in range(4500)]
+    rows += [(30_000 + i, "pair") for i in range(50)] + [(40_000, None), (None, "x"), (7, "again")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    out = sharding.digest(df, 40)
+    assert out.columns[:7] == ["doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"]
+    got = out.collect()
+    want = sorted(((i, len((t or "").encode()) + 16, zlib.crc32((t or "").encode()))
+                   for i, t in rows), key=str)
+    assert sorted(((g.doc_id, g.size, g.text_crc32) for g in got), key=str) == want
+    slots, load, homes = defaultdict(list), defaultdict(int), defaultdict(set)
+    for g in got:
+        slots[g.shard].append(g.slot)
+        load[g.shard] += g.size
+        homes[g.text_crc32].add(g.shard)
+    assert set(load) == set(range(40)) and all(
+        sorted(s) == list(range(len(s))) for s in slots.values())
+    hot = zlib.crc32(("hot text " * 30).encode())
+    assert all(len(h) == 1 for c, h in homes.items() if c != hot) and len(homes[hot]) > 13
+    assert max(load.values()) - min(load.values()) <= 2 * (len("hot text " * 30) + 16)
+
+
 HTML = '<html><head><link rel="canonical" href="{}"></head></html>'
 PAGES = [
     (1, "http://a.org/x", HTML.format("https://b.org/y")),
