@@ -26,7 +26,9 @@ BITS = 64  # languages in a word of a cell
 GRAM = 5  # bytes of an n-gram
 CELLS = 1 << 20
 PROBES = 2
-MIN_COUNT = 5
+#: An n-gram is learned from this share of all n-grams of its language on (once, in a small
+#: language; about five times in a full sample), so a language of few texts learns too.
+MIN_RATE = 1e-6
 #: An n-gram counts for a language if its rate there is at least this share of its highest.
 MIN_SHARE = 0.25
 #: A language explains a text that it covers by this share of the median over its own texts.
@@ -134,7 +136,7 @@ def fit(docs: DataFrame, sample_per_lang: int = SAMPLE_PER_LANG) -> Model:
     n_words = -(-len(langs) // BITS)
     rate = F.col("n") / F.create_map(*[x for v in langs for x in (
         F.lit(v), F.lit(float(total.get(v, 1))))])[F.col("lang")]
-    many = grams.where(F.col("n") >= MIN_COUNT).withColumn("rate", rate).withColumn("k", number)
+    many = grams.withColumn("rate", rate).where(F.col("rate") >= MIN_RATE).withColumn("k", number)
     top = many.groupBy("gram").agg(F.max("rate").alias("top"),
                                    F.collect_list(F.struct("rate", "k")).alias("r"))
     has = F.transform(F.filter("r", lambda x: x["rate"] >= MIN_SHARE * F.col("top")),

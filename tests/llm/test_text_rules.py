@@ -53,13 +53,6 @@ def test_language_held_out_and_edges(wide, none, rows):
     assert blind[0].lang_pred == "und"
 
 
-def test_too_many_languages(spark):
-    docs = spark.createDataFrame([(i, "text", f"l{i}") for i in range(70)],
-                                 "doc_id long, text string, lang string")
-    with pytest.raises(ValueError):
-        langid.fit(docs)
-
-
 def _spoken(lang: int, seed: int, n: int = 60) -> str:
     """Prose of an invented language: 40 words of its own syllables."""
     w = random.Random(1000 + lang)
@@ -70,6 +63,27 @@ def _spoken(lang: int, seed: int, n: int = 60) -> str:
     return " ".join(r.choice(vocab) for _ in range(n))
 
 
+def test_a_language_of_two_short_texts_learns(spark):
+    rows = [(k * 1000 + i, _spoken(k, i), f"big{k}") for k in range(2) for i in range(150)]
+    rows += [(9001, _spoken(5, 0, 12), "a_rare"), (9002, _spoken(5, 1, 12), "a_rare")]
+    model = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    new = [rows[-1][:2], rows[-2][:2], (1, _spoken(0, 999)), (2, _spoken(1, 999))]
+    got = {r.doc_id: r for r in langid.predict(
+        spark.createDataFrame(new, "doc_id long, text string"), model).collect()}
+    assert [got[i].lang_pred for i in (9001, 9002, 1, 2)] == ["a_rare", "a_rare", "big0", "big1"]
+    assert got[9001].score > 0.5
+
+
+def test_more_languages_than_a_word_has_bits(spark):
+    n = 70
+    rows = [(100 * k + i, _spoken(k, i), f"l{k}") for k in range(n) for i in range(8)]
+    model = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert len(model.langs) == n and len(model.cells) == 2
+    new = spark.createDataFrame([(k, _spoken(k, 99)) for k in range(n)], "doc_id long, text string")
+    got = {r.doc_id: r.lang_pred for r in langid.predict(new, model).collect()}
+    assert sum(got[k] == f"l{k}" for k in range(n)) >= 0.97 * n
+
+
 @pytest.mark.parametrize("n_langs", [2, 20])
 def test_texts_of_no_learned_language_go(spark, n_langs):
     import corpus_pipeline
