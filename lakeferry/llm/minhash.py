@@ -348,7 +348,8 @@ def near_duplicates(docs: DataFrame, k: int = 5, similarity_pct: int = 80) -> Da
 
 def dedup(docs: DataFrame, k: int = 5, similarity_pct: int = 80) -> DataFrame:
     """Rows of ``docs`` with the smallest doc_id of every component; columns unchanged.
-    Repeated rows of one kept id become one; rows with a null id or no words all stay."""
+    Rows of one kept id with equal texts become one; with different texts each text stays.
+    Rows with a null id or no words all stay. An empty table gives an empty result."""
     gone = near_duplicates(docs, k, similarity_pct).where("not kept").select(
         F.col("doc_id").alias("gone_id")).distinct()
     rest = docs.join(gone, docs.doc_id == gone.gone_id, "left_anti")
@@ -358,4 +359,4 @@ def dedup(docs: DataFrame, k: int = 5, similarity_pct: int = 80) -> DataFrame:
         return rest
     once = rest.join(again, rest.doc_id == again.again_id, "left_anti")
     return once.unionByName(rest.join(again, rest.doc_id == again.again_id, "left_semi")
-                            .dropDuplicates(["doc_id"]))
+                            .dropDuplicates(["doc_id", "text"]))
