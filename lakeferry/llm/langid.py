@@ -166,7 +166,8 @@ def fit(docs: DataFrame, sample_per_lang: int = SAMPLE_PER_LANG) -> Model:
 
     def own(batch: pa.RecordBatch):
         at = {v: k for k, v in enumerate(shared.value.langs)}
-        lang, (share, _) = batch.column("lang").to_pylist(), _coverage(batch, shared.value)
+        lang, (share, _) = batch.column("lang").to_pylist(), _coverage(
+            batch.column("text"), shared.value)
         yield {"lang": lang, "share": [x[at[v]] for v, x in zip(lang, share)]}
 
     half = map_arrow(sample, own, "lang string, share double").groupBy("lang").agg(
@@ -180,9 +181,9 @@ def _has_letter(raw: bytes) -> bool:
     return any(c.isalpha() for c in raw.decode("utf-8", "replace"))
 
 
-def _coverage(batch: pa.RecordBatch, model: Model) -> tuple[np.ndarray, list[bool]]:
+def _coverage(texts: pa.Array, model: Model) -> tuple[np.ndarray, list[bool]]:
     """(share of its n-grams by language, has a letter) of every text."""
-    b, off = text_buffers(batch.column("text"))
+    b, off = text_buffers(texts)
     n = len(off) - 1
     ascii_letter = np.zeros(256, bool)
     ascii_letter[65:91] = ascii_letter[97:123] = True
@@ -200,8 +201,8 @@ def _coverage(batch: pa.RecordBatch, model: Model) -> tuple[np.ndarray, list[boo
         n, len(model.langs)), letters
 
 
-def _predict(batch: pa.RecordBatch, model: Model) -> tuple[list[str], list[float]]:
-    share, letters = _coverage(batch, model)
+def _predict(texts: pa.Array, model: Model) -> tuple[list[str], list[float]]:
+    share, letters = _coverage(texts, model)
     got = [model.decide(x) if has else ("und", 0.0) for x, has in zip(share, letters)]
     return [k for k, _ in got], [x for _, x in got]
 
@@ -215,8 +216,9 @@ def explained(model: Model) -> Column:
     return (F.col("lang_pred") != "und") & (F.col("score") > 0) & (F.col("score") >= level)
 
 
-def predict(docs: DataFrame, model: Model) -> DataFrame:
+def predict(docs: DataFrame, model: Model, row: str | None = None) -> DataFrame:
     """``docs`` with ``lang_pred`` and ``score`` (its coverage, 0 to 1) added; whole texts.
+    With ``row``, ``text`` is a field of that struct column, which is never null.
 
     Null, empty and letterless texts, or a model without languages: ``und`` with score 0.
     A text none of whose n-grams is known gets the first language, with score 0. Ties go to
@@ -229,7 +231,8 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            lang, score = _predict(batch, shared.value)
+            texts = batch.column(row).field("text") if row else batch.column("text")
+            lang, score = _predict(texts, shared.value)
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(lang, pa.string()), pa.array(score, pa.float64())],
                 names=[*batch.schema.names, "lang_pred", "score"])
