@@ -21,7 +21,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     texts go, and those that no language explains: of whose n-grams the winner has less
     than half the share that it has of the median of its own texts."""
     model = langid.fit(docs)
-    known = langid.predict(docs.select(F.struct("*").alias("doc"), "text"), model)
+    known = langid.predict(docs.select(F.struct("*").alias("doc")), model, "doc")
     return known.where(langid.explained(model)).select("doc.*")
 
 
