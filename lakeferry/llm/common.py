@@ -20,12 +20,12 @@ _BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 BATCH_BYTES = 8 << 20
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Holds Arrow batches to ``BATCH_BYTES``, so a Python worker has a few MB of whole
+def small_batches(spark: SparkSession, limit: int = BATCH_BYTES) -> None:
+    """Holds Arrow batches to ``limit`` bytes, so a Python worker has a few MB of whole
     texts at a time however long they are; a smaller limit of the session's own stays."""
     to_bytes = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
-    if to_bytes(spark.conf.get(_BATCH)) > BATCH_BYTES:
-        spark.conf.set(_BATCH, str(BATCH_BYTES))
+    if to_bytes(spark.conf.get(_BATCH)) > limit:
+        spark.conf.set(_BATCH, str(limit))
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
