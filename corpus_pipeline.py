@@ -10,16 +10,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeferry.llm import langid, minhash, mixing, packing, secrets
-from lakeferry.llm.common import Scratch, read
+from lakeferry.llm.common import Scratch, read, small_batches
 
 #: Mild damping: most documents of the most frequent values stay.
 MIX_TARGETS = {"source": 0.95, "lang": 0.95, "topic": 1.0}
 
 
+#: Bytes of an Arrow batch: the stages share their Python workers, whose memory stays.
+BATCH_BYTES = 4 << 20
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in one of the languages learned from ``docs``. Null, empty and letterless
     texts go, and those that no language explains: of whose n-grams the winner has less
     than half the share that it has of the median of its own texts."""
+    small_batches(spark, BATCH_BYTES)
     model = langid.fit(docs)
     known = langid.predict(docs.select(F.struct("*").alias("doc")), model, "doc")
     return known.where(langid.explained(model)).select("doc.*")
@@ -27,11 +32,13 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies (five-word shingles, similarity 0.8)."""
+    small_batches(spark, BATCH_BYTES)
     return minhash.dedup(docs, k=5, similarity_pct=80)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, their secrets masked."""
+    small_batches(spark, BATCH_BYTES)
     return secrets.redact(docs)
 
 
@@ -42,6 +49,7 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def sequence_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents in sequences of at most 2048 tokens."""
+    small_batches(spark, BATCH_BYTES)
     return packing.evaluate(docs)
 
 
