@@ -22,10 +22,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.functions import arrow_udf
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from .common import Scratch, small_batches
+from .common import Scratch, lean, small_batches
 
 SEQ, STEP, END = 2048, 16, 1
 OUT_ROWS = 1000  # pieces in a batch that leaves a task
@@ -67,10 +66,17 @@ def _encoder(path: str, ranks_path: str) -> Encoder:
     return Encoder(path, ranks_path)  # one in each Python worker
 
 
-def cut_tokens(docs: DataFrame, path: str, ranks_path: str) -> DataFrame:
+def ids_crc32(ids: np.ndarray) -> int:
+    """crc32 of the ids as little-endian unsigned 32-bit numbers."""
+    return zlib.crc32(ids.astype("<u4").tobytes())
+
+
+def cut_tokens(docs: DataFrame, path: str, ranks_path: str, digest: bool = False) -> DataFrame:
     """(row, doc_id, piece, start, length, doc_tokens, ids) of every piece of every text;
-    ``row`` names a row of the input, ids are unsigned 16-bit little-endian."""
-    ddl = "row long, doc_id long, piece int, start long, length long, doc_tokens long, ids binary"
+    ``row`` names a row of the input, ids are unsigned 16-bit little-endian. With
+    ``digest``, ids_crc32 stands in for ids."""
+    last = "ids_crc32 long" if digest else "ids binary"
+    ddl = f"row long, doc_id long, piece int, start long, length long, doc_tokens long, {last}"
     schema = to_arrow_schema(T._parse_datatype_string(ddl))
 
     def run(batches):
@@ -82,7 +88,8 @@ def cut_tokens(docs: DataFrame, path: str, ranks_path: str) -> DataFrame:
                 x = np.append(enc.ids(text.as_py() or ""), np.uint16(END)).astype("<u2")
                 for p, at in enumerate(range(0, len(x), SEQ)):
                     y = x[at : at + SEQ]
-                    out.append((base + n, doc_id.as_py(), p, at, len(y), len(x), y.tobytes()))
+                    out.append((base + n, doc_id.as_py(), p, at, len(y), len(x),
+                                ids_crc32(y) if digest else y.tobytes()))
                 n += 1
                 if len(out) >= OUT_ROWS:
                     yield pa.RecordBatch.from_arrays(
@@ -93,7 +100,7 @@ def cut_tokens(docs: DataFrame, path: str, ranks_path: str) -> DataFrame:
                     [pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"),
-                       F.col("text").cast("string").alias("text")).mapInArrow(run, ddl)
+                       F.col("text").cast("string").alias("text")).mapInArrow(lean(run), ddl)
 
 
 def _price(value: np.ndarray, sizes: np.ndarray, cap: int) -> tuple[float, np.ndarray]:
@@ -161,10 +168,12 @@ def _running(rows: DataFrame, value, name: str, group: list[str], salts: int) ->
         name, F.col("base") + F.coalesce(F.sum(value).over(inner), F.lit(0))).drop("base", "salt")
 
 
-def pack(docs: DataFrame, path: str | None = None, ranks_path: str | None = None) -> DataFrame:
+def pack(docs: DataFrame, path: str | None = None, ranks_path: str | None = None,
+         digest: bool = False) -> DataFrame:
     """(doc_id, start, length, ids, doc_tokens, sequence_id, offset): one row for each piece
     of each row of ``docs``. Sequences hold at most ``SEQ`` tokens; offsets in one are
-    gapless from 0.
+    gapless from 0. With ``digest``, ids_crc32 stands in for ids, taken where ids are made,
+    so none are written or shuffled.
 
     Null and empty texts are the end id alone. Repeated rows are packed each; a null doc_id
     stays null; other columns are ignored. An empty table gives an empty result. A string
@@ -173,7 +182,7 @@ def pack(docs: DataFrame, path: str | None = None, ranks_path: str | None = None
     scratch = Scratch(docs.sparkSession)
     small_batches(docs.sparkSession)
     pieces = scratch.table(cut_tokens(
-        docs, path or tokenizer_path(), ranks_path or tokenizer_path(RANKS)), "pieces")
+        docs, path or tokenizer_path(), ranks_path or tokenizer_path(RANKS), digest), "pieces")
     rows = pieces.where("piece = 0").select(
         "row", F.floor(F.col("doc_tokens") / SEQ).cast("long").alias("whole"),
         (F.col("doc_tokens") % SEQ).cast("int").alias("rest"))
@@ -208,19 +217,11 @@ def pack(docs: DataFrame, path: str | None = None, ranks_path: str | None = None
     spot = rows.select("row", "wholes").join(spot, "row", "left")
     full = F.col("length") == SEQ
     return pieces.join(spot, "row").select(
-        "doc_id", "start", "length", "ids", "doc_tokens",
+        "doc_id", "start", "length", "ids_crc32" if digest else "ids", "doc_tokens",
         F.when(full, F.lit(seq) + F.col("wholes") + F.col("piece")).otherwise(F.col("seq"))
         .cast("long").alias("sequence_id"),
         F.when(full, F.lit(0)).otherwise(F.col("at")).cast("long").alias("offset"))
 
 
-@arrow_udf(T.LongType())
-def ids_crc32(ids: pa.Array) -> pa.Array:
-    """crc32 of the ids as little-endian unsigned 32-bit numbers."""
-    return pa.array([zlib.crc32(np.frombuffer(x.as_buffer(), "<u2").astype("<u4").tobytes())
-                     for x in ids], pa.int64())
-
-
 def evaluate(docs: DataFrame) -> DataFrame:
-    return pack(docs).select("doc_id", "start", "length", ids_crc32("ids").alias("ids_crc32"),
-                             "doc_tokens", "sequence_id", "offset")
+    return pack(docs, digest=True)
