@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -28,10 +29,40 @@ def small_batches(spark: SparkSession, limit: int = BATCH_BYTES) -> None:
         spark.conf.set(_BATCH, str(limit))
 
 
+_M_TRIM_THRESHOLD, _M_MMAP_THRESHOLD = -1, -3
+
+
+def lean(fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """``fn`` of batches for ``mapInArrow``, in a worker that gives memory back: Spark keeps
+    Python workers for later stages, and what the allocator kept would stay theirs. Blocks
+    of 256 KB or more go back when freed, the rest when a task ends."""
+
+    def run(batches):
+        try:
+            libc = ctypes.CDLL("libc.so.6")
+            libc.mallopt(_M_MMAP_THRESHOLD, 1 << 18)
+            libc.mallopt(_M_TRIM_THRESHOLD, 1 << 20)
+            trim = libc.malloc_trim
+        except (OSError, AttributeError):  # another C library: nothing to tune
+            trim = None
+        try:
+            yield from fn(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            if trim:
+                trim(0)
+
+    return run
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+#: Bytes of a row group of a scratch table, which its writing task holds in memory.
+ROW_GROUP = 32 << 20
+
+
 class Scratch:
     """Tables written under ``spark.checkpoint.dir`` (see ``session.scratch_path``). They
     cut lineage: a lost executor costs the tasks of one step, never the steps before it.
@@ -45,7 +76,8 @@ class Scratch:
         path = scratch_path(self.spark, f"llm-{name}")
         # what was shuffled for the table is not read again: its files go at once
         with conf_scope(self.spark, {_CLEANUP: "true"}):
-            df.write.option("compression", "zstd").parquet(path)
+            df.write.option("compression", "zstd").option(
+                "parquet.block.size", str(ROW_GROUP)).parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         out._scratch_path = path
         return out
@@ -72,7 +104,7 @@ def map_arrow(
                     [pa.array(cols[f.name], f.type) if not isinstance(cols[f.name], pa.Array)
                      else cols[f.name].cast(f.type) for f in arrow], schema=arrow)
 
-    return df.mapInArrow(run, st)
+    return df.mapInArrow(lean(run), st)
 
 
 def bucket_of(col: Column | str, n: int | Column) -> Column:

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_mod, map_arrow, small_batches
+from .common import crc_mod, lean, map_arrow, small_batches
 from .words import LOWER, doc_ranges, mix, text_buffers
 
 SAMPLE_PER_LANG = 2000
@@ -238,7 +238,7 @@ def predict(docs: DataFrame, model: Model, row: str | None = None) -> DataFrame:
                 names=[*batch.schema.names, "lang_pred", "score"])
 
     schema = docs.select("*", F.lit("").alias("lang_pred"), F.lit(0.0).alias("score")).schema
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(lean(run), schema)
 
 
 def evaluate(docs: DataFrame) -> DataFrame:

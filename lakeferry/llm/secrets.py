@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import map_arrow, small_batches
+from .common import lean, map_arrow, small_batches
 from .words import LOWER, doc_ranges, text_buffers
 
 KINDS = ("assign", "access", "hex")
@@ -266,7 +266,7 @@ def learn(docs: DataFrame) -> dict[str, Automaton]:
             schema=schema)
 
     values = docs.select("text").mapInArrow(
-        run, "kind string, value string, h long").distinct()
+        lean(run), "kind string, value string, h long").distinct()
     first = Window.partitionBy("kind").orderBy("h", "value")
     values = values.withColumn("i", F.row_number().over(first)).where(F.col("i") <= SAMPLE_VALUES)
 
@@ -342,8 +342,8 @@ def redact(docs: DataFrame, models: dict[str, Automaton] | None = None,
 
     def run(batches):
         for batch in batches:
-            text = batch.column("text").to_pylist()
-            chars = batch.column("n_chars").to_pylist() if has_chars else []
+            text, chars = batch.column("text"), {}
+            pieces, done = [], 0  # only texts with a span become Python strings
             for i, t, runs in _texts(batch, least):
                 parts, at = [], 0
                 for s, _, e, _ in all_spans(t, runs, models):
@@ -351,13 +351,17 @@ def redact(docs: DataFrame, models: dict[str, Automaton] | None = None,
                         parts += [t[at:s], mask]
                     at = max(at, e)
                 if parts:
-                    text[i] = "".join(parts) + t[at:]
-                    if has_chars:
-                        chars[i] = len(text[i])
-            cols = dict(zip(batch.schema.names, batch.columns))
-            cols["text"] = pa.array(text, batch.schema.field("text").type)
-            if has_chars:
-                cols["n_chars"] = pa.array(chars, batch.schema.field("n_chars").type)
-            yield pa.RecordBatch.from_arrays(list(cols.values()), names=list(cols))
-
-    return docs.mapInArrow(run, docs.schema)
+                    new = "".join(parts) + t[at:]
+                    pieces += [text.slice(done, i - done), pa.array([new], text.type)]
+                    done, chars[i] = i + 1, len(new)
+            if pieces:
+                cols = dict(zip(batch.schema.names, batch.columns))
+                cols["text"] = pa.concat_arrays([*pieces, text.slice(done)])
+                if has_chars:
+                    n = cols["n_chars"]
+                    cols["n_chars"] = pa.array([chars.get(i, x) for i, x in enumerate(
+                        n.to_pylist())], n.type)
+                batch = pa.RecordBatch.from_arrays(list(cols.values()), names=list(cols))
+            yield batch
+
+    return docs.mapInArrow(lean(run), docs.schema)
