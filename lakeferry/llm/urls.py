@@ -40,9 +40,20 @@ def path_of(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(_rest(url), r"^[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
+def no_dots(path: Column) -> Column:
+    """``path`` without the segments ``.`` and ``..``, each ``..`` taking the one before it."""
+    step = lambda done, x: F.when(x == ".", done).when(
+        x == "..", F.regexp_replace(done, r"/[^/]*\z", "")).otherwise(F.concat(done, F.lit("/"), x))
+    parts = F.split(path, "/")
+    plain = F.concat(F.aggregate(F.slice(parts, 2, F.size(parts)), F.lit(""), step),
+                     F.when(path.rlike(r"/\.\.?\z"), F.lit("/")).otherwise(F.lit("")))
+    return F.when(F.contains(path, F.lit("/.")), plain).otherwise(path)
+
+
 def node_of(url: Column) -> Column:
-    """The resource of a url: host, path and query, without scheme and fragment."""
-    path = path_of(url)
+    """The resource of a url: host, path without dot segments and query, without scheme and
+    fragment."""
+    path = no_dots(path_of(url))
     query = F.coalesce(F.regexp_extract(_rest(url), r"^[^?#]*(\?[^#]*)", 1), F.lit(""))
     return F.when(F.instr(url, "://") > 0, F.concat(
         host_of(url), F.when(path == "", F.lit("/")).otherwise(path), query))
@@ -65,17 +76,26 @@ def verdict_of(host: Column, path: Column, rules=RULES) -> Column:
     return _first_fit(host, path, rules, lambda r: r[0])
 
 
+#: ``canonical`` as one of the words of rel; the attribute's name begins after a blank,
+#: a quote or a slash, so ``data-rel`` is another.
+_CANONICAL = (r"""(?i)[\s"'/]rel\s*=\s*(?:"(?:[^"]*\s)?canonical(?:\s[^"]*)?"|"""
+              r"""'(?:[^']*\s)?canonical(?:\s[^']*)?'|canonical[\s/>])""")
+_HREF = r"""(?i)[\s"'/]href\s*=\s*["']?([^"'\s>]+)"""
+_REFRESH = r"""(?i)[\s"'/]http-equiv\s*=\s*["']?refresh\b"""
+_TO = r"""(?i)\burl\s*=\s*["']?([^"'\s>]+)"""
+
+
 def _target(tag: Column) -> Column:
-    canonical = tag.rlike(r"(?i)^<link") & tag.rlike(r"(?i)\brel\s*=\s*[\"']?canonical\b")
-    refresh = tag.rlike(r"(?i)^<meta") & tag.rlike(r"(?i)\bhttp-equiv\s*=\s*[\"']?refresh\b")
-    href = F.regexp_extract(tag, r"(?i)\bhref\s*=\s*[\"']?([^\"'\s>]+)", 1)
-    to = F.regexp_extract(tag, r"(?i)\burl\s*=\s*[\"']?([^\"'\s>]+)", 1)
-    url = F.when(canonical, href).when(refresh, to)
+    canonical = tag.rlike(r"(?i)^<link") & tag.rlike(_CANONICAL)
+    refresh = tag.rlike(r"(?i)^<meta") & tag.rlike(_REFRESH)
+    url = F.when(canonical, F.regexp_extract(tag, _HREF, 1)).when(
+        refresh, F.regexp_extract(tag, _TO, 1))
     return F.when(url != "", F.replace(url, F.lit("&amp;"), F.lit("&")))
 
 
 def link_edges(pages: DataFrame) -> DataFrame:
-    """(src, dst) urls: each page's canonical link and meta refresh, made absolute."""
+    """(src, dst) urls: each page's canonical link and meta refresh, made absolute; dot
+    segments stay (``node_of`` resolves them)."""
     tags = F.regexp_extract_all("html", F.lit(r"(?is)<(?:link|meta)\b[^>]*>"), F.lit(0))
     found = (pages.where("url is not null and html is not null")
              .where(F.col("html").rlike(r"(?i)canonical|http-equiv"))
@@ -98,8 +118,9 @@ def judge(pages: DataFrame, rules=RULES, edges: DataFrame | None = None) -> Data
 
     ``edges`` (src, dst urls, such as a redirect log) are added to those of the pages' html.
     A null url, or one without ``://``: empty host and path, no rule, no alias, allowed.
-    Null or empty html has no links. Repeated rows and equal urls are judged alike; other
-    columns are ignored; an empty table gives an empty result.
+    Null or empty html has no links. A page's own rule sees its path as it stands, a link's
+    target is judged by its path without dot segments. Repeated rows and equal urls are
+    judged alike; other columns are ignored; an empty table gives an empty result.
     """
     scratch = Scratch(pages.sparkSession)
     found = link_edges(pages.select("url", "html"))
@@ -107,8 +128,9 @@ def judge(pages: DataFrame, rules=RULES, edges: DataFrame | None = None) -> Data
         found = found.unionByName(edges.select("src", "dst"))
     found = scratch.table(found.distinct(), "links")  # a page in many has a link
     for c, n in (("src", "a"), ("dst", "b")):
-        found = found.withColumns({f"{n}_host": host_of(F.col(c)), f"{n}_path": path_of(F.col(c)),
-                                   n: node_of(F.col(c))})
+        path = path_of(F.col(c))
+        found = found.withColumns({f"{n}_host": host_of(F.col(c)), n: node_of(F.col(c)),
+                                   f"{n}_path": no_dots(path) if n == "b" else path})
     found = scratch.table(found, "nodes").where("a <> b")
     comp = connected_components(found.select("a", "b"), scratch)
     own = found.select(F.col("a").alias("node"), F.col("a_host").alias("host"),
@@ -123,7 +145,8 @@ def judge(pages: DataFrame, rules=RULES, edges: DataFrame | None = None) -> Data
     url = F.col("url").cast("string")
     host, path = F.col("host"), F.col("path")
     out = pages.select("page_id", host_of(url).alias("host"), path_of(url).alias("path"),
-                       node_of(url).alias("node"))
+                       F.coalesce(node_of(url), F.concat(  # no node: a key of its own each
+                           F.lit("\0"), F.col("page_id").cast("string"))).alias("node"))
     out = out.join(alias, "node", "left")
     return out.select(
         F.col("page_id").cast("long").alias("page_id"), "host", "path",
@@ -139,13 +162,26 @@ def _fit_sql(host: str, path: str, value) -> str:
     return out
 
 
-def _parts_sql(url: str, p: str) -> str:
+def _dots_sql(path: str) -> str:
+    return (f"CASE WHEN contains({path}, '/.') THEN list_reduce(list_prepend('', "
+            f"string_split({path}, '/')[2:]), lambda done, x: CASE WHEN x = '.' THEN done "
+            f"WHEN x = '..' THEN regexp_replace(done, '/[^/]*\\z', '') "
+            f"ELSE done || '/' || x END) || "
+            f"CASE WHEN regexp_matches({path}, '/\\.\\.?\\z') THEN '/' ELSE '' END ELSE {path} END")
+
+
+def _parts_sql(url: str, p: str, target: bool = False) -> str:
     rest = f"CASE WHEN contains({url}, '://') THEN substr({url}, instr({url}, '://') + 3) END"
     host = f"coalesce(translate(regexp_extract({rest}, '^[^/?#]*', 0), '{_UP}', '{_LOW}'), '')"
     path = f"coalesce(regexp_extract({rest}, '^[^/?#]*([^?#]*)', 1), '')"
+    plain = _dots_sql(path)
     node = (f"CASE WHEN contains({url}, '://') THEN {host} || CASE WHEN {path} = '' THEN '/' "
-            f"ELSE {path} END || coalesce(regexp_extract({rest}, '^[^?#]*(\\?[^#]*)', 1), '') END")
-    return f"{host} AS {p}host, {path} AS {p}path, {node} AS {p}node"
+            f"ELSE {plain} END || coalesce(regexp_extract({rest}, '^[^?#]*(\\?[^#]*)', 1), '') END")
+    return f"{host} AS {p}host, {plain if target else path} AS {p}path, {node} AS {p}node"
+
+
+def _quoted(pattern: str) -> str:
+    return "'" + pattern.replace("'", "''") + "'"
 
 
 ORACLE = f"""
@@ -154,12 +190,10 @@ tags AS (SELECT url, host, path, tag FROM p,
            unnest(regexp_extract_all(html, '(?is)<(?:link|meta)\\b[^>]*>')) AS t(tag)
          WHERE url IS NOT NULL AND html IS NOT NULL),
 hrefs AS (SELECT url, host, path, replace(CASE
-    WHEN regexp_matches(tag, '(?i)^<link') AND
-         regexp_matches(tag, '(?i)\\brel\\s*=\\s*["'']?canonical\\b')
-      THEN regexp_extract(tag, '(?i)\\bhref\\s*=\\s*["'']?([^"''\\s>]+)', 1)
-    WHEN regexp_matches(tag, '(?i)^<meta') AND
-         regexp_matches(tag, '(?i)\\bhttp-equiv\\s*=\\s*["'']?refresh\\b')
-      THEN regexp_extract(tag, '(?i)\\burl\\s*=\\s*["'']?([^"''\\s>]+)', 1) END,
+    WHEN regexp_matches(tag, '(?i)^<link') AND regexp_matches(tag, {_quoted(_CANONICAL)})
+      THEN regexp_extract(tag, {_quoted(_HREF)}, 1)
+    WHEN regexp_matches(tag, '(?i)^<meta') AND regexp_matches(tag, {_quoted(_REFRESH)})
+      THEN regexp_extract(tag, {_quoted(_TO)}, 1) END,
     '&amp;', '&') AS dest FROM tags),
 full_urls AS (SELECT url, CASE WHEN contains(dest, '://') THEN dest
     WHEN starts_with(dest, '//') THEN 'http:' || dest
@@ -168,7 +202,7 @@ full_urls AS (SELECT url, CASE WHEN contains(dest, '://') THEN dest
     ELSE 'http://' || host || CASE WHEN regexp_extract(path, '(?s)^.*/', 0) = '' THEN '/'
          ELSE regexp_extract(path, '(?s)^.*/', 0) END || dest END AS dst
   FROM hrefs WHERE dest <> ''),
-e AS (SELECT {_parts_sql('url', 'a_')}, {_parts_sql('dst', 'b_')} FROM full_urls),
+e AS (SELECT {_parts_sql('url', 'a_')}, {_parts_sql('dst', 'b_', True)} FROM full_urls),
 both_ways AS (SELECT a_node AS u, b_node AS v FROM e WHERE a_node <> b_node
               UNION SELECT b_node, a_node FROM e WHERE a_node <> b_node),
 own AS (SELECT DISTINCT node, v FROM (

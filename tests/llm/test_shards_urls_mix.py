@@ -88,6 +88,13 @@ PAGES = [
     (13, "no scheme", HTML.format("http://x.net/fr/1")), (None, "http://q.net/es/", None),
     (14, "http://lone.org/", HTML.format("http://lone.org/")), (15, "http://", "x"),
     (16, "ftp://host.net?es=/es/", ""),
+    (17, "http://f.org/a/b/c", HTML.format("../../t/./u")), (18, "http://f.org/t/u", None),
+    (19, "http://f.org/a/../t/u", HTML.format("http://g.net/x/../fr/")),
+    (20, "http://h.org/1", HTML.replace("canonical", "alternate Canonical").format("/../h.net/..")),
+    (21, "http://h.org/", HTML.replace('"canonical"', "canonical").format("http://x.net/fr/./9")),
+    (22, "http://i.org/1", HTML.replace("canonical", "not-canonical").format("http://x.net/fr/8")),
+    (23, "http://i.org/2", HTML.replace("rel=", "data-rel=").format("http://x.net/fr/8")),
+    (24, "http://j.net/a/../fr/1", None),  # its own rule sees the path as it stands
 ]
 
 
@@ -95,7 +102,7 @@ def test_urls_equal_sql_and_pass_blocks_to_aliases(spark):
     pages = spark.createDataFrame(PAGES, "page_id long, url string, html string")
     got = {r.page_id: r for r in urls.judge(pages.selectExpr("*", "1 AS host", "2 AS node")).collect()}
     verdict = {i: got[i].verdict for i in got}
-    blocked = {1, 2, 3, 4, 5, 9, None}
+    blocked = {1, 2, 3, 4, 5, 9, 17, 18, 19, 20, 21, None}
     assert {i for i, v in verdict.items() if v == "block"} == blocked
     assert got[9].rule == "example.com/en/" and got[10].rule == "www.example.com/en/"
     assert got[12].host == "" and got[12].path == "" and got[16].path == "" and got[11].rule is None
