@@ -143,3 +143,21 @@ def test_mix_keeps_rows_whole(wide, docs, none, rows):
     got = mixing.mix(wide)
     assert got.columns == wide.columns and 0 < got.count() < len(rows)
     assert mixing.mix(none).count() == 0 and mixing.mix(docs.where("text = ''")).count() == 0
+
+
+def test_unnamed_values_share_what_the_named_leave(spark, caplog, monkeypatch):
+    docs = spark.createDataFrame(
+        [(1, "a b c d", "en", "s", "x"), (2, "a b", "de", "s", "x"), (3, "a b", None, "s", "y"),
+         (4, "a b c d e f", "xx", "s", None)],
+        "doc_id long, text string, lang string, source string, about string")
+    goal = {"lang": {"en": 0.6, "de": 0.2}}
+    got = {r.lang: (r.topic, r.weight * r.n_tokens / 14)
+           for r in mixing.weigh(docs, goal, topic="about").collect()}
+    assert {k: v[0] for k, v in got.items()} == {
+        "en": "x", "de": "x", mixing.NO_VALUE: "y", "xx": mixing.NO_VALUE}
+    share = {k: v[1] for k, v in got.items()}
+    assert share == pytest.approx({"en": 0.6, "de": 0.2, mixing.NO_VALUE: 0.05, "xx": 0.15}, abs=1e-5)
+    assert not caplog.records
+    monkeypatch.setattr(mixing, "MAX_SWEEPS", 2)
+    mixing.weigh(docs, {"lang": {"en": 0.9, "de": 0.0}, "topic": {"y": 0.5}}, topic="about")
+    assert any("not reached" in r.message for r in caplog.records)
