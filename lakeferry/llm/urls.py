@@ -132,7 +132,7 @@ def judge(pages: DataFrame, rules=RULES, edges: DataFrame | None = None) -> Data
         found = found.withColumns({f"{n}_host": host_of(F.col(c)), n: node_of(F.col(c)),
                                    f"{n}_path": no_dots(path) if n == "b" else path})
     found = scratch.table(found, "nodes").where("a <> b")
-    comp = connected_components(found.select("a", "b"), scratch)
+    comp = connected_components(found.select("a", "b"), scratch, native=True)
     own = found.select(F.col("a").alias("node"), F.col("a_host").alias("host"),
                        F.col("a_path").alias("path")).unionByName(
         found.select(F.col("b").alias("node"), F.col("b_host").alias("host"),

@@ -1,5 +1,6 @@
 """Sharding, URL filters and mixing on fixtures."""
 
+import inspect
 from collections import defaultdict
 
 import duckdb
@@ -112,6 +113,7 @@ def test_urls_equal_sql_and_pass_blocks_to_aliases(spark):
     want = con.execute(urls.ORACLE).fetchall()
     assert sorted(want, key=str) == sorted(map(tuple, got.values()), key=str)
     assert urls.judge(pages.where("false")).count() == 0
+    assert "Arrow" not in inspect.getsource(urls) and "native=True" in inspect.getsource(urls)
 
 
 def test_redirect_log_edges(spark):
