@@ -42,6 +42,68 @@ def test_nearest_vectors_recall_ties_and_edges(spark, monkeypatch):
     assert [q.rank for q in ann.search(few, few.where("vec_id = 0")).collect()] == [1, 2]
 
 
+def brute_nearest(x, q, k=10):
+    d = np.sqrt(((x - x[q]) ** 2).sum(1))
+    d[q] = np.inf
+    return np.lexsort((np.arange(len(x)), d))[:k]
+
+
+def test_bounds_hold_for_nearly_all_rows():
+    r = np.random.default_rng(5)
+    for dim in (1, 3, 64, 100):
+        x, q = r.standard_normal((400, dim)), r.standard_normal((50, dim))
+        centre, turn = x.mean(0), ann.rotation(dim)
+        est, slack = ann.bounds(*ann.encode(x, centre, turn), q, centre, turn)
+        true = ((x[:, None] - q) ** 2).sum(2)
+        assert (est - slack <= true).mean() >= 0.98
+        assert dim < 64 or abs((est - true).mean()) < 0.05 * true.mean()
+
+
+def test_cells_find_the_nearest_and_visit_few_rows(spark, monkeypatch):
+    monkeypatch.setattr(ann, "CELL", 100)
+    monkeypatch.setattr(ann, "BLOCK", 64)
+    monkeypatch.setattr(ann, "QUERIES", 7)
+    r = np.random.default_rng(3)
+    x = np.repeat(4 * r.standard_normal((20, 32)), 200, 0) + r.standard_normal((4000, 32))
+    x[100:1500] = x[0]  # a third of all rows is one vector
+    cells = ann.fit_cells(x, len(x), 10)
+    assert len(cells.centres) > 20 and cells.probes <= len(cells.centres) // 2
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)],
+                               "vec_id long, embedding array<double>").repartition(5)
+    got = defaultdict(list)
+    for q in ann.search(df, df.where("vec_id % 100 = 0")).collect():
+        got[q.query_id].append((q.rank, q.vec_id))
+    assert set(got) == set(range(0, 4000, 100))
+    hit = 0
+    for q, found in got.items():
+        assert [f[0] for f in sorted(found)] == list(range(1, 11))
+        hit += len(set(brute_nearest(x, q)) & {f[1] for f in found})
+    assert hit / (10 * len(got)) >= 0.95
+
+
+def test_queries_of_small_cells_and_repeated_ids(spark, monkeypatch):
+    monkeypatch.setattr(ann, "CELL", 30)
+    r = np.random.default_rng(4)
+    # 200 rows in 4 crowds of 48, and a far one of 8 that has fewer than k rows
+    x = np.repeat(100 * r.standard_normal((4, 8)), 48, 0) + r.standard_normal((192, 8))
+    x = np.vstack([x, 1000 + r.standard_normal((8, 8))])
+    monkeypatch.setattr(ann, "fit_cells", lambda sample, n, k: ann.Cells(
+        np.vstack([x[24:192:48], x[196]]), 1))
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    asked = df.where("vec_id in (100, 199)").unionByName(df.where("vec_id = 100"))
+    asked = asked.unionByName(df.where("vec_id = 3").selectExpr(
+        "100L AS vec_id", "transform(embedding, c -> 1e6D) AS embedding"))
+    asked = asked.unionByName(df.where("vec_id = 5").selectExpr(
+        "100L AS vec_id", "cast(null as array<double>) AS embedding"))
+    got = defaultdict(list)
+    for q in ann.search(df, asked).collect():
+        got[q.query_id].append((q.rank, q.vec_id))
+    for q in (100, 199):  # of the vectors asked as 100 the smallest is its own
+        assert [v for _, v in sorted(got[q])] == brute_nearest(x, q).tolist()
+    assert len(got) == 2
+
+
 def katz_brute(rows):
     held = {i: zlib.crc32(("" if d is None else str(d)).encode()) % 5 == 1 for i, (d, *_) in enumerate(rows)}
     tok = [(t or "").encode().lower().split() + [None] for _, t, *_ in rows]
