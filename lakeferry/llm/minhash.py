@@ -25,20 +25,23 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 from pyspark.sql import types as T
 
-from .common import Scratch, bucket_of, map_arrow
+from .common import Scratch, bucket_of, few_tasks, map_arrow
 from .components import connected_components
 from .words import doc_ranges, mix, shingles, text_buffers, words
 
 BANDS, ROWS = 28, 6
 HASHES = BANDS * ROWS
-BLOCK = 128  # classes in a packed block
-BLOCK_BYTES = 4 << 20  # expected bytes of full sets in one
+BLOCK = 1024  # classes in a packed block of signatures
+BLOCK_SETS = 256  # classes in one that holds full sets
+BLOCK_BYTES = 4 << 20  # expected bytes of either
 _CHUNK = 256
+# what a task takes at least, where the whole is known to be small
+ROWS_A_TASK, SKETCHES, SET_BYTES = 200_000, 20_000, 8 << 20
 
 _rng = np.random.default_rng(20240301)
 _A = _rng.integers(1, 1 << 63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -117,6 +120,10 @@ def _matches(a: pa.Array, b: pa.Array) -> pa.Array:
     return pa.array((x == y).sum(1).astype(np.int32))
 
 
+# else the filters by it and by ``confirm`` are moved before the rows are dealt to few tasks
+_matches = _matches.asNondeterministic()
+
+
 def _linked(inter, size_a, size_b, similarity_pct: int):
     return 100 * inter >= similarity_pct * (size_a + size_b - inter)
 
@@ -131,7 +138,7 @@ def _confirm(similarity_pct: int):
             out.append(bool(_linked(i, len(x), len(y), similarity_pct)))
         return pa.array(out, pa.bool_())
 
-    return confirm
+    return confirm.asNondeterministic()
 
 
 def intersections(a: list[np.ndarray], b: list[np.ndarray], width: int = 1 << 14) -> np.ndarray:
@@ -167,42 +174,53 @@ def _forest(rows: np.ndarray, cols: np.ndarray, comp_a, comp_b) -> list[tuple]:
             x = up[x]
         return x
 
-    out = []
-    for i, j in zip(rows, cols):
-        x, y = find(comp_a[i]), find(comp_b[j])
+    (a, ia), (b, ib) = (np.unique(c, return_inverse=True) for c in (comp_a, comp_b))
+    met = np.zeros((len(a), len(b)), bool)  # however many links two components have
+    met[ia[rows], ib[cols]] = True
+    a, b, out = a.tolist(), b.tolist(), []
+    for i, j in np.argwhere(met).tolist():
+        x, y = find(a[i]), find(b[j])
         if x != y:
             up[x] = y
-            out.append((int(comp_a[i]), int(comp_b[j])))
+            out.append((a[i], b[j]))
     return out
 
 
-def _blocks(rows: DataFrame, key: str, scratch_cols: list[str]) -> DataFrame:
-    """Rows packed to arrays of about BLOCK rows, or BLOCK_BYTES of full sets, of one key;
-    the number of blocks of a key follows its size, so a hot key or one of very long texts
-    gives more blocks, not larger ones."""
-    size = F.octet_length("elems") if "elems" in scratch_cols else F.lit(0)
-    n = rows.groupBy(key, "light").agg(F.greatest(
-        F.ceil(F.count("*") / BLOCK), F.ceil(F.sum(size) / BLOCK_BYTES)).alias("n_blocks"))
-    dealt = rows.join(n, [key, "light"]).withColumn("block", bucket_of("cls", F.col("n_blocks")))
-    return dealt.groupBy(key, "light", "block").agg(
-        F.collect_list(F.struct(*scratch_cols)).alias("rows"))
-
-
 def _block_links(rows: DataFrame, key: str, cols: list[str], least: int,
-                 similarity_pct: int | None) -> DataFrame:
+                 similarity_pct: int | None, scratch: Scratch) -> DataFrame:
     """Pairs of component labels with a link between the light blocks of a key and all its
-    blocks."""
-    x = _blocks(rows, key, cols)
+    blocks. A block is an array of about BLOCK rows, with full sets of BLOCK_SETS rows or
+    BLOCK_BYTES, of one key;
+    the number of blocks of a key follows its size, so a hot key or one of very long texts
+    gives more blocks, not larger ones."""
+    most, size = BLOCK, F.lit(HASHES + 8 * BANDS)
+    if "elems" in cols:
+        most, size = BLOCK_SETS, size + F.octet_length("elems")
+    part = {"light": F.col("light"), "main": ~F.col("light")}
+    n = rows.groupBy(key).agg(*(F.sum(F.when(x, size).otherwise(0)).alias(f"b_{name}")
+                                for name, x in part.items()),
+                              *(F.count_if(x).alias(f"c_{name}") for name, x in part.items()))
+    n = n.select(key, "b_light", "b_main", *(
+        F.greatest(F.ceil(F.col(f"c_{name}") / most),
+                   F.ceil(F.col(f"b_{name}") / BLOCK_BYTES)).alias(f"n_{name}") for name in part))
+    met = Observation()
+    meet = F.expr("n_light * (b_light + b_main) + b_light * (n_light + n_main)")
+    n = scratch.table(few_tasks(n.observe(met, F.sum(meet).alias("bytes")), 0, 1).select(
+        key, "n_light", "n_main"), "blocks")
+    dealt = rows.join(n, key).withColumn("block", bucket_of(
+        "cls", F.when(F.col("light"), F.col("n_light")).otherwise(F.col("n_main"))))
+    x = dealt.groupBy(key, "light", "block").agg(F.collect_list(F.struct(*cols)).alias("rows"))
     left = x.where("light").select(key, F.col("block").alias("i"), F.col("rows").alias("ra"))
     right = x.select(key, F.col("light").alias("lb"), F.col("block").alias("j"),
                      F.col("rows").alias("rb"))
-    pairs = left.join(right, key).where("not lb or j >= i").select("ra", "rb")
+    pairs = few_tasks(left.join(right, key).where("not lb or j >= i").select("ra", "rb"),
+                      met.get.get("bytes") or 0, SET_BYTES)
 
     def unpack(v):
         v = v.values
-        cls, comp = (np.array(v.field(c).to_pylist(), np.int64) for c in ("cls", "comp"))
+        cls, comp = (v.field(c).to_numpy() for c in ("cls", "comp"))
         sig = np.frombuffer(b"".join(v.field("sig").to_pylist()), np.uint8).reshape(-1, HASHES)
-        bands = np.array(v.field("bands").to_pylist(), np.int64).reshape(-1, BANDS)
+        bands = v.field("bands").flatten().to_numpy().reshape(-1, BANDS)
         sets = [np.frombuffer(e, np.uint64) for e in v.field("elems").to_pylist()] \
             if "elems" in cols else None
         return cls, comp, sig, bands, sets
@@ -212,12 +230,17 @@ def _block_links(rows: DataFrame, key: str, cols: list[str], least: int,
         for n in range(batch.num_rows):
             ca, pa_, sa, ba, ea = unpack(batch.column("ra")[n])
             cb, pb, sb, bb, eb = unpack(batch.column("rb")[n])
-            alike = np.array([(sb == s).sum(1) >= least for s in sa])
+            by_hash = np.ascontiguousarray(sb.T)
+            alike = np.array([(by_hash == s[:, None]).view(np.uint8).sum(0, dtype=np.uint8)
+                              >= least for s in sa])  # HASHES matches fit a byte
             alike &= pa_[:, None] != pb[None, :]
             if alike.any():
                 i, j = np.nonzero(alike)
-                shared = (ba[i] == bb[j]).any(1)
-                i, j = i[shared], j[shared]
+                if key != "band":  # else they share it
+                    shared = np.zeros(len(i), bool)
+                    for q in range(BANDS):
+                        shared |= ba[i, q] == bb[j, q]
+                    i, j = i[shared], j[shared]
                 if similarity_pct is not None and len(i):
                     ui, uj = np.unique(i), np.unique(j)
                     inter = np.zeros((len(ca), len(cb)), np.int64)
@@ -253,22 +276,30 @@ def near_duplicates(docs: DataFrame, k: int = 5, similarity_pct: int = 80) -> Da
     scratch = Scratch(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                        F.col("text").cast("string").alias("text"))
-    t = scratch.table(sketch(docs, k), "sketch")
+    size = Observation()
+    t = scratch.table(sketch(docs, k).observe(
+        size, F.count("*").alias("rows"), F.sum("n_shingles").alias("shingles")), "sketch")
+    n_docs = size.get.get("rows") or 0
+    set_bytes = 8 * (size.get.get("shingles") or 0)
     live = t.where("n_shingles > 0 and doc_id is not null")
-    reps = scratch.table(live.groupBy("sid").agg(
+    reps = scratch.table(few_tasks(live.groupBy("sid").agg(
         F.min("doc_id").alias("cls"), F.first("bands").alias("bands"), F.first("sig").alias("sig"),
-        F.count("*").alias("n_class")), "classes")
+        F.count("*").alias("n_class")), n_docs, SKETCHES), "classes")
 
     member = reps.select("cls", F.explode("bands").alias("band")).repartition("band")
     buckets = member.groupBy("band").agg(
         F.min(_other(F.col("cls"))).getField("cls").alias("rep"), F.count("*").alias("n"))
-    seen = scratch.table(member.join(buckets.where("n > 1"), "band"), "buckets")
+    met = Observation()
+    seen = scratch.table(few_tasks(member.join(buckets.where("n > 1"), "band").observe(
+        met, F.count("*").alias("n")), BANDS * n_docs, ROWS_A_TASK), "buckets")
+    n_seen = met.get.get("n") or 0
     least = least_matches(similarity_pct / 100)
     pairs = seen.where("cls <> rep").select(
         F.least("cls", "rep").alias("a"), F.greatest("cls", "rep").alias("b")).distinct()
     sig = reps.select("cls", "sig")
-    pairs = (pairs.join(sig.toDF("a", "sa"), "a").join(sig.toDF("b", "sb"), "b")
-             .select("a", "b", _matches("sa", "sb").alias("m")).where(F.col("m") >= least))
+    pairs = pairs.join(sig.toDF("a", "sa"), "a").join(sig.toDF("b", "sb"), "b")
+    pairs = few_tasks(pairs, n_seen, SKETCHES).select(
+        "a", "b", _matches("sa", "sb").alias("m")).where(F.col("m") >= least)
     pairs = scratch.table(pairs, "pairs")
 
     ends = pairs.select(F.col("a").alias("x"), F.col("b").alias("y"), "m").unionByName(
@@ -281,12 +312,14 @@ def near_duplicates(docs: DataFrame, k: int = 5, similarity_pct: int = 80) -> Da
     need = pairs.select(F.col("a").alias("cls")).unionByName(
         pairs.select(F.col("b").alias("cls"))).unionByName(deep.select("cls")).distinct()
     ids = need.select(F.col("cls").alias("doc_id"))
-    sets = scratch.table(full_sets(docs.join(ids, "doc_id", "left_semi"), k).dropDuplicates(
-        ["doc_id", "sid"]).withColumnRenamed("doc_id", "cls"), "sets")
+    wanted = few_tasks(docs.join(ids, "doc_id", "left_semi"), set_bytes, SET_BYTES)
+    sets = full_sets(wanted, k).dropDuplicates(["doc_id", "sid"])
+    sets = scratch.table(few_tasks(sets, set_bytes, SET_BYTES).withColumnRenamed(
+        "doc_id", "cls"), "sets")
     elems = sets.select("cls", "elems")
-    links = scratch.table(
-        best.join(elems.toDF("a", "ea"), "a").join(elems.toDF("b", "eb"), "b")
-        .where(_confirm(similarity_pct)("ea", "eb")).select("a", "b"), "links")
+    both = best.join(elems.toDF("a", "ea"), "a").join(elems.toDF("b", "eb"), "b")
+    links = scratch.table(few_tasks(both, 2 * set_bytes, SET_BYTES).where(
+        _confirm(similarity_pct)("ea", "eb")).select("a", "b"), "links")
     comp = connected_components(links, scratch)
 
     def labelled(df: DataFrame, cls: str, out: str) -> DataFrame:
@@ -299,15 +332,17 @@ def near_duplicates(docs: DataFrame, k: int = 5, similarity_pct: int = 80) -> Da
             F.col("x").alias("a"), F.col("y").alias("b"))
 
     sigs = reps.select("cls", "sid", "sig", "bands")
-    deep = scratch.table(labelled(deep.select("band", "cls"), "cls", "comp"), "deep")
+    deep = scratch.table(few_tasks(labelled(deep.select("band", "cls"), "cls", "comp"),
+                                   n_seen, ROWS_A_TASK), "deep")
     sizes = deep.groupBy("band", "comp").agg(F.count("*").alias("c")).groupBy("band").agg(
         F.max(F.struct("c", "comp")).getField("comp").alias("main"), F.count("*").alias("parts"))
-    rows = scratch.table(deep.join(sizes.where("parts > 1"), "band").withColumn(
-        "light", F.col("comp") != F.col("main")).drop("main", "parts").join(sigs, "cls"), "mixed")
-    apart = joined(pairs.select("a", "b"))
+    rows = deep.join(sizes.where("parts > 1"), "band").withColumn(
+        "light", F.col("comp") != F.col("main")).drop("main", "parts").join(sigs, "cls")
+    rows = scratch.table(few_tasks(rows, n_seen, SKETCHES), "mixed")
+    apart = few_tasks(joined(pairs.select("a", "b")), n_seen, ROWS_A_TASK)
     if not rows.isEmpty():
-        apart = apart.unionByName(
-            _block_links(rows, "band", ["cls", "comp", "sig", "bands"], least, None))
+        apart = apart.unionByName(_block_links(
+            rows, "band", ["cls", "comp", "sig", "bands"], least, None, scratch))
     # clusters of alike components: two of them at least in each
     cluster = connected_components(apart, scratch)
     more = []
@@ -315,18 +350,20 @@ def near_duplicates(docs: DataFrame, k: int = 5, similarity_pct: int = 80) -> Da
         members = cluster.toDF("comp", "cluster").join(
             comp.toDF("cls", "component"), F.col("comp") == F.col("component"), "left").select(
             "cluster", "comp", F.coalesce("cls", "comp").alias("cls"))
-        members = scratch.table(members, "clustered")
+        members = scratch.table(few_tasks(members, n_docs, ROWS_A_TASK), "clustered")
         main = members.groupBy("cluster", "comp").agg(F.count("*").alias("c")).groupBy(
             "cluster").agg(F.max(F.struct("c", "comp")).getField("comp").alias("main"))
         whole = members.join(main, "cluster").withColumn(
             "light", F.col("comp") != F.col("main")).drop("main")
-        whole = scratch.table(whole.join(sigs, "cls").join(sets, ["cls", "sid"]), "whole")
+        whole = whole.join(sigs, "cls").join(sets, ["cls", "sid"])
+        whole = scratch.table(few_tasks(whole, set_bytes, SET_BYTES), "whole")
         more.append(_block_links(whole, "cluster", ["cls", "comp", "sig", "bands", "elems"],
-                                 least, similarity_pct))
+                                 least, similarity_pct, scratch))
     known = live.join(reps.select("sid", "cls", "n_class"), "sid", "left").select(
         "doc_id", "n_shingles", "cls", "n_class")
-    same_id = scratch.table(live.groupBy("doc_id").agg(F.min("sid").alias("lo"), F.max(
-        "sid").alias("hi")).where("lo <> hi").select("doc_id"), "repeated")
+    same_id = live.groupBy("doc_id").agg(F.min("sid").alias("lo"), F.max("sid").alias(
+        "hi")).where("lo <> hi").select("doc_id")
+    same_id = scratch.table(few_tasks(same_id, n_docs, ROWS_A_TASK), "repeated")
     if not same_id.isEmpty():  # the classes of an id are one component
         of_id = known.join(same_id, "doc_id", "left_semi").select("doc_id", "cls").distinct()
         first = of_id.groupBy("doc_id").agg(F.min("cls").alias("a"))

@@ -1,6 +1,7 @@
 """Near-dedup against a brute-force version over all pairs, and its edge cases."""
 
 import random
+import time
 
 import numpy as np
 import pytest
@@ -9,6 +10,7 @@ from lakeferry.llm import minhash
 from lakeferry.llm.common import Scratch
 from lakeferry.llm.components import connected_components
 from lakeferry.llm.words import shingles, text_buffers, words
+from lakeferry.session import conf_scope
 
 
 def sets_of(rows, k):
@@ -63,6 +65,46 @@ def test_group_of_near_copies_chained_below_the_threshold(spark):
     assert got == want and len(set(want.values())) > 5
 
 
+def test_small_tables_in_many_shuffle_partitions_take_few_tasks(spark, monkeypatch):
+    """Where Spark may not join small partitions, each of dozens of small tables was written
+    by as many tasks, each with its Python worker and its file, as there are partitions."""
+    r, base = random.Random(5), [f"w{i}" for i in range(60)]
+    rows = []
+    for i in range(400):
+        w = [f"a{i % 9}x{x}" for x in base]
+        for q in r.sample(range(60), r.choice([0, 1, 3, 5])):
+            w[q] = f"z{i}x{q}"
+        rows.append((i, " ".join(w)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    files, table = {}, Scratch.table
+
+    def counted(self, df, name):
+        out = table(self, df, name)
+        files[name] = max(files.get(name, 0), len(out.inputFiles()))
+        return out
+
+    monkeypatch.setattr(Scratch, "table", counted)
+    few = 2 * spark.sparkContext.defaultParallelism
+    with conf_scope(spark, {"spark.sql.adaptive.coalescePartitions.enabled": "false",
+                            "spark.sql.shuffle.partitions": str(4 * few)}):
+        got = {x.doc_id: x.component_id for x in minhash.near_duplicates(docs, 2).collect()}
+    assert got == {d: c for d, _, c in brute(rows, 2)}
+    # the first edges of the last two runs also hold links from blocks
+    assert files.pop("edges") <= 3 * few and len(files) > 8
+    assert max(files.values()) <= few, files
+
+
+def test_many_links_of_two_components_are_one_merge():
+    """Blocks of near copies have millions of links; each went through a loop of its own."""
+    n = 2000
+    i, j = (x.ravel() for x in np.indices((n, n)))
+    comp_a, comp_b = np.repeat([5, 9], n // 2), np.repeat([2, 5], n // 2)
+    began = time.process_time()
+    got = minhash._forest(i, j, comp_a, comp_b)
+    assert time.process_time() - began < 1
+    assert len(got) == 2 and {x for link in got for x in link} == {2, 5, 9}
+
+
 def test_pairs_that_share_only_crowded_buckets(spark):
     """300 documents hold the same 134 words and are no copies of each other. The pairs at
     similarity 0.81 below share one band, and its bucket holds 145 of them, so neither is
